@@ -66,7 +66,8 @@ def r6(x) -> Column:
     and DuckDB (both round half away from zero on the exact double), unlike
     ``round(x, 6)`` whose decimal conversion differs between engines.
     """
-    return F.round(c(x).cast("double") * F.lit(1e6)) / F.lit(1e6)
+    # + 0.0 turns a rounded -0.0 into 0.0 (IEEE), in both engines
+    return F.round(c(x).cast("double") * F.lit(1e6)) / F.lit(1e6) + F.lit(0.0)
 
 
 def _floor_div(a: Column, b: Column) -> Column:

@@ -101,19 +101,26 @@ class TimeWindow:
         return {"start": fmt_rfc3339(self.start), "end": fmt_rfc3339(self.end)}
 
 
-def clamp_columns(start: Column, end: Column, window: TimeWindow) -> tuple[Column, Column]:
-    """Column form of ``TimeWindow.clamp`` for a table of requests."""
-    ws, we = F.lit(window.start).cast("timestamp"), F.lit(window.end).cast("timestamp")
+def clamp_range(start: Column, end: Column, ws: Column, we: Column) -> tuple[Column, Column]:
+    """Column form of ``TimeWindow.clamp`` for a table of requests (any
+    orderable type: timestamps or epoch micros). Each bound is clamped on its
+    own side; the result may be inverted."""
     s = F.when(start.isNull() | (start < ws), ws).otherwise(start)
     e = F.when(end.isNull() | (end > we), we).otherwise(end)
     return s, e
 
 
-def clamp_instant_column(t: Column, window: TimeWindow) -> Column:
-    ws, we = F.lit(window.start).cast("timestamp"), F.lit(window.end).cast("timestamp")
+def clamp_instant_value(t: Column, ws: Column, we: Column) -> Column:
+    """Instant clamp into [ws, we]; unset → window end."""
     return F.when(t.isNull(), we).otherwise(F.least(F.greatest(t, ws), we))
 
 
+def clamp_columns(start: Column, end: Column, window: TimeWindow) -> tuple[Column, Column]:
+    ws = F.timestamp_micros(F.lit(to_micros(window.start)))
+    we = F.timestamp_micros(F.lit(to_micros(window.end)))
+    return clamp_range(start, end, ws, we)
+
+
 @dataclass(frozen=True)
 class Grid:
     """Evaluation steps ``start + k*step`` for ``k = 0..K`` with the last ≤ end."""

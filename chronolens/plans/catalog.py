@@ -14,9 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import epoch_s, r6
-from ..model import Grid, series_key, to_micros
-from ..operators import aggregate, hist, rangefn
+from ..model import Grid, clamp_instant_value, clamp_range, series_key, to_micros
+from ..functions.exprs import fdiv, ntz_micros
+from ..operators import aggregate, discover, hist, outcomes, rangefn
+from ..operators import select as sel
 from ..operators.summary import summarize
+from ..sources import payloads as pl
+from ..sources import sinks
+from . import findings as fnd
 from ..session import default_parallelism, prepare
 from ..sources import testviews as tv
 from . import diagnose as dg
@@ -195,6 +200,187 @@ def trend_label_q(spark, sf):
     return _cand_summary(spark, sf).select("cand_id", "trend")
 
 
+# ------------------------------------------------------------------ F1–F9, T2
+
+DAY_S = 86400
+
+
+def _requests(spark, sf):
+    """A table of requests derived from events: start = event time (unset for
+    'view' events), end = start + user_id hours (unset for 'signup')."""
+    e = tv.table(spark, sf, "events")
+    t = ntz_micros(F.col("ts"))
+    return e.select("event_id",
+                    F.when(F.col("event_type") != "view", t).alias("start_us"),
+                    F.when(F.col("event_type") != "signup", t + F.col("user_id") * F.lit(3600 * 1_000_000))
+                     .alias("end_us"),
+                    t.alias("t_us"))
+
+
+def clamp_window_q(spark, sf):
+    r = _requests(spark, sf)
+    ws, we = to_micros(tv.EVENTS_WINDOW.start), to_micros(tv.EVENTS_WINDOW.end)
+    s, e = clamp_range(F.col("start_us"), F.col("end_us"), F.lit(ws), F.lit(we))
+    return r.select("event_id", epoch_s(s).alias("start_s"), epoch_s(e).alias("end_s"), (s > e).alias("inverted"))
+
+
+def clamp_instant_q(spark, sf):
+    r = _requests(spark, sf).withColumn("t_us", F.col("start_us"))
+    ws, we = to_micros(tv.EVENTS_WINDOW.start), to_micros(tv.EVENTS_WINDOW.end)
+    return r.select("event_id", epoch_s(clamp_instant_value(F.col("t_us"), F.lit(ws), F.lit(we))).alias("t_s"))
+
+
+def step_grid_q(spark, sf):
+    r = _requests(spark, sf)
+    ws, we = to_micros(tv.EVENTS_WINDOW.start), to_micros(tv.EVENTS_WINDOW.end)
+    s, e = clamp_range(F.col("start_us"), F.col("end_us"), F.lit(ws), F.lit(we))
+    steps = rangefn.request_steps(s, e, DAY_S * 1_000_000)
+    return r.select("event_id", F.posexplode(steps).alias("k", "step_us")).select(
+        "event_id", F.col("k").cast("long").alias("k"), epoch_s(F.col("step_us")).alias("step_s"))
+
+
+def _pt_cols():
+    return [epoch_s(F.col("ts_us")).alias("ts_s"), r6("value").alias("value")]
+
+
+def select_metric_q(spark, sf):
+    s = discover.in_window(sel.select(tv.all_samples(spark, sf), "order_price"), tv.ORDERS_WINDOW)
+    return s.select("metric", "series_key", *_pt_cols())
+
+
+def select_label_eq_q(spark, sf):
+    s = tv.all_samples(spark, sf).where(F.col("metric").isin("events_total", "event_value_sum_total"))
+    return sel.select(s, None, {"event_type": "click", "shard": ""}).select("metric", "series_key", *_pt_cols())
+
+
+def select_label_re_q(spark, sf):
+    s = sel.select(tv.event_value_bucket(spark, sf), "event_value_bucket", [("le", "=~", "[0-9]0")])
+    return s.select("series_key", *_pt_cols())
+
+
+def select_name_re_q(spark, sf):
+    s = sel.select_name_regex(tv.all_samples(spark, sf), "event_value.*")
+    return s.groupBy("metric").agg(F.count(F.lit(1)).alias("n_samples"),
+                                   F.countDistinct("series_key").alias("n_series"))
+
+
+def series_cap_q(spark, sf):
+    s = sel.series_cap(tv.all_samples(spark, sf), 3)
+    return s.groupBy("metric", "series_key").agg(F.count(F.lit(1)).alias("n_samples"))
+
+
+# ------------------------------------------------------------------ L1–L3, D1
+
+def list_metrics_q(spark, sf):
+    return discover.list_metrics(tv.all_samples(spark, sf), tv.EVENTS_WINDOW)
+
+
+def list_metrics_limit_q(spark, sf):
+    return discover.list_metrics(tv.all_samples(spark, sf), tv.EVENTS_WINDOW, limit=2)
+
+
+def list_labels_q(spark, sf):
+    return discover.list_labels(tv.all_samples(spark, sf), tv.EVENTS_WINDOW)
+
+
+def bundle_registry_q(spark, sf):
+    reg = _registry().to_df(spark)
+    names = discover.metric_names(tv.all_samples(spark, sf), tv.EVENTS_WINDOW).withColumn("present", F.lit(True))
+    return (reg.join(names, on="metric", how="left")
+               .select("component", "name", F.col("priority").cast("long").alias("priority"), "metric",
+                       F.coalesce(F.col("present"), F.lit(False)).alias("present")))
+
+
+# ------------------------------------------------------------------ C1–C3
+
+# Status codes the test outcomes are drawn from (k % 8 picks one).
+STATUS_CODES = [200, 400, 401, 403, 404, 429, 500, 503]
+
+
+def _code(k: F.Column) -> F.Column:
+    return F.element_at(F.array(*[F.lit(c) for c in STATUS_CODES]), (F.pmod(k, F.lit(8)) + 1).cast("int"))
+
+
+def _event_k(spark, sf):
+    e = tv.table(spark, sf, "events")
+    return e.select("event_id", F.get_json_object("props", "$.k").cast("long").alias("k"))
+
+
+def outcome_rollup_q(spark, sf):
+    r = _event_k(spark, sf).withColumn("status_code", _code(F.col("k")))
+    return outcomes.rollup(r).select(F.col("status_code").cast("long").alias("status_code"),
+                                     F.coalesce("category", F.lit("")).alias("category"),
+                                     "connection_status", "n")
+
+
+def outcome_snippet_q(spark, sf):
+    d = tv.table(spark, sf, "documents")
+    r = d.select("doc_id", F.col("text").alias("body"), _code(F.col("doc_id")).alias("status_code"))
+    c = outcomes.classify(r, body_col="body")
+    snip = outcomes.snippet(F.col("body"))
+    return c.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("status_code").cast("long").alias("status_code"),
+                    F.coalesce("category", F.lit("")).alias("category"),
+                    F.octet_length(snip).cast("long").alias("snippet_bytes"),
+                    F.coalesce("message", F.lit("")).alias("message"))
+
+
+# ------------------------------------------------------------------ S1–S8
+
+def payload_matrix_q(spark, sf):
+    s = tv.event_value(spark, sf).unionByName(tv.event_value_sum_total(spark, sf))
+    pays = pl.build_range_payloads(s)
+    pts = pl.decode_points(pays, id_cols=["payload_id"])
+    return pts.select("metric", "series_key", F.floor("ts_s").cast("long").alias("ts_s"), r6("value").alias("value"))
+
+
+def payload_vector_q(spark, sf):
+    t = EV_GRID.end_us
+    s = rangefn.in_reach(tv.event_samples(spark, sf), Grid(t, t, 1), tv.EVENTS_LOOKBACK_S)
+    inst = rangefn.instant(s, KEYS, t, tv.EVENTS_LOOKBACK_S)
+    pts = pl.decode_points(pl.build_vector_payloads(inst, t), id_cols=["payload_id"], field="value")
+    return pts.select("metric", "series_key", F.floor("ts_s").cast("long").alias("eval_s"),
+                      r6("value").alias("value"))
+
+
+def payload_names_q(spark, sf):
+    names = discover.metric_names(tv.all_samples(spark, sf), tv.EVENTS_WINDOW)
+    return pl.decode_names(pl.build_name_payloads(names)).select(F.col("name").alias("metric"))
+
+
+def _responses(spark, sf):
+    """(event_id, status_code, body) derived from events: HTTP errors carry an
+    error body; 200 responses are an error envelope, malformed text or a
+    success payload depending on k."""
+    r = _event_k(spark, sf).withColumn("status_code", _code(F.col("k")))
+    k, code = F.col("k"), F.col("status_code")
+    etype = F.when(code >= 500, F.lit("internal")).otherwise(F.lit("bad_data"))
+    body = (F.when(code >= 400, F.format_string('{"status":"error","errorType":"%s","error":"status %d"}', etype, code))
+             .when(F.pmod(k, F.lit(3)) == 0,
+                   F.format_string('{"status":"error","errorType":"bad_data","error":"invalid selector %d"}', k))
+             .when(F.pmod(k, F.lit(3)) == 1, F.lit("<html>gateway page</html>"))
+             .otherwise(F.format_string('{"status":"success","data":{"resultType":"vector","result":[]}}')))
+    return r.withColumn("body", body)
+
+
+def payload_rejects_q(spark, sf):
+    r = outcomes.classify(_responses(spark, sf), body_col="body")
+    http = r.where(F.col("status_code") >= 400).select("event_id", "status_code", "category", "message")
+    parsed = pl.rejects(r.where(F.col("status_code") < 400), col="body", id_cols=["event_id", "status_code"])
+    body = parsed.select("event_id", "status_code", F.lit("").alias("category"), "message")
+    return http.unionByName(body).select(F.col("event_id").cast("long").alias("event_id"),
+                                         F.col("status_code").cast("long").alias("status_code"),
+                                         F.coalesce("category", F.lit("")).alias("category"), "message")
+
+
+def diagnose_json_q(spark, sf):
+    return sinks.results_json(diagnose_run(spark, sf).results)
+
+
+def findings_report_q(spark, sf):
+    f = fnd.findings(diagnose_run(spark, sf).results, fnd.default_rules())
+    return sinks.report_lines(spark, f, "test-data window 2024-01-05 to 2024-01-25, step 6h")
+
+
 QUERIES = {
     "rate": rate_q,
     "increase": increase_q,
@@ -217,6 +403,26 @@ QUERIES = {
     "trend_slope": trend_slope_q,
     "trend_cv": trend_cv_q,
     "trend_label": trend_label_q,
+    "clamp_window": clamp_window_q,
+    "clamp_instant": clamp_instant_q,
+    "step_grid": step_grid_q,
+    "select_metric": select_metric_q,
+    "select_label_eq": select_label_eq_q,
+    "select_label_re": select_label_re_q,
+    "select_name_re": select_name_re_q,
+    "series_cap": series_cap_q,
+    "list_metrics": list_metrics_q,
+    "list_metrics_limit": list_metrics_limit_q,
+    "list_labels": list_labels_q,
+    "bundle_registry": bundle_registry_q,
+    "outcome_rollup": outcome_rollup_q,
+    "outcome_snippet": outcome_snippet_q,
+    "payload_matrix": payload_matrix_q,
+    "payload_vector": payload_vector_q,
+    "payload_names": payload_names_q,
+    "payload_rejects": payload_rejects_q,
+    "diagnose_json": diagnose_json_q,
+    "findings_report": findings_report_q,
 }
 
 __all__ = ["QUERIES", "diagnose_run", "summarize", "default_parallelism", "to_micros"]
