@@ -65,7 +65,14 @@ def in_reach(df: DataFrame, grid: Grid, reach, ts_col: str = "ts") -> DataFrame:
     """
     lo = F.timestamp_micros(F.lit(grid.start_us) - _us(reach))
     hi = F.timestamp_micros(F.lit(grid.end_us))
-    return df.where((F.col(ts_col) > lo) & (F.col(ts_col) <= hi))
+    out = df.where((F.col(ts_col) > lo) & (F.col(ts_col) <= hi))
+    if isinstance(reach, (int, float)):
+        from ..sources.samples import time_part_filter
+        from ..sources.testviews import TABLE_PART
+        prune = time_part_filter(df, grid.start_us - int(reach * MICROS), grid.end_us, TABLE_PART)
+        if prune is not None:
+            out = out.where(prune)
+    return out
 
 
 def step_grid(grid: Grid) -> Column:

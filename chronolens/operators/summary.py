@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import gt, ieee_div, lt, rfc3339_from_seconds
 from ..functions.prefix import ordered_cross_sum
+from ..session import checkpoint_dir
+from ..session import materialize as write_and_read
 
 SUMMARY_COLS = ["series_count", "n_points", "max_value", "max_timestamp", "avg_value",
                 "non_zero_percentage", "trend", "slope", "cv"]
@@ -60,10 +62,21 @@ def series_stats(points: DataFrame, group_cols: Sequence[str], order_col: str =
 
 
 def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts_s",
-              chunks: int = 8) -> DataFrame:
-    """Level 1 + level 2: one summary row per group (groups with ≥ 1 series)."""
+              chunks: int = 8, materialize=True) -> DataFrame:
+    """Level 1 + level 2: one summary row per group (groups with ≥ 1 series).
+
+    The series table (one row per result series) is checkpointed to the
+    session's checkpoint folder: the range partitioning of level 2 samples
+    its input, and without the checkpoint that sampling job would re-run the
+    whole upstream evaluation.
+    """
     g = list(group_cols)
     s = series_stats(points, g, order_col)
+    if materialize == "checkpoint":
+        checkpoint_dir(s.sparkSession)
+        s = s.checkpoint(eager=True)
+    elif materialize:
+        s = write_and_read(s, "series-stats")
     return summarize_series(s, g, chunks)
 
 

@@ -37,7 +37,7 @@ def _step_s() -> F.Column:
 
 
 def _counters(spark, sf):
-    return tv.events_total(spark, sf).unionByName(tv.event_value_sum_total(spark, sf))
+    return tv.metric_table(spark, sf, "events_total").unionByName(tv.metric_table(spark, sf, "event_value_sum_total"))
 
 
 # ------------------------------------------------------------------ T1–T8
@@ -49,24 +49,24 @@ def rate_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def increase_q(spark: SparkSession, sf: str) -> DataFrame:
-    ev = rangefn.in_reach(tv.events_total(spark, sf), EV_GRID, tv.EVENTS_RANGE_S)
+    ev = rangefn.in_reach(tv.metric_table(spark, sf, "events_total"), EV_GRID, tv.EVENTS_RANGE_S)
     a = rangefn.increase(ev, KEYS, EV_GRID, tv.EVENTS_RANGE_S)
-    sh = rangefn.in_reach(tv.shipped_quantity_total(spark, sf), OR_GRID, tv.ORDERS_RANGE_S)
+    sh = rangefn.in_reach(tv.metric_table(spark, sf, "shipped_quantity_total"), OR_GRID, tv.ORDERS_RANGE_S)
     b = rangefn.increase(sh, KEYS, OR_GRID, tv.ORDERS_RANGE_S, bucket_s=86400 * 28)
     return (a.unionByName(b)).select("metric", "series_key", _step_s(), r6("value").alias("value"))
 
 
 def query_range_gauge_q(spark: SparkSession, sf: str) -> DataFrame:
-    ev = rangefn.in_reach(tv.event_value(spark, sf), EV_GRID, tv.EVENTS_LOOKBACK_S)
+    ev = rangefn.in_reach(tv.metric_table(spark, sf, "event_value"), EV_GRID, tv.EVENTS_LOOKBACK_S)
     a = rangefn.gauge_on_grid(ev, KEYS, EV_GRID, tv.EVENTS_LOOKBACK_S)
-    op = rangefn.in_reach(tv.order_price(spark, sf), OR_GRID, tv.ORDERS_RANGE_S)
+    op = rangefn.in_reach(tv.metric_table(spark, sf, "order_price"), OR_GRID, tv.ORDERS_RANGE_S)
     b = rangefn.gauge_on_grid(op, KEYS, OR_GRID, tv.ORDERS_RANGE_S, bucket_s=86400 * 28)
     return (a.unionByName(b)).select("metric", "series_key", _step_s(), r6("value").alias("value"),
                                      epoch_s(F.col("ts_us")).alias("sample_s"))
 
 
 def range_vector_q(spark: SparkSession, sf: str) -> DataFrame:
-    ev = rangefn.in_reach(tv.event_value(spark, sf), EV_GRID, tv.EVENTS_RANGE_S)
+    ev = rangefn.in_reach(tv.metric_table(spark, sf, "event_value"), EV_GRID, tv.EVENTS_RANGE_S)
     r = rangefn.range_vector(ev, KEYS, EV_GRID, tv.EVENTS_RANGE_S)
     return r.select("metric", "series_key", _step_s(), F.col("n").alias("n_samples"),
                     epoch_s(F.col("first_ts_us")).alias("first_s"), epoch_s(F.col("last_ts_us")).alias("last_s"),
@@ -75,7 +75,7 @@ def range_vector_q(spark: SparkSession, sf: str) -> DataFrame:
 
 def query_instant_q(spark: SparkSession, sf: str) -> DataFrame:
     t = EV_GRID.end_us
-    s = rangefn.in_reach(tv.event_samples(spark, sf), Grid(t, t, 1), tv.EVENTS_LOOKBACK_S)
+    s = rangefn.in_reach(tv.metric_table(spark, sf, *tv.EVENT_METRICS), Grid(t, t, 1), tv.EVENTS_LOOKBACK_S)
     r = rangefn.instant(s, KEYS, t, tv.EVENTS_LOOKBACK_S)
     return r.select("metric", "series_key", r6("value").alias("value"),
                     epoch_s(F.col("sample_ts_us")).alias("sample_s"),
@@ -83,7 +83,7 @@ def query_instant_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _bucket_rates(spark, sf):
-    s = rangefn.in_reach(tv.event_value_bucket(spark, sf), EV_GRID, tv.EVENTS_RANGE_S)
+    s = rangefn.in_reach(tv.metric_table(spark, sf, "event_value_bucket"), EV_GRID, tv.EVENTS_RANGE_S)
     r = rangefn.rate(s, KEYS, EV_GRID, tv.EVENTS_RANGE_S, carry=["labels"])
     return (r.withColumn("le", F.col("labels")["le"])
              .withColumn("grp_key", series_key(F.map_filter("labels", lambda k, v: k != "le"))))
@@ -99,7 +99,7 @@ def histogram_quantile_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def sum_over_series_q(spark: SparkSession, sf: str) -> DataFrame:
-    s = rangefn.in_reach(tv.event_value_sum_total(spark, sf), EV_GRID, tv.EVENTS_RANGE_S)
+    s = rangefn.in_reach(tv.metric_table(spark, sf, "event_value_sum_total"), EV_GRID, tv.EVENTS_RANGE_S)
     r = rangefn.rate(s, KEYS, EV_GRID, tv.EVENTS_RANGE_S, carry=["labels"])
     by_type = aggregate.sum_by(r, ["event_type"])
     total = aggregate.sum_by(r, []).withColumn("event_type", F.lit(""))
@@ -115,7 +115,7 @@ def _registry():
 
 def diagnose_run(spark: SparkSession, sf: str, component: str = "all") -> dg.DiagnoseResult:
     prepare(spark)
-    samples = tv.event_samples(spark, sf)
+    samples = tv.metric_table(spark, sf, *tv.EVENT_METRICS)
     return dg.diagnose(spark, samples, _registry(), tv.EVENTS_WINDOW, step_s=tv.EVENTS_STEP_S,
                        component=component)
 
@@ -244,48 +244,48 @@ def _pt_cols():
 
 
 def select_metric_q(spark, sf):
-    s = discover.in_window(sel.select(tv.all_samples(spark, sf), "order_price"), tv.ORDERS_WINDOW)
+    s = discover.in_window(sel.select(tv.samples_table(spark, sf), "order_price"), tv.ORDERS_WINDOW)
     return s.select("metric", "series_key", *_pt_cols())
 
 
 def select_label_eq_q(spark, sf):
-    s = tv.all_samples(spark, sf).where(F.col("metric").isin("events_total", "event_value_sum_total"))
+    s = tv.samples_table(spark, sf).where(F.col("metric").isin("events_total", "event_value_sum_total"))
     return sel.select(s, None, {"event_type": "click", "shard": ""}).select("metric", "series_key", *_pt_cols())
 
 
 def select_label_re_q(spark, sf):
-    s = sel.select(tv.event_value_bucket(spark, sf), "event_value_bucket", [("le", "=~", "[0-9]0")])
+    s = sel.select(tv.metric_table(spark, sf, "event_value_bucket"), "event_value_bucket", [("le", "=~", "[0-9]0")])
     return s.select("series_key", *_pt_cols())
 
 
 def select_name_re_q(spark, sf):
-    s = sel.select_name_regex(tv.all_samples(spark, sf), "event_value.*")
+    s = sel.select_name_regex(tv.samples_table(spark, sf), "event_value.*")
     return s.groupBy("metric").agg(F.count(F.lit(1)).alias("n_samples"),
                                    F.countDistinct("series_key").alias("n_series"))
 
 
 def series_cap_q(spark, sf):
-    s = sel.series_cap(tv.all_samples(spark, sf), 3)
+    s = sel.series_cap(tv.samples_table(spark, sf), 3)
     return s.groupBy("metric", "series_key").agg(F.count(F.lit(1)).alias("n_samples"))
 
 
 # ------------------------------------------------------------------ L1–L3, D1
 
 def list_metrics_q(spark, sf):
-    return discover.list_metrics(tv.all_samples(spark, sf), tv.EVENTS_WINDOW)
+    return discover.list_metrics(tv.samples_table(spark, sf), tv.EVENTS_WINDOW)
 
 
 def list_metrics_limit_q(spark, sf):
-    return discover.list_metrics(tv.all_samples(spark, sf), tv.EVENTS_WINDOW, limit=2)
+    return discover.list_metrics(tv.samples_table(spark, sf), tv.EVENTS_WINDOW, limit=2)
 
 
 def list_labels_q(spark, sf):
-    return discover.list_labels(tv.all_samples(spark, sf), tv.EVENTS_WINDOW)
+    return discover.list_labels(tv.samples_table(spark, sf), tv.EVENTS_WINDOW)
 
 
 def bundle_registry_q(spark, sf):
     reg = _registry().to_df(spark)
-    names = discover.metric_names(tv.all_samples(spark, sf), tv.EVENTS_WINDOW).withColumn("present", F.lit(True))
+    names = discover.metric_names(tv.samples_table(spark, sf), tv.EVENTS_WINDOW).withColumn("present", F.lit(True))
     return (reg.join(names, on="metric", how="left")
                .select("component", "name", F.col("priority").cast("long").alias("priority"), "metric",
                        F.coalesce(F.col("present"), F.lit(False)).alias("present")))
@@ -327,7 +327,7 @@ def outcome_snippet_q(spark, sf):
 # ------------------------------------------------------------------ S1–S8
 
 def payload_matrix_q(spark, sf):
-    s = tv.event_value(spark, sf).unionByName(tv.event_value_sum_total(spark, sf))
+    s = tv.metric_table(spark, sf, "event_value").unionByName(tv.metric_table(spark, sf, "event_value_sum_total"))
     pays = pl.build_range_payloads(s)
     pts = pl.decode_points(pays, id_cols=["payload_id"])
     return pts.select("metric", "series_key", F.floor("ts_s").cast("long").alias("ts_s"), r6("value").alias("value"))
@@ -335,7 +335,7 @@ def payload_matrix_q(spark, sf):
 
 def payload_vector_q(spark, sf):
     t = EV_GRID.end_us
-    s = rangefn.in_reach(tv.event_samples(spark, sf), Grid(t, t, 1), tv.EVENTS_LOOKBACK_S)
+    s = rangefn.in_reach(tv.metric_table(spark, sf, *tv.EVENT_METRICS), Grid(t, t, 1), tv.EVENTS_LOOKBACK_S)
     inst = rangefn.instant(s, KEYS, t, tv.EVENTS_LOOKBACK_S)
     pts = pl.decode_points(pl.build_vector_payloads(inst, t), id_cols=["payload_id"], field="value")
     return pts.select("metric", "series_key", F.floor("ts_s").cast("long").alias("eval_s"),
@@ -343,7 +343,7 @@ def payload_vector_q(spark, sf):
 
 
 def payload_names_q(spark, sf):
-    names = discover.metric_names(tv.all_samples(spark, sf), tv.EVENTS_WINDOW)
+    names = discover.metric_names(tv.samples_table(spark, sf), tv.EVENTS_WINDOW)
     return pl.decode_names(pl.build_name_payloads(names)).select(F.col("name").alias("metric"))
 
 

@@ -28,7 +28,9 @@ from ..model import Grid, TimeWindow, series_key
 from ..operators import hist, rangefn
 from ..operators.neighbors import DEFAULT_BUCKET_S, with_neighbors
 from ..operators.summary import SUMMARY_COLS, summarize
-from ..session import default_parallelism
+from ..session import checked_broadcast, default_parallelism
+from ..sources.samples import time_part_filter
+from ..sources.testviews import TABLE_PART
 from .registry import Registry
 
 
@@ -47,22 +49,34 @@ def _matcher_ok():
 
 def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
                         metrics: list[str], max_reach_s: int,
-                        bucket_s: int = DEFAULT_BUCKET_S) -> DataFrame:
+                        bucket_s: int = DEFAULT_BUCKET_S, broadcast_rows: int = 1_000_000) -> DataFrame:
     """Points ``(cand_id, series_key, k, step_ts, value)`` of all candidates."""
     lo = F.timestamp_micros(F.lit(grid.start_us - max_reach_s * MICROS))
     hi = F.timestamp_micros(F.lit(grid.end_us))
     pruned = samples.where(F.col("metric").isin(metrics) & (F.col("ts") > lo) & (F.col("ts") <= hi))
+    prune = time_part_filter(samples, grid.start_us - max_reach_s * MICROS, grid.end_us, TABLE_PART)
+    if prune is not None:
+        pruned = pruned.where(prune)
     cands = reg_df.select(
         "cand_id", "metric", "matchers", "kind", "quantile",
         (F.when(F.col("kind") == "gauge", F.col("lookback_s")).otherwise(F.col("range_s")) * F.lit(MICROS))
         .alias("reach_us"),
         F.col("kind").isin("rate", "hquantile").alias("is_rate"))
-    joined = (pruned.join(F.broadcast(cands), on="metric", how="inner")
-                    .where(_matcher_ok())
-                    .where(F.col("ts_us") > F.lit(grid.start_us) - F.col("reach_us")))
+    # Label matchers are evaluated once per distinct series, not per sample:
+    # the (candidate, series) selection is small and joins back on keys.
+    series = (pruned.select("metric", "series_key").distinct()
+                    .withColumn("labels", F.from_json("series_key", "map<string,string>")))
+    chosen = (series.join(F.broadcast(cands), on="metric", how="inner").where(_matcher_ok())
+                    .select("metric", "series_key", "cand_id", "kind", "quantile", "reach_us", "is_rate"))
+    chosen = checked_broadcast(chosen, max_rows=broadcast_rows)
+    # Neighbours belong to the series, not to the candidate: take them once on
+    # the pruned samples, then fan out to the candidates that select them.
+    nb_s = with_neighbors(pruned.select("metric", "series_key", "ts_us", "value"),
+                          ["metric", "series_key"], prev=True, next_=True, bucket_s=bucket_s)
     keys = ["cand_id", "series_key", "kind", "quantile", "reach_us", "is_rate"]
-    nb = with_neighbors(joined.select(*keys, "labels", "ts_us", "value"), keys,
-                        prev=True, next_=True, bucket_s=bucket_s)
+    nb = (nb_s.join(chosen, on=["metric", "series_key"], how="inner")
+              .where(F.col("ts_us") > F.lit(grid.start_us) - F.col("reach_us"))
+              .select(*keys, "ts_us", "value", "prev_ts_us", "prev_value", "next_ts_us"))
 
     gauges = rangefn.gauge_on_grid(nb.where(F.col("kind") == "gauge"), keys, grid, "reach_us",
                                    neighbors_done=True)

@@ -18,6 +18,10 @@ _SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # CPU-bound stages (grid explode, window) follow small shuffles; do not
+    # let AQE merge them below the core count. Large shuffles still coalesce
+    # to the advisory size.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
 }
 
 
@@ -28,7 +32,7 @@ def get_session(master: str | None = None, app: str = "chronolens",
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    builder = builder.config("spark.ui.enabled", "false")
+    builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     for k, v in _SESSION_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -67,3 +71,23 @@ def default_parallelism(spark: SparkSession) -> int:
         return int(spark.conf.get("spark.sql.shuffle.partitions"))
     except Exception:  # pragma: no cover - conf always present in practice
         return os.cpu_count() or 8
+
+
+def materialize(df, name: str):
+    """Write ``df`` as parquet under the shared checkpoint folder and read it
+    back: one job, and the result no longer depends on its lineage (lost
+    executors do not force a recompute of the upstream plan)."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def checked_broadcast(df, max_rows: int):
+    """Broadcast ``df`` only when it is proven small: count it first (one
+    cheap job on an already-reduced table). Beyond the bound the join stays a
+    shuffle join and AQE may still convert it from runtime statistics."""
+    from pyspark.sql import functions as F
+    n = df.count()
+    return F.broadcast(df) if n <= max_rows else df

@@ -28,16 +28,44 @@ def make_samples(df: DataFrame, metric, labels, ts_us, value) -> DataFrame:
         ts_us.cast("long").alias("ts_us"))
 
 
-def write_samples(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+PART_FORMATS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+
+
+def write_samples(df: DataFrame, path: str, mode: str = "overwrite", part: str = "day",
+                  files_per_part: int = 8) -> None:
+    """Write partitioned by ``metric`` and a time bucket (``day`` or
+    ``month``). Inside a partition, series are spread over
+    ``files_per_part`` files by hash (a hot metric is not one file, so not
+    one scan task), and each file is sorted by (series, time) so row-group
+    statistics on ``ts`` and ``series_key`` skip data too."""
+    fmt = PART_FORMATS[part]
+    spread = F.pmod(F.xxhash64("series_key"), F.lit(int(files_per_part)))
     (df.select("metric", "labels", "series_key", "ts", "value")
-       .withColumn("day", F.to_date("ts"))
-       .repartition("metric", "day")
+       .withColumn("tpart", F.date_format("ts", fmt))
+       .repartition("metric", "tpart", spread)
        .sortWithinPartitions("series_key", "ts")
-       .write.mode(mode).partitionBy("metric", "day").parquet(path))
+       .write.mode(mode).partitionBy("metric", "tpart").parquet(path))
+
+
+def read_samples(spark: SparkSession, path: str, part: str = "day") -> DataFrame:
+    """Read a samples table; adds ``ts_us`` and keeps the ``tpart`` partition
+    column so time predicates can prune directories (``in_reach`` adds one)."""
+    df = spark.read.schema(SAMPLES_DDL + ", tpart STRING").parquet(path)
+    return df.withColumn("ts_us", F.unix_micros("ts"))
+
+
+def time_part_filter(df: DataFrame, lo_us: int, hi_us: int, part: str = "day"):
+    """Partition-pruning predicate matching ``lo_us <= ts <= hi_us``."""
+    if "tpart" not in df.columns:
+        return None
+    fmt = PART_FORMATS[part]
+    lo = F.date_format(F.timestamp_micros(F.lit(lo_us)), fmt)
+    hi = F.date_format(F.timestamp_micros(F.lit(hi_us)), fmt)
+    return (F.col("tpart") >= lo) & (F.col("tpart") <= hi)
 
 
-def read_samples(spark: SparkSession, path: str) -> DataFrame:
-    """Read a samples table; adds ``ts_us``. Filters on ``metric``/``ts``
-    written against the result push down to the scan."""
-    df = spark.read.schema(SAMPLES_DDL + ", day DATE").parquet(path)
-    return df.drop("day").withColumn("ts_us", F.unix_micros("ts"))
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(p)

@@ -127,3 +127,30 @@ def all_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (event_samples(spark, sf_dir)
             .unionByName(order_price(spark, sf_dir))
             .unionByName(shipped_quantity_total(spark, sf_dir)))
+
+
+TABLE_PART = "month"
+
+
+def samples_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived metrics as a stored samples table.
+
+    Derived once per application from the driver tables and written as
+    parquet partitioned by (metric, month) under the session's checkpoint
+    folder (a shared folder on a cluster); later queries read it back, so
+    metric and time predicates prune partitions and every query starts from
+    a table scan, as it would on a real samples table.
+    """
+    from ..session import checkpoint_dir
+    from .samples import path_exists, read_samples, write_samples
+    tag = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
+    path = f"{checkpoint_dir(spark)}/samples_{tag}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        from ..session import default_parallelism
+        write_samples(all_samples(spark, sf_dir), path, part=TABLE_PART,
+                      files_per_part=default_parallelism(spark))
+    return read_samples(spark, path, part=TABLE_PART)
+
+
+def metric_table(spark: SparkSession, sf_dir: str, *metrics: str) -> DataFrame:
+    return samples_table(spark, sf_dir).where(F.col("metric").isin(*metrics))
