@@ -117,11 +117,15 @@ def histogram_quantile(points: DataFrame, q, group_keys: Sequence[str], *,
     ``le`` arrives as label text; unparseable bounds are ignored, as the
     public implementation ignores such series.
     """
-    le = F.col(le_col).try_cast("double")
-    pts = points.withColumn("_le", le).where(F.col("_le").isNotNull())
+    # No row filter on the parsed bound: ``le`` derives from the series key,
+    # so Catalyst would push such a filter below the upstream aggregate and
+    # evaluate it per sample. Unparseable bounds are dropped inside the array.
+    pts = points.withColumn("_le", F.col(le_col).try_cast("double"))
     grouped = pts.groupBy(*group_keys, *step_cols).agg(
         F.collect_list(F.struct(F.col("_le").alias("le"), F.col("value").alias("c"))).alias("_buckets"),
         *[F.first(cc, ignorenulls=True).alias(cc) for cc in carry])
+    # a group none of whose bounds parse has no histogram: no output row
+    grouped = grouped.where(F.exists("_buckets", lambda b: b["le"].isNotNull()))
     qcol = F.lit(float(q)) if isinstance(q, (int, float)) else F.col(q)
     out = with_quantile(grouped, qcol, "_buckets")
     return out.select(*group_keys, *step_cols, *carry, "value")

@@ -96,6 +96,43 @@ def request_steps(start_us: Column, end_us: Column, step_us: int) -> Column:
                   ).otherwise(F.array().cast("array<long>"))
 
 
+def asof_steps(grid: Grid, ts_us: Column, next_ts_us: Column, lb_us: Column) -> tuple[Column, Column]:
+    """Steps a sample answers as an instant selector: ``[ts, min(next, ts + lookback))``."""
+    S, P, K = F.lit(grid.start_us), F.lit(grid.step_us), F.lit(grid.k_max)
+    cover_end = F.least(F.coalesce(next_ts_us, ts_us + lb_us), ts_us + lb_us)
+    lo = F.greatest(F.lit(0).cast("long"), ceil_div(ts_us - S, P))
+    hi = F.least(K.cast("long"), ceil_div(cover_end - S, P) - 1)
+    return lo, hi
+
+
+def window_steps(grid: Grid, ts_us: Column, r_us: Column) -> tuple[Column, Column]:
+    return _steps_for_window(grid, ts_us, r_us)
+
+
+def explode_steps(df: DataFrame, lo: Column, hi: Column) -> DataFrame:
+    return _explode_steps(df, lo, hi)
+
+
+def window_aggregate(x: DataFrame, keys: Sequence[str], grid: Grid, r_us: Column,
+                     consts: Sequence[str] = ()) -> DataFrame:
+    """Per (keys, step): count, first/last sample and the counter-reset sum of
+    pairs inside the window. ``consts`` are per-key constants (fixed-width
+    types keep the aggregate hash-based)."""
+    t_us = grid.step_ts_us(F.col("k"))
+    in_pair = (F.col("prev_ts_us") > t_us - r_us) & lt(F.col("value"), F.col("prev_value"))
+    return x.groupBy(*keys, "k").agg(
+        *[F.first(cc).alias(cc) for cc in consts],
+        F.count(F.lit(1)).alias("n"),
+        F.min("ts_us").alias("first_ts_us"), F.max("ts_us").alias("last_ts_us"),
+        F.min_by("value", "ts_us").alias("first_v"), F.max_by("value", "ts_us").alias("last_v"),
+        F.sum(F.when(in_pair, F.col("prev_value")).otherwise(F.lit(0.0))).alias("resets"))
+
+
+def extrapolate(agg: DataFrame, grid: Grid, r_us: Column, is_rate) -> DataFrame:
+    """Adds ``value``: the extrapolated increase, or rate where ``is_rate``."""
+    return _extrapolate(agg, grid, r_us, is_rate)
+
+
 def _steps_for_window(grid: Grid, ts_us: Column, r_us: Column) -> tuple[Column, Column]:
     """Steps whose window ``(t−r, t]`` contains ``ts``."""
     S, P, K = F.lit(grid.start_us), F.lit(grid.step_us), F.lit(grid.k_max)

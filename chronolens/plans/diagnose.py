@@ -73,24 +73,34 @@ def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
     # the pruned samples, then fan out to the candidates that select them.
     nb_s = with_neighbors(pruned.select("metric", "series_key", "ts_us", "value"),
                           ["metric", "series_key"], prev=True, next_=True, bucket_s=bucket_s)
-    keys = ["cand_id", "series_key", "kind", "quantile", "reach_us", "is_rate"]
     nb = (nb_s.join(chosen, on=["metric", "series_key"], how="inner")
               .where(F.col("ts_us") > F.lit(grid.start_us) - F.col("reach_us"))
-              .select(*keys, "ts_us", "value", "prev_ts_us", "prev_value", "next_ts_us"))
-
-    gauges = rangefn.gauge_on_grid(nb.where(F.col("kind") == "gauge"), keys, grid, "reach_us",
-                                   neighbors_done=True)
-    ranged = rangefn.extrapolated(nb.where(F.col("kind") != "gauge"), keys, grid, "reach_us",
-                                  is_rate="is_rate", carry=["labels"], neighbors_done=True)
-    plain = ranged.where(F.col("kind") != "hquantile")
-    buckets = (ranged.where(F.col("kind") == "hquantile")
-               .withColumn("le", F.col("labels")["le"])
-               .withColumn("grp_key", series_key(F.map_filter("labels", lambda k, v: k != "le"))))
+              .select("cand_id", "series_key", (F.col("kind") == "gauge").alias("is_gauge"),
+                      (F.col("kind") == "hquantile").alias("is_hq"), "quantile", "reach_us", "is_rate",
+                      "ts_us", "value", "prev_ts_us", "prev_value", "next_ts_us"))
+
+    # One explode and one aggregate for every kind: a gauge sample covers the
+    # steps of its as-of span (one sample per step), a range sample the steps
+    # whose window holds it. Per-candidate constants ride along as first().
+    lo_r, hi_r = rangefn.window_steps(grid, F.col("ts_us"), F.col("reach_us"))
+    lo_g, hi_g = rangefn.asof_steps(grid, F.col("ts_us"), F.col("next_ts_us"), F.col("reach_us"))
+    g = F.col("is_gauge")
+    x = rangefn.explode_steps(nb, F.when(g, lo_g).otherwise(lo_r), F.when(g, hi_g).otherwise(hi_r))
+    agg = rangefn.window_aggregate(x, ["cand_id", "series_key"], grid, F.col("reach_us"),
+                                   consts=["is_gauge", "is_hq", "is_rate", "quantile", "reach_us"])
+    agg = agg.where(F.col("is_gauge") | (F.col("n") >= 2))
+    ext = rangefn.extrapolate(agg, grid, F.col("reach_us"), "is_rate")
+    pts = (ext.withColumn("value", F.when(F.col("is_gauge"), F.col("last_v")).otherwise(F.col("value")))
+              .withColumn("step_ts", F.timestamp_micros(grid.step_ts_us(F.col("k")))))
+    plain = pts.where(~F.col("is_hq"))
+    labels = F.from_json("series_key", "map<string,string>")
+    buckets = (pts.where(F.col("is_hq"))
+               .withColumn("le", labels["le"])
+               .withColumn("grp_key", series_key(F.map_filter(labels, lambda k, v: k != "le"))))
     quant = hist.histogram_quantile(buckets, "quantile", ["cand_id", "grp_key", "quantile"],
                                     step_cols=("k", "step_ts"))
     cols = ["cand_id", "series_key", "k", "step_ts", "value"]
-    return (gauges.select(*cols)
-            .unionByName(plain.select(*cols))
+    return (plain.select(*cols)
             .unionByName(quant.select("cand_id", F.col("grp_key").alias("series_key"), "k", "step_ts", "value")))
 
 
