@@ -83,8 +83,8 @@ def with_quantile(df: DataFrame, q: Column, buckets: str, out: str = "value") ->
     reaches = F.filter(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),
                        lambda i: (i <= n - 1) & ~F.isnan(F.get(mono, i - 1)["c"]) & ~F.isnan(rank)
                        & (F.get(mono, i - 1)["c"] >= rank))
-    d = d.withColumn("_b", F.coalesce(F.get(reaches, 0), n))
-    b = F.col("_b")
+    d = d.withColumn("_bidx", F.coalesce(F.get(reaches, 0), n))
+    b = F.col("_bidx")
     cur, prev = F.get(mono, b - 1), F.get(mono, b - 2)
     start = F.when(b > 1, prev["le"]).otherwise(F.lit(0.0))
     prev_c = F.when(b > 1, prev["c"]).otherwise(F.lit(0.0))
@@ -106,7 +106,7 @@ def with_quantile(df: DataFrame, q: Column, buckets: str, out: str = "value") ->
               .when(b == n, F.get(mono, n - 2)["le"])
               .when((b == 1) & (cur["le"] <= 0), cur["le"])
               .otherwise(interp))
-    return d.withColumn(out, value).drop("_q", "_sorted", "_mono", "_n", "_total", "_rank", "_b")
+    return d.withColumn(out, value).drop("_q", "_sorted", "_mono", "_n", "_total", "_rank", "_bidx")
 
 
 def histogram_quantile(points: DataFrame, q, group_keys: Sequence[str], *,

@@ -29,9 +29,12 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import gt, ieee_div, lt, rfc3339_from_seconds
 from ..functions.prefix import ordered_cross_sum
-from ..session import checkpoint_dir
 from ..session import materialize as write_and_read
 
+# Series tables up to this many rows take the single-window path for the
+# pooled-ordinal prefix; larger ones use the range-partitioned prefix sum.
+SMALL_SERIES_TABLE = 200_000
+
 SUMMARY_COLS = ["series_count", "n_points", "max_value", "max_timestamp", "avg_value",
                 "non_zero_percentage", "trend", "slope", "cv"]
 
@@ -72,15 +75,17 @@ def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts
     """
     g = list(group_cols)
     s = series_stats(points, g, order_col)
-    if materialize == "checkpoint":
-        checkpoint_dir(s.sparkSession)
-        s = s.checkpoint(eager=True)
-    elif materialize:
+    small = False
+    if materialize:
         s = write_and_read(s, "series-stats")
-    return summarize_series(s, g, chunks)
+        # counting a written parquet table reads footers only; under the
+        # bound the whole series table fits one window task comfortably
+        small = s.count() <= SMALL_SERIES_TABLE
+    return summarize_series(s, g, chunks, small=small)
 
 
-def summarize_series(s: DataFrame, group_cols: Sequence[str], chunks: int = 8) -> DataFrame:
+def summarize_series(s: DataFrame, group_cols: Sequence[str], chunks: int = 8,
+                     small: bool = False) -> DataFrame:
     g = list(group_cols)
     nz_series = s.where(F.col("n_s") > 0)
     per_group = s.groupBy(*g).agg(
@@ -94,7 +99,13 @@ def summarize_series(s: DataFrame, group_cols: Sequence[str], chunks: int = 8) -
         F.min(F.when(F.col("best").isNotNull(),
                      F.struct(F.col("best.nv").alias("nv"), F.col("series_key"),
                               F.col("best.i").alias("i"), F.col("best.ts").alias("ts")))).alias("best"))
-    cross = ordered_cross_sum(nz_series, g, "series_key", "n_s", "sv", chunks)
+    if small:
+        # proven small (checked count): one ordered window per group
+        w = Window.partitionBy(*g).orderBy("series_key").rowsBetween(Window.unboundedPreceding, -1)
+        cross = (nz_series.withColumn("_off", F.coalesce(F.sum("n_s").over(w), F.lit(0)).cast("double"))
+                 .groupBy(*g).agg(F.sum(F.col("_off") * F.col("sv")).alias("cross_sum")))
+    else:
+        cross = ordered_cross_sum(nz_series, g, "series_key", "n_s", "sv", chunks)
     joined = per_group.join(cross, on=g, how="left")
     return _finish(joined, g)
 

@@ -92,16 +92,22 @@ def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
     ext = rangefn.extrapolate(agg, grid, F.col("reach_us"), "is_rate")
     pts = (ext.withColumn("value", F.when(F.col("is_gauge"), F.col("last_v")).otherwise(F.col("value")))
               .withColumn("step_ts", F.timestamp_micros(grid.step_ts_us(F.col("k")))))
-    plain = pts.where(~F.col("is_hq"))
+    # One grouping for every kind (no union of branches: pruning would shape
+    # the shared aggregate differently per branch and defeat exchange reuse).
+    # A histogram groups its buckets by the series without ``le``; any other
+    # series is a group of one.
     labels = F.from_json("series_key", "map<string,string>")
-    buckets = (pts.where(F.col("is_hq"))
-               .withColumn("le", labels["le"])
-               .withColumn("grp_key", series_key(F.map_filter(labels, lambda k, v: k != "le"))))
-    quant = hist.histogram_quantile(buckets, "quantile", ["cand_id", "grp_key", "quantile"],
-                                    step_cols=("k", "step_ts"))
-    cols = ["cand_id", "series_key", "k", "step_ts", "value"]
-    return (plain.select(*cols)
-            .unionByName(quant.select("cand_id", F.col("grp_key").alias("series_key"), "k", "step_ts", "value")))
+    hq = F.col("is_hq")
+    keyed = (pts.withColumn("grp", F.when(hq, series_key(F.map_filter(labels, lambda k, v: k != "le")))
+                                     .otherwise(F.col("series_key")))
+                .withColumn("_le", F.when(hq, labels["le"].try_cast("double"))))
+    grouped = (keyed.groupBy("cand_id", "grp", "k", "step_ts")
+               .agg(F.first("is_hq").alias("is_hq"), F.first("quantile").alias("quantile"),
+                    F.collect_list(F.struct(F.col("_le").alias("le"), F.col("value").alias("c"))).alias("_b"))
+               .where(~F.col("is_hq") | F.exists("_b", lambda b: b["le"].isNotNull())))
+    q = hist.with_quantile(grouped, F.col("quantile"), "_b", out="_qv")
+    value = F.when(F.col("is_hq"), F.col("_qv")).otherwise(F.get(F.col("_b"), 0)["c"])
+    return q.select("cand_id", F.col("grp").alias("series_key"), "k", "step_ts", value.alias("value"))
 
 
 def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window: TimeWindow,
