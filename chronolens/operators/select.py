@@ -57,15 +57,20 @@ def select_name_regex(samples: DataFrame, pattern: str) -> DataFrame:
     return samples.where(F.col("metric").rlike(anchored(pattern)))
 
 
-def series_cap(samples: DataFrame, max_series: int, by: Sequence[str] = ("metric",)) -> DataFrame:
+def series_cap(samples: DataFrame, max_series: int, by: Sequence[str] = ("metric",),
+               buckets: int = 64) -> DataFrame:
     """Keep the first ``max_series`` series (by sorted key) per ``by`` group.
 
-    The rank filter on a window is planned as a group limit, so each task
-    keeps only its own top-N per group before the shuffle; the kept set is
-    bounded by ``max_series`` per group and is semi-joined back.
+    Two-level top-N, so a metric with a huge number of series is never one
+    window task: first the top N per (group, hash bucket of the key), spread
+    over many tasks; then the top N per group over at most ``N × buckets``
+    survivors. The kept set (≤ N per group) is semi-joined back.
     """
     by = list(by)
-    series = samples.select(*by, "series_key").distinct()
-    w = Window.partitionBy(*by).orderBy("series_key")
-    kept = series.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= max_series).drop("_r")
+    series = (samples.select(*by, "series_key").distinct()
+              .withColumn("_bk", F.pmod(F.xxhash64("series_key"), F.lit(int(buckets)))))
+    w1 = Window.partitionBy(*by, "_bk").orderBy("series_key")
+    first = series.withColumn("_r", F.row_number().over(w1)).where(F.col("_r") <= max_series).drop("_r", "_bk")
+    w2 = Window.partitionBy(*by).orderBy("series_key")
+    kept = first.withColumn("_r", F.row_number().over(w2)).where(F.col("_r") <= max_series).drop("_r")
     return samples.join(kept, on=[*by, "series_key"], how="left_semi")

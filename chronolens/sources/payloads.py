@@ -154,9 +154,10 @@ def build_vector_payloads(instant: DataFrame, t_us: int) -> DataFrame:
     return instant.select(F.concat_ws("|", "metric", "series_key").alias("payload_id"), payload.alias("payload"))
 
 
-def build_name_payloads(names: DataFrame, col: str = "metric") -> DataFrame:
-    """Name-list payloads, one per leading character of the name."""
-    g = names.groupBy(F.substring(col, 1, 1).alias("payload_id")).agg(
-        F.array_sort(F.collect_list(col)).alias("_names"))
+def build_name_payloads(names: DataFrame, col: str = "metric", spread: int = 64) -> DataFrame:
+    """Name-list payloads, one per (leading characters, hash bucket) of the
+    name, so no single payload collects every name."""
+    pid = F.concat_ws("|", F.substring(col, 1, 2), F.pmod(F.xxhash64(col), F.lit(int(spread))).cast("string"))
+    g = names.groupBy(pid.alias("payload_id")).agg(F.array_sort(F.collect_list(col)).alias("_names"))
     return g.select("payload_id", F.concat(F.lit('{"status":"success","data":'), F.to_json("_names"),
                                            F.lit("}")).alias("payload"))
