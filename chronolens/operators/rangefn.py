@@ -133,6 +133,59 @@ def extrapolate(agg: DataFrame, grid: Grid, r_us: Column, is_rate) -> DataFrame:
     return _extrapolate(agg, grid, r_us, is_rate)
 
 
+def intervals_apply(grid: Grid, range_us: int) -> bool:
+    """True when every window ``(t − r, t]`` is an exact union of step
+    intervals ``(t_j − P, t_j]`` (``r`` a positive multiple of the step)."""
+    return range_us > 0 and range_us % grid.step_us == 0
+
+
+def interval_aggregate(df: DataFrame, keys: Sequence[str], grid: Grid,
+                       consts: Sequence[str] = ()) -> DataFrame:
+    """Level 1: each sample once, per (series, step interval ``j``).
+
+    ``j = ⌈(ts − S)/P⌉`` is the step whose interval ``(t_j − P, t_j]`` holds
+    the sample. Keeps count, first/last sample, the next sample after the
+    last (for as-of spans), the sum of counter resets of every pair ending in
+    the interval and the reset of the pair that enters it (its first sample).
+    Input needs ``prev_ts_us``/``prev_value`` (and ``next_ts_us`` for gauges).
+    """
+    S, P = F.lit(grid.start_us), F.lit(grid.step_us)
+    reset = F.when(F.col("prev_value").isNotNull() & lt(F.col("value"), F.col("prev_value")),
+                   F.col("prev_value")).otherwise(F.lit(0.0))
+    nxt = [F.max_by("next_ts_us", "ts_us").alias("last_next_ts_us")] if "next_ts_us" in df.columns else []
+    return (df.withColumn("j", ceil_div(F.col("ts_us") - S, P)).withColumn("_reset", reset)
+              .groupBy(*keys, "j").agg(
+                  *[F.first(cc).alias(cc) for cc in consts],
+                  F.count(F.lit(1)).alias("n"),
+                  F.min("ts_us").alias("first_ts_us"), F.max("ts_us").alias("last_ts_us"),
+                  F.min_by("value", "ts_us").alias("first_v"), F.max_by("value", "ts_us").alias("last_v"),
+                  *nxt,
+                  F.sum("_reset").alias("tot_resets"), F.min_by("_reset", "ts_us").alias("cross_reset")))
+
+
+def interval_window_steps(grid: Grid, r_us: Column) -> tuple[Column, Column]:
+    """Steps whose window contains interval ``j``: ``k ∈ [j, j + r/P − 1] ∩ [0, K]``."""
+    m = F.try_divide(r_us, F.lit(grid.step_us)).cast("long")
+    lo = F.greatest(F.lit(0).cast("long"), F.col("j"))
+    hi = F.least(F.lit(grid.k_max).cast("long"), F.col("j") + m - 1)
+    return lo, hi
+
+
+def steps_from_intervals(iv: DataFrame, keys: Sequence[str], lo: Column, hi: Column,
+                         consts: Sequence[str] = ()) -> DataFrame:
+    """Level 2: merge the intervals of every window into per (series, step)
+    count, first/last sample and resets. A pair entering the first interval
+    of a window has its earlier sample outside the window, so that one
+    crossing reset is subtracted."""
+    x = _explode_steps(iv, lo, hi)
+    return x.groupBy(*keys, "k").agg(
+        *[F.first(cc).alias(cc) for cc in consts],
+        F.sum("n").alias("n"),
+        F.min("first_ts_us").alias("first_ts_us"), F.max("last_ts_us").alias("last_ts_us"),
+        F.min_by("first_v", "first_ts_us").alias("first_v"), F.max_by("last_v", "last_ts_us").alias("last_v"),
+        (F.sum("tot_resets") - F.min_by("cross_reset", "j")).alias("resets"))
+
+
 def _steps_for_window(grid: Grid, ts_us: Column, r_us: Column) -> tuple[Column, Column]:
     """Steps whose window ``(t−r, t]`` contains ``ts``."""
     S, P, K = F.lit(grid.start_us), F.lit(grid.step_us), F.lit(grid.k_max)
@@ -180,15 +233,15 @@ def extrapolated(df: DataFrame, keys: Sequence[str], grid: Grid, range_s, *,
         keys.append(is_rate)
     r = _us(range_s)
     src = df if neighbors_done else with_neighbors(df, keys, prev=True, bucket_s=bucket_s)
-    lo, hi = _steps_for_window(grid, F.col("ts_us"), r)
-    x = _explode_steps(src, lo, hi)
     t_us = grid.step_ts_us(F.col("k"))
-    in_pair = (F.col("prev_ts_us") > t_us - r) & lt(F.col("value"), F.col("prev_value"))
-    agg = x.groupBy(*keys, "k").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min("ts_us").alias("first_ts_us"), F.max("ts_us").alias("last_ts_us"),
-        F.min_by("value", "ts_us").alias("first_v"), F.max_by("value", "ts_us").alias("last_v"),
-        F.sum(F.when(in_pair, F.col("prev_value")).otherwise(F.lit(0.0))).alias("resets"))
+    if isinstance(range_s, (int, float)) and intervals_apply(grid, int(round(range_s * MICROS))):
+        # each sample is aggregated once; only interval rows are expanded
+        iv = interval_aggregate(src.select(*keys, "ts_us", "value", "prev_ts_us", "prev_value"), keys, grid)
+        lo, hi = interval_window_steps(grid, r)
+        agg = steps_from_intervals(iv, keys, lo, hi)
+    else:
+        lo, hi = _steps_for_window(grid, F.col("ts_us"), r)
+        agg = window_aggregate(_explode_steps(src, lo, hi), keys, grid, r)
     agg = agg.where(F.col("n") >= 2)
     out = _extrapolate(agg, grid, r, is_rate)
     return out.select(*keys, *[_rebuild(cc) for cc in carry], "k",

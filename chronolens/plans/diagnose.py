@@ -49,7 +49,8 @@ def _matcher_ok():
 
 def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
                         metrics: list[str], max_reach_s: int,
-                        bucket_s: int = DEFAULT_BUCKET_S, broadcast_rows: int = 1_000_000) -> DataFrame:
+                        bucket_s: int = DEFAULT_BUCKET_S, broadcast_rows: int = 1_000_000,
+                        range_s: int | None = None) -> DataFrame:
     """Points ``(cand_id, series_key, k, step_ts, value)`` of all candidates."""
     lo = F.timestamp_micros(F.lit(grid.start_us - max_reach_s * MICROS))
     hi = F.timestamp_micros(F.lit(grid.end_us))
@@ -79,15 +80,23 @@ def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
                       (F.col("kind") == "hquantile").alias("is_hq"), "quantile", "reach_us", "is_rate",
                       "ts_us", "value", "prev_ts_us", "prev_value", "next_ts_us"))
 
-    # One explode and one aggregate for every kind: a gauge sample covers the
-    # steps of its as-of span (one sample per step), a range sample the steps
-    # whose window holds it. Per-candidate constants ride along as first().
-    lo_r, hi_r = rangefn.window_steps(grid, F.col("ts_us"), F.col("reach_us"))
-    lo_g, hi_g = rangefn.asof_steps(grid, F.col("ts_us"), F.col("next_ts_us"), F.col("reach_us"))
+    # One expansion and one aggregate for every kind: a gauge sample covers
+    # the steps of its as-of span (one sample per step), a range sample the
+    # steps whose window holds it. Per-candidate constants ride as first().
+    consts = ["is_gauge", "is_hq", "is_rate", "quantile", "reach_us"]
     g = F.col("is_gauge")
-    x = rangefn.explode_steps(nb, F.when(g, lo_g).otherwise(lo_r), F.when(g, hi_g).otherwise(hi_r))
-    agg = rangefn.window_aggregate(x, ["cand_id", "series_key"], grid, F.col("reach_us"),
-                                   consts=["is_gauge", "is_hq", "is_rate", "quantile", "reach_us"])
+    if range_s is not None and rangefn.intervals_apply(grid, range_s * MICROS):
+        # each sample aggregated once per step interval; intervals expand
+        iv = rangefn.interval_aggregate(nb, ["cand_id", "series_key"], grid, consts=consts)
+        lo_r, hi_r = rangefn.interval_window_steps(grid, F.col("reach_us"))
+        lo_g, hi_g = rangefn.asof_steps(grid, F.col("last_ts_us"), F.col("last_next_ts_us"), F.col("reach_us"))
+        agg = rangefn.steps_from_intervals(iv, ["cand_id", "series_key"], F.when(g, lo_g).otherwise(lo_r),
+                                           F.when(g, hi_g).otherwise(hi_r), consts=consts)
+    else:
+        lo_r, hi_r = rangefn.window_steps(grid, F.col("ts_us"), F.col("reach_us"))
+        lo_g, hi_g = rangefn.asof_steps(grid, F.col("ts_us"), F.col("next_ts_us"), F.col("reach_us"))
+        x = rangefn.explode_steps(nb, F.when(g, lo_g).otherwise(lo_r), F.when(g, hi_g).otherwise(hi_r))
+        agg = rangefn.window_aggregate(x, ["cand_id", "series_key"], grid, F.col("reach_us"), consts=consts)
     agg = agg.where(F.col("is_gauge") | (F.col("n") >= 2))
     ext = rangefn.extrapolate(agg, grid, F.col("reach_us"), "is_rate")
     pts = (ext.withColumn("value", F.when(F.col("is_gauge"), F.col("last_v")).otherwise(F.col("value")))
@@ -127,7 +136,7 @@ def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window
         points = spark.createDataFrame([], "cand_id INT, series_key STRING, k INT, step_ts TIMESTAMP, value DOUBLE")
     else:
         points = evaluate_candidates(samples, reg_df, grid, metrics=reg.metrics(), max_reach_s=max_reach,
-                                     bucket_s=bucket_s)
+                                     bucket_s=bucket_s, range_s=reg.range_s)
     pts = points.withColumn("ts_s", F.unix_micros("step_ts").cast("double") / F.lit(1e6))
     summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark))
     cand = (reg_df.join(summ, on="cand_id", how="left")

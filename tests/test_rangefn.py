@@ -123,3 +123,24 @@ def test_inverted_grid_has_no_steps(spark):
     assert g.empty and g.k_max == -1
     df = spark.range(1).select(rangefn.request_steps(F.lit(10), F.lit(5), 1).alias("s"))
     assert df.collect()[0]["s"] == []
+
+
+def test_increase_brute_force_interval_path(spark):
+    """Range a multiple of the step: the per-interval pre-aggregation path."""
+    rnd = random.Random(9)
+    samples, v, ts = [], 0.0, 0
+    for _ in range(400):
+        ts += rnd.randint(1, 30)
+        v = 0.0 if rnd.random() < 0.05 else v + rnd.randint(0, 9)
+        samples.append((ts, v))
+    df = samples_df(spark, [("c", {}, t, x) for t, x in samples])
+    g = Grid(40_000_000, 6_500_000_000, 41_000_000)
+    assert rangefn.intervals_apply(g, 123_000_000)
+    got = {r["k"]: r["value"] for r in rangefn.increase(df, ["series_key"], g, 123, bucket_s=97).collect()}
+    for k in range(g.k_max + 1):
+        t = (g.start_us + k * g.step_us) / 1e6
+        want = _brute_increase(samples, t, 123)
+        if want is None:
+            assert k not in got
+        else:
+            assert got[k] == pytest.approx(want, rel=1e-9, abs=1e-9)
