@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import INF, MICROS, ceil_div, ieee_div, lt
@@ -163,6 +163,38 @@ def interval_aggregate(df: DataFrame, keys: Sequence[str], grid: Grid,
                   F.sum("_reset").alias("tot_resets"), F.min_by("_reset", "ts_us").alias("cross_reset")))
 
 
+def interval_table(df: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
+    """Per (series, step interval ``j``) summary without a neighbour pass.
+
+    Pairs inside an interval come from ``lag`` over ``(series, j)`` (bounded
+    by the samples of one step interval); pairs entering an interval come
+    from ``lag`` over the interval rows of the series (bounded by the number
+    of steps). The grouping reuses the window's partitioning (no exchange).
+    Columns: ``keys``, ``j``, ``n``, first/last sample, ``tot_resets``,
+    ``cross_reset`` and ``last_next_ts_us`` (first sample after the interval).
+    """
+    keys = list(keys)
+    S, P = F.lit(grid.start_us), F.lit(grid.step_us)
+    w = Window.partitionBy(*keys, "j").orderBy("ts_us")
+    d = (df.select(*keys, "ts_us", "value").withColumn("j", ceil_div(F.col("ts_us") - S, P))
+           .withColumn("_pv", F.lag("value").over(w)))
+    inner = F.when(F.col("_pv").isNotNull() & lt(F.col("value"), F.col("_pv")), F.col("_pv")).otherwise(F.lit(0.0))
+    iv = d.groupBy(*keys, "j").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.min("ts_us").alias("first_ts_us"), F.max("ts_us").alias("last_ts_us"),
+        F.min_by("value", "ts_us").alias("first_v"), F.max_by("value", "ts_us").alias("last_v"),
+        F.sum(inner).alias("_inner"))
+    wi = Window.partitionBy(*keys).orderBy("j")
+    prev_last = F.lag("last_v").over(wi)
+    iv = (iv.withColumn("_plv", prev_last)
+            .withColumn("last_next_ts_us", F.lead("first_ts_us").over(wi)))
+    cross = F.when(F.col("_plv").isNotNull() & lt(F.col("first_v"), F.col("_plv")), F.col("_plv")) \
+             .otherwise(F.lit(0.0))
+    return (iv.withColumn("cross_reset", cross)
+              .withColumn("tot_resets", F.col("_inner") + F.col("cross_reset"))
+              .drop("_plv", "_inner"))
+
+
 def interval_window_steps(grid: Grid, r_us: Column) -> tuple[Column, Column]:
     """Steps whose window contains interval ``j``: ``k ∈ [j, j + r/P − 1] ∩ [0, K]``."""
     m = F.try_divide(r_us, F.lit(grid.step_us)).cast("long")
@@ -232,14 +264,16 @@ def extrapolated(df: DataFrame, keys: Sequence[str], grid: Grid, range_s, *,
     if isinstance(is_rate, str) and is_rate not in keys:
         keys.append(is_rate)
     r = _us(range_s)
-    src = df if neighbors_done else with_neighbors(df, keys, prev=True, bucket_s=bucket_s)
     t_us = grid.step_ts_us(F.col("k"))
-    if isinstance(range_s, (int, float)) and intervals_apply(grid, int(round(range_s * MICROS))):
-        # each sample is aggregated once; only interval rows are expanded
-        iv = interval_aggregate(src.select(*keys, "ts_us", "value", "prev_ts_us", "prev_value"), keys, grid)
+    if (not neighbors_done and isinstance(range_s, (int, float))
+            and intervals_apply(grid, int(round(range_s * MICROS)))):
+        # each sample is aggregated once per step interval; only the
+        # (small) interval rows are expanded to the steps of their windows
+        iv = interval_table(df, keys, grid)
         lo, hi = interval_window_steps(grid, r)
         agg = steps_from_intervals(iv, keys, lo, hi)
     else:
+        src = df if neighbors_done else with_neighbors(df, keys, prev=True, bucket_s=bucket_s)
         lo, hi = _steps_for_window(grid, F.col("ts_us"), r)
         agg = window_aggregate(_explode_steps(src, lo, hi), keys, grid, r)
     agg = agg.where(F.col("n") >= 2)

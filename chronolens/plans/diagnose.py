@@ -70,33 +70,36 @@ def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
     chosen = (series.join(F.broadcast(cands), on="metric", how="inner").where(_matcher_ok())
                     .select("metric", "series_key", "cand_id", "kind", "quantile", "reach_us", "is_rate"))
     chosen = checked_broadcast(chosen, max_rows=broadcast_rows)
-    # Neighbours belong to the series, not to the candidate: take them once on
-    # the pruned samples, then fan out to the candidates that select them.
-    nb_s = with_neighbors(pruned.select("metric", "series_key", "ts_us", "value"),
-                          ["metric", "series_key"], prev=True, next_=True, bucket_s=bucket_s)
-    nb = (nb_s.join(chosen, on=["metric", "series_key"], how="inner")
-              .where(F.col("ts_us") > F.lit(grid.start_us) - F.col("reach_us"))
-              .select("cand_id", "series_key", (F.col("kind") == "gauge").alias("is_gauge"),
-                      (F.col("kind") == "hquantile").alias("is_hq"), "quantile", "reach_us", "is_rate",
-                      "ts_us", "value", "prev_ts_us", "prev_value", "next_ts_us"))
-
-    # One expansion and one aggregate for every kind: a gauge sample covers
-    # the steps of its as-of span (one sample per step), a range sample the
-    # steps whose window holds it. Per-candidate constants ride as first().
+    keys = ["cand_id", "series_key"]
     consts = ["is_gauge", "is_hq", "is_rate", "quantile", "reach_us"]
     g = F.col("is_gauge")
     if range_s is not None and rangefn.intervals_apply(grid, range_s * MICROS):
-        # each sample aggregated once per step interval; intervals expand
-        iv = rangefn.interval_aggregate(nb, ["cand_id", "series_key"], grid, consts=consts)
+        # Per (series, step interval) summaries are a property of the series:
+        # built once from the pruned samples, then the (small) interval table
+        # fans out to the candidates that select the series.
+        iv = rangefn.interval_table(pruned.select("metric", "series_key", "ts_us", "value"),
+                                    ["metric", "series_key"], grid)
+        ivc = (iv.join(chosen, on=["metric", "series_key"], how="inner")
+                 .withColumn("is_gauge", F.col("kind") == "gauge")
+                 .withColumn("is_hq", F.col("kind") == "hquantile"))
         lo_r, hi_r = rangefn.interval_window_steps(grid, F.col("reach_us"))
         lo_g, hi_g = rangefn.asof_steps(grid, F.col("last_ts_us"), F.col("last_next_ts_us"), F.col("reach_us"))
-        agg = rangefn.steps_from_intervals(iv, ["cand_id", "series_key"], F.when(g, lo_g).otherwise(lo_r),
+        agg = rangefn.steps_from_intervals(ivc, keys, F.when(g, lo_g).otherwise(lo_r),
                                            F.when(g, hi_g).otherwise(hi_r), consts=consts)
     else:
+        # Neighbours belong to the series, not to the candidate: take them
+        # once on the pruned samples, then fan out to the candidates.
+        nb_s = with_neighbors(pruned.select("metric", "series_key", "ts_us", "value"),
+                              ["metric", "series_key"], prev=True, next_=True, bucket_s=bucket_s)
+        nb = (nb_s.join(chosen, on=["metric", "series_key"], how="inner")
+                  .where(F.col("ts_us") > F.lit(grid.start_us) - F.col("reach_us"))
+                  .select("cand_id", "series_key", (F.col("kind") == "gauge").alias("is_gauge"),
+                          (F.col("kind") == "hquantile").alias("is_hq"), "quantile", "reach_us", "is_rate",
+                          "ts_us", "value", "prev_ts_us", "prev_value", "next_ts_us"))
         lo_r, hi_r = rangefn.window_steps(grid, F.col("ts_us"), F.col("reach_us"))
         lo_g, hi_g = rangefn.asof_steps(grid, F.col("ts_us"), F.col("next_ts_us"), F.col("reach_us"))
         x = rangefn.explode_steps(nb, F.when(g, lo_g).otherwise(lo_r), F.when(g, hi_g).otherwise(hi_r))
-        agg = rangefn.window_aggregate(x, ["cand_id", "series_key"], grid, F.col("reach_us"), consts=consts)
+        agg = rangefn.window_aggregate(x, keys, grid, F.col("reach_us"), consts=consts)
     agg = agg.where(F.col("is_gauge") | (F.col("n") >= 2))
     ext = rangefn.extrapolate(agg, grid, F.col("reach_us"), "is_rate")
     pts = (ext.withColumn("value", F.when(F.col("is_gauge"), F.col("last_v")).otherwise(F.col("value")))
