@@ -325,6 +325,14 @@ def gauge_on_grid(df: DataFrame, keys: Sequence[str], grid: Grid, lookback_s, *,
     """
     keys = _key_list(keys, lookback_s)
     lb = _us(lookback_s)
+    if not neighbors_done and not carry:
+        # only the last sample of each step interval can answer a step: build
+        # the interval table (no neighbour pass) and expand its last samples
+        iv = interval_table(df, keys, grid)
+        lo, hi = asof_steps(grid, F.col("last_ts_us"), F.col("last_next_ts_us"), lb)
+        x = _explode_steps(iv, lo, hi)
+        return x.select(*keys, "k", F.timestamp_micros(grid.step_ts_us(F.col("k"))).alias("step_ts"),
+                        F.col("last_v").alias("value"), F.col("last_ts_us").alias("ts_us"))
     src = df if neighbors_done else with_neighbors(df, keys, prev=False, next_=True, bucket_s=bucket_s)
     cover_end = F.least(F.coalesce(F.col("next_ts_us"), F.col("ts_us") + lb), F.col("ts_us") + lb)
     S, P, K = F.lit(grid.start_us), F.lit(grid.step_us), F.lit(grid.k_max)
