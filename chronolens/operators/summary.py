@@ -39,7 +39,8 @@ SUMMARY_COLS = ["series_count", "n_points", "max_value", "max_timestamp", "avg_v
                 "non_zero_percentage", "trend", "slope", "cv"]
 
 
-def series_stats(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts_s") -> DataFrame:
+def series_stats(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts_s",
+                 pos_col: str | None = None) -> DataFrame:
     """Level 1: one row per (group, series).
 
     ``points`` has ``group_cols``, ``series_key``, ``order_col`` (epoch
@@ -48,7 +49,7 @@ def series_stats(points: DataFrame, group_cols: Sequence[str], order_col: str =
     """
     g = list(group_cols)
     valid = F.col("value").isNotNull()
-    w = Window.partitionBy(*g, "series_key").orderBy(F.col("_valid").desc(), order_col)
+    w = Window.partitionBy(*g, "series_key").orderBy(F.col("_valid").desc(), pos_col or order_col)
     p = (points.withColumn("_valid", valid)
                .withColumn("_i", (F.row_number().over(w) - 1).cast("double")))
     v = F.col("value")
@@ -65,7 +66,7 @@ def series_stats(points: DataFrame, group_cols: Sequence[str], order_col: str =
 
 
 def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts_s",
-              chunks: int = 8, materialize=True) -> DataFrame:
+              chunks: int = 8, materialize=True, pos_col: str | None = None) -> DataFrame:
     """Level 1 + level 2: one summary row per group (groups with ≥ 1 series).
 
     The series table (one row per result series) is checkpointed to the
@@ -74,7 +75,7 @@ def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts
     whole upstream evaluation.
     """
     g = list(group_cols)
-    s = series_stats(points, g, order_col)
+    s = series_stats(points, g, order_col, pos_col)
     small = False
     if materialize:
         s = write_and_read(s, "series-stats")

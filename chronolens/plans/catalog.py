@@ -22,7 +22,7 @@ from ..operators.summary import summarize
 from ..sources import payloads as pl
 from ..sources import sinks
 from . import findings as fnd
-from ..session import default_parallelism, prepare
+from ..session import default_parallelism, materialize, prepare
 from ..sources import testviews as tv
 from . import diagnose as dg
 from .registry import test_registry
@@ -372,6 +372,44 @@ def payload_rejects_q(spark, sf):
                                          F.coalesce("category", F.lit("")).alias("category"), "message")
 
 
+def candidate_responses(spark, sf):
+    """Responses per registry candidate, derived from the evaluated test data:
+    one matrix payload per (candidate, series) holding its points; an empty
+    result for a candidate that selected nothing; an error envelope for a
+    candidate whose metric does not exist at all (an unknown metric)."""
+    prepare(spark)
+    reg_obj = _registry()
+    reg = reg_obj.to_df(spark)
+    points = dg.evaluate_candidates(tv.metric_table(spark, sf, *tv.EVENT_METRICS), reg, EV_GRID,
+                                    metrics=reg_obj.metrics(), range_s=reg_obj.range_s,
+                                    max_reach_s=max(reg_obj.range_s, reg_obj.lookback_s))
+    known = tv.samples_table(spark, sf).select("metric").distinct().withColumn("_known", F.lit(True))
+    cands = reg.join(known, "metric", "left").select("cand_id", "metric",
+                                                       F.coalesce("_known", F.lit(False)).alias("known"))
+    g = (points.groupBy("cand_id", "series_key")
+         .agg(F.array_sort(F.collect_list(F.struct(F.unix_micros("step_ts").alias("t"), "value"))).alias("_p")))
+    vals = F.array_join(F.transform("_p", lambda p: F.concat(
+        F.lit("["), (p["t"].cast("double") / F.lit(1e6)).cast("string"), F.lit(',"'), pl.value_text(p["value"]),
+        F.lit('"]'))), ",")
+    data = g.select("cand_id", F.concat(
+        F.lit('{"status":"success","data":{"resultType":"matrix","result":[{"metric":'), F.col("series_key"),
+        F.lit(',"values":['), vals, F.lit("]}]}}")).alias("payload"))
+    empty = (cands.where("known").join(g.select("cand_id").distinct(), "cand_id", "left_anti")
+             .select("cand_id", F.lit('{"status":"success","data":{"resultType":"matrix","result":[]}}')
+                     .alias("payload")))
+    errors = cands.where(~F.col("known")).select("cand_id", F.format_string(
+        '{"status":"error","errorType":"bad_data","error":"unknown metric %s"}', "metric").alias("payload"))
+    # responses arrive as files in practice: write them once, read them back
+    return materialize(data.unionByName(empty).unionByName(errors), "responses")
+
+
+def diagnose_payloads_q(spark, sf):
+    from .payload_diagnose import diagnose_payloads
+    res = diagnose_payloads(spark, candidate_responses(spark, sf), _registry().to_df(spark)).results
+    return res.select("component", F.col("ordinal").cast("long").alias("ordinal"), "name", "query", "status",
+                      F.coalesce("error", F.lit("")).alias("error"), *_summary_cols())
+
+
 def diagnose_json_q(spark, sf):
     return sinks.results_json(diagnose_run(spark, sf).results)
 
@@ -421,6 +459,7 @@ QUERIES = {
     "payload_vector": payload_vector_q,
     "payload_names": payload_names_q,
     "payload_rejects": payload_rejects_q,
+    "diagnose_payloads": diagnose_payloads_q,
     "diagnose_json": diagnose_json_q,
     "findings_report": findings_report_q,
 }

@@ -92,3 +92,20 @@ def test_inverted_range_is_empty(spark):
     res = diagnose(spark, samples_df(spark, _rows("ring")), reg, WIN, step_s=60,
                    start="2024-01-15T13:00:00Z", end="2024-01-15T14:00:00Z")
     assert res.results.collect()[0]["status"] == "empty"
+
+
+def test_payload_fallback_with_errors(spark):
+    """Primary error stops (no fallback); an erroring alternative is skipped."""
+    from chronolens.plans.payload_diagnose import diagnose_payloads
+    reg = Registry([Entry("ruler", "a", "d", (Candidate("rate", "p1"), Candidate("rate", "p2"))),
+                    Entry("ruler", "b", "d", (Candidate("rate", "q1"), Candidate("rate", "q2"),
+                                              Candidate("rate", "q3")))], range_s=300, lookback_s=300)
+    ok = ('{"status":"success","data":{"resultType":"matrix","result":[{"metric":{"job":"x"},'
+          '"values":[[1,"1"],[2,"3"]]}]}}')
+    empty = '{"status":"success","data":{"resultType":"matrix","result":[]}}'
+    err = '{"status":"error","errorType":"bad_data","error":"boom"}'
+    responses = spark.createDataFrame([(0, err), (1, ok), (2, empty), (3, err), (4, ok)], "cand_id int, payload string")
+    res = {r["name"]: r for r in diagnose_payloads(spark, responses, reg.to_df(spark)).results.collect()}
+    assert res["a"]["status"] == "error" and res["a"]["priority"] == 0 and res["a"]["error"].startswith("query failed: boom")
+    assert res["a"]["series_count"] is None
+    assert res["b"]["priority"] == 2 and res["b"]["status"] == "ok" and res["b"]["max_value"] == 3.0
