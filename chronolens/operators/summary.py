@@ -66,7 +66,8 @@ def series_stats(points: DataFrame, group_cols: Sequence[str], order_col: str =
 
 
 def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts_s",
-              chunks: int = 8, materialize=True, pos_col: str | None = None) -> DataFrame:
+              chunks: int = 8, materialize=True, pos_col: str | None = None,
+              known_small: bool = False) -> DataFrame:
     """Level 1 + level 2: one summary row per group (groups with ≥ 1 series).
 
     The series table (one row per result series) is checkpointed to the
@@ -76,8 +77,8 @@ def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts
     """
     g = list(group_cols)
     s = series_stats(points, g, order_col, pos_col)
-    small = False
-    if materialize:
+    small = known_small
+    if materialize and not known_small:
         s = write_and_read(s, "series-stats")
         # counting a written parquet table reads footers only; under the
         # bound the whole series table fits one window task comfortably

@@ -27,7 +27,7 @@ from ..functions.exprs import MICROS
 from ..model import Grid, TimeWindow, series_key
 from ..operators import hist, rangefn
 from ..operators.neighbors import DEFAULT_BUCKET_S, with_neighbors
-from ..operators.summary import SUMMARY_COLS, summarize
+from ..operators.summary import SMALL_SERIES_TABLE, SUMMARY_COLS, summarize
 from ..session import checked_broadcast, default_parallelism
 from ..sources.samples import time_part_filter
 from ..sources.testviews import TABLE_PART
@@ -50,7 +50,7 @@ def _matcher_ok():
 def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
                         metrics: list[str], max_reach_s: int,
                         bucket_s: int = DEFAULT_BUCKET_S, broadcast_rows: int = 1_000_000,
-                        range_s: int | None = None) -> DataFrame:
+                        range_s: int | None = None, bound_out: list | None = None) -> DataFrame:
     """Points ``(cand_id, series_key, k, step_ts, value)`` of all candidates."""
     lo = F.timestamp_micros(F.lit(grid.start_us - max_reach_s * MICROS))
     hi = F.timestamp_micros(F.lit(grid.end_us))
@@ -69,7 +69,9 @@ def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
                     .withColumn("labels", F.from_json("series_key", "map<string,string>")))
     chosen = (series.join(F.broadcast(cands), on="metric", how="inner").where(_matcher_ok())
                     .select("metric", "series_key", "cand_id", "kind", "quantile", "reach_us", "is_rate"))
-    chosen = checked_broadcast(chosen, max_rows=broadcast_rows)
+    chosen, n_chosen = checked_broadcast(chosen, max_rows=broadcast_rows, with_count=True)
+    if bound_out is not None:
+        bound_out.append(n_chosen)
     keys = ["cand_id", "series_key"]
     consts = ["is_gauge", "is_hq", "is_rate", "quantile", "reach_us"]
     g = F.col("is_gauge")
@@ -135,13 +137,19 @@ def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window
     grid = Grid.of(s, e, step_s)
     reg_df = reg.to_df(spark)
     max_reach = max(reg.range_s, reg.lookback_s)
+    bound: list = []
     if grid.empty:
         points = spark.createDataFrame([], "cand_id INT, series_key STRING, k INT, step_ts TIMESTAMP, value DOUBLE")
+        bound.append(0)
     else:
         points = evaluate_candidates(samples, reg_df, grid, metrics=reg.metrics(), max_reach_s=max_reach,
-                                     bucket_s=bucket_s, range_s=reg.range_s)
+                                     bucket_s=bucket_s, range_s=reg.range_s, bound_out=bound)
     pts = points.withColumn("ts_s", F.unix_micros("step_ts").cast("double") / F.lit(1e6))
-    summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark))
+    # the counted (candidate, series) selection bounds the result series of
+    # every candidate: under the bound the summary needs no materialisation
+    small = bound[0] <= SMALL_SERIES_TABLE
+    summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark),
+                     materialize=not small, known_small=small)
     cand = (reg_df.join(summ, on="cand_id", how="left")
                   .withColumn("status", F.when(F.coalesce(F.col("n_points"), F.lit(0)) > 0, F.lit("ok"))
                                          .otherwise(F.lit("empty"))))

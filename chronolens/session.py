@@ -84,10 +84,11 @@ def materialize(df, name: str):
     return spark.read.parquet(path)
 
 
-def checked_broadcast(df, max_rows: int):
+def checked_broadcast(df, max_rows: int, with_count: bool = False):
     """Broadcast ``df`` only when it is proven small: count it first (one
     cheap job on an already-reduced table). Beyond the bound the join stays a
     shuffle join and AQE may still convert it from runtime statistics."""
     from pyspark.sql import functions as F
     n = df.count()
-    return F.broadcast(df) if n <= max_rows else df
+    out = F.broadcast(df) if n <= max_rows else df
+    return (out, n) if with_count else out
