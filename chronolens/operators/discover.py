@@ -22,14 +22,27 @@ def in_window(samples: DataFrame, window: TimeWindow) -> DataFrame:
     return samples.where((F.col("ts") >= lo) & (F.col("ts") <= hi))
 
 
-def metric_names(samples: DataFrame, window: TimeWindow) -> DataFrame:
-    return in_window(samples, window).select("metric").distinct()
+def _match(samples: DataFrame, match) -> DataFrame:
+    """``match``: None (all), a metric name, ``(metric, matchers)`` or a list
+    of matcher triples (``("__name__", "=~", "…")`` selects names by regex)."""
+    from . import select as sel
+    if match is None:
+        return samples
+    if isinstance(match, str):
+        return sel.select(samples, match)
+    if isinstance(match, tuple) and len(match) == 2 and not isinstance(match[1], str):
+        return sel.select(samples, match[0], match[1])
+    return sel.select(samples, None, match)
 
 
-def list_metrics(samples: DataFrame, window: TimeWindow, limit: int = 0) -> DataFrame:
+def metric_names(samples: DataFrame, window: TimeWindow, match=None) -> DataFrame:
+    return in_window(_match(samples, match), window).select("metric").distinct()
+
+
+def list_metrics(samples: DataFrame, window: TimeWindow, limit: int = 0, match=None) -> DataFrame:
     """Columns ``metric``, ``truncated`` (same value on every row)."""
     n = DEFAULT_LIST_LIMIT if limit <= 0 else int(limit)
-    top = metric_names(samples, window).orderBy("metric").limit(n + 1)
+    top = metric_names(samples, window, match).orderBy("metric").limit(n + 1)
     # a window over at most n + 1 rows: bounded
     w = Window.orderBy("metric")
     ranked = top.withColumn("_pos", F.row_number().over(w)).withColumn("_cnt", F.count(F.lit(1)).over(Window.partitionBy()))

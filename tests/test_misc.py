@@ -128,3 +128,12 @@ def test_report(spark):
     one = spark.createDataFrame([("ruler", "missed", "5", "desc", "critical", 0)], empty.schema)
     lines = [r["line"] for r in sinks.report_lines(spark, one, "x").orderBy("line_no").collect()]
     assert lines[-1] == "| ruler | missed | 5 | critical | desc |" and sinks.TABLE_HEADER in lines
+
+
+def test_list_metrics_match(spark):
+    df = samples_df(spark, [("up", {"job": "a"}, 1705313000, 1.0), ("up_total", {"job": "b"}, 1705313000, 1.0),
+                            ("down", {"job": "a"}, 1705313000, 1.0)])
+    got = [r["metric"] for r in discover.list_metrics(df, WIN, match=[("__name__", "=~", "up.*")]).collect()]
+    assert got == ["up", "up_total"]
+    got = [r["metric"] for r in discover.list_metrics(df, WIN, match=[("job", "=", "a")]).collect()]
+    assert got == ["down", "up"]

@@ -88,3 +88,18 @@ def test_two_level_matches_direct(spark):
     mean = sum(vals) / n
     cv = math.sqrt(sum((v - mean) ** 2 for v in vals) / n) / abs(mean)
     assert s["cv"] == pytest.approx(cv, rel=1e-9)
+
+
+def test_summary_invariant_under_repartition(spark):
+    import random
+    rnd = random.Random(2)
+    series = [(f"k{i:02d}", [rnd.choice([0, 1, 2.5, 7, 100]) for _ in range(rnd.randint(1, 9))]) for i in range(25)]
+    pts = _points(spark, series)
+    a = summarize(pts, ["grp"], "ts_s", chunks=4, materialize=False).collect()[0].asDict()
+    b = summarize(pts.repartition(5).orderBy(F.rand(3)), ["grp"], "ts_s", chunks=2,
+                  materialize=False).collect()[0].asDict()
+    for key in a:
+        if isinstance(a[key], float):
+            assert a[key] == pytest.approx(b[key], rel=1e-12, abs=1e-12)
+        else:
+            assert a[key] == b[key]
