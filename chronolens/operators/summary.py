@@ -70,19 +70,20 @@ def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts
               known_small: bool = False) -> DataFrame:
     """Level 1 + level 2: one summary row per group (groups with ≥ 1 series).
 
-    The series table (one row per result series) is checkpointed to the
-    session's checkpoint folder: the range partitioning of level 2 samples
-    its input, and without the checkpoint that sampling job would re-run the
-    whole upstream evaluation.
+    The series table (one row per result series) is written to the
+    session's checkpoint folder and read back: level 2 reads it several times
+    (and range partitioning samples it), which would otherwise re-run the
+    whole upstream evaluation. ``known_small`` is a caller's proven bound
+    that lets the single-window prefix path skip counting the table.
     """
     g = list(group_cols)
     s = series_stats(points, g, order_col, pos_col)
     small = known_small
-    if materialize and not known_small:
+    if materialize:
         s = write_and_read(s, "series-stats")
         # counting a written parquet table reads footers only; under the
         # bound the whole series table fits one window task comfortably
-        small = s.count() <= SMALL_SERIES_TABLE
+        small = small or s.count() <= SMALL_SERIES_TABLE
     return summarize_series(s, g, chunks, small=small)
 
 

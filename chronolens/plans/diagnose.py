@@ -146,10 +146,10 @@ def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window
                                      bucket_s=bucket_s, range_s=reg.range_s, bound_out=bound)
     pts = points.withColumn("ts_s", F.unix_micros("step_ts").cast("double") / F.lit(1e6))
     # the counted (candidate, series) selection bounds the result series of
-    # every candidate: under the bound the summary needs no materialisation
+    # every candidate: under the bound the summary takes the single-window
+    # prefix path without counting its (written) series table
     small = bound[0] <= SMALL_SERIES_TABLE
-    summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark),
-                     materialize=not small, known_small=small)
+    summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark), known_small=small)
     cand = (reg_df.join(summ, on="cand_id", how="left")
                   .withColumn("status", F.when(F.coalesce(F.col("n_points"), F.lit(0)) > 0, F.lit("ok"))
                                          .otherwise(F.lit("empty"))))
