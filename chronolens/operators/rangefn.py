@@ -183,7 +183,7 @@ def interval_table(df: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         F.min("ts_us").alias("first_ts_us"), F.max("ts_us").alias("last_ts_us"),
         F.min_by("value", "ts_us").alias("first_v"), F.max_by("value", "ts_us").alias("last_v"),
-        F.sum(inner).alias("_inner"))
+        F.sum("value").alias("sum_v"), F.sum(inner).alias("_inner"))
     wi = Window.partitionBy(*keys).orderBy("j")
     prev_last = F.lag("last_v").over(wi)
     iv = (iv.withColumn("_plv", prev_last)
@@ -242,6 +242,15 @@ def range_vector(df: DataFrame, keys: Sequence[str], grid: Grid, range_s,
     """
     keys = _key_list(keys, range_s)
     r = _us(range_s)
+    if isinstance(range_s, (int, float)) and intervals_apply(grid, int(round(range_s * MICROS))):
+        # per-interval summaries, then only interval rows expand to steps
+        iv = interval_table(df, keys, grid)
+        lo, hi = interval_window_steps(grid, r)
+        return (_explode_steps(iv, lo, hi).groupBy(*keys, "k").agg(
+                    F.sum("n").alias("n"), F.min("first_ts_us").alias("first_ts_us"),
+                    F.max("last_ts_us").alias("last_ts_us"), F.sum("sum_v").alias("sum_value"))
+                .withColumn("step_ts", F.timestamp_micros(grid.step_ts_us(F.col("k"))))
+                .select("*", *[_rebuild(cc) for cc in carry]))
     lo, hi = _steps_for_window(grid, F.col("ts_us"), r)
     x = _explode_steps(df, lo, hi)
     return (x.groupBy(*keys, "k").agg(
