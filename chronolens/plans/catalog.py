@@ -308,9 +308,13 @@ def _event_k(spark, sf):
 
 def outcome_rollup_q(spark, sf):
     r = _event_k(spark, sf).withColumn("status_code", _code(F.col("k")))
-    return outcomes.rollup(r).select(F.col("status_code").cast("long").alias("status_code"),
-                                     F.coalesce("category", F.lit("")).alias("category"),
-                                     "connection_status", "n")
+    return outcomes.rollup(r).select(
+        F.col("status_code").cast("long").alias("status_code"),
+        F.coalesce("category", F.lit("")).alias("category"),
+        "connection_status",
+        F.when(F.col("category").isNotNull(), outcomes.status_of_category(F.col("category")))
+         .otherwise(F.lit("")).alias("error_status"),
+        "n")
 
 
 def outcome_snippet_q(spark, sf):

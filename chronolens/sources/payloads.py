@@ -82,8 +82,11 @@ def decode_points(df: DataFrame, col: str = "payload", id_cols: Sequence[str] =
     NULL point, so it still counts as a series.
     """
     a = _accepted(df, col)
-    series = a.select(*id_cols, F.posexplode_outer(F.try_variant_get("_v", "$.data.result", "array<variant>"))
-                      .alias("series_idx", "_s"))
+    result = F.try_variant_get("_v", "$.data.result", "array<variant>")
+    # a result that is not a list of series objects (e.g. a scalar
+    # ``[ts, "v"]``) does not decode as series at all: no series, no points
+    as_series = F.when(F.forall(result, lambda e: F.schema_of_variant(e).startswith("OBJECT")), result)
+    series = a.select(*id_cols, F.posexplode_outer(as_series).alias("series_idx", "_s"))
     series = series.where(F.col("_s").isNotNull())
     metric_map = F.try_variant_get("_s", "$.metric", "map<string,string>")
     series = (series.withColumn("_m", F.coalesce(metric_map, F.create_map().cast("map<string,string>")))

@@ -137,3 +137,23 @@ def test_list_metrics_match(spark):
     assert got == ["up", "up_total"]
     got = [r["metric"] for r in discover.list_metrics(df, WIN, match=[("job", "=", "a")]).collect()]
     assert got == ["down", "up"]
+
+
+def test_scalar_result_is_not_series(spark):
+    df = spark.createDataFrame(
+        [("s", '{"status":"success","data":{"resultType":"scalar","result":[1705312800,"1"]}}'),
+         ("v", '{"status":"success","data":{"resultType":"vector","result":[{"metric":{"a":"b"},"value":[1,"2"]}]}}')],
+        "id string, payload string")
+    rows = pl.decode_points(df, id_cols=["id"]).collect()
+    assert [r["id"] for r in rows] == ["v"]        # the vector's series counts; the scalar has none
+    assert rows[0]["value"] is None                # a vector has no "values": no valid point
+
+
+def test_category_to_status(spark):
+    df = spark.createDataFrame([(c,) for c in CATS], "c string")
+    got = {r["c"]: r["s"] for r in df.select("c", outcomes.status_of_category(F.col("c")).alias("s")).collect()}
+    assert got == {"auth": "auth_failed", "connectivity": "unreachable", "config_error": "wrong_endpoint",
+                   "server_error": "error", "query_error": "error", "timeout": "error"}
+
+
+CATS = ["auth", "connectivity", "config_error", "server_error", "query_error", "timeout"]
