@@ -337,6 +337,18 @@ def payload_matrix_q(spark, sf):
     return pts.select("metric", "series_key", F.floor("ts_s").cast("long").alias("ts_s"), r6("value").alias("value"))
 
 
+def payload_summary_q(spark, sf):
+    """Summary per day over range payloads of ``event_value`` in which some
+    points are malformed (value as a JSON number): values below 1, and every
+    point on the 7th of the month. Skipped points leave their series counted."""
+    s = tv.metric_table(spark, sf, "event_value")
+    bad = (F.col("value") < 1.0) | (F.dayofmonth("ts") == 7)
+    pays = pl.build_range_payloads(s.withColumn("_bad", bad), bad_col="_bad")
+    pts = pl.decode_points(pays, id_cols=["chunk"])
+    summ = summarize(pts, ["chunk"], "ts_s", chunks=default_parallelism(spark), pos_col="point_idx")
+    return summ.select(F.col("chunk").cast("long").alias("day"), *_summary_cols())
+
+
 def payload_vector_q(spark, sf):
     t = EV_GRID.end_us
     s = rangefn.in_reach(tv.metric_table(spark, sf, *tv.EVENT_METRICS), Grid(t, t, 1), tv.EVENTS_LOOKBACK_S)
@@ -461,6 +473,7 @@ QUERIES = {
     "outcome_snippet": outcome_snippet_q,
     "payload_matrix": payload_matrix_q,
     "payload_vector": payload_vector_q,
+    "payload_summary": payload_summary_q,
     "payload_names": payload_names_q,
     "payload_rejects": payload_rejects_q,
     "diagnose_payloads": diagnose_payloads_q,

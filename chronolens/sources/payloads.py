@@ -132,20 +132,26 @@ def _metric_json(metric: Column, labels: Column) -> Column:
     return F.to_json(F.map_concat(F.create_map(F.lit("__name__"), metric), labels))
 
 
-def build_range_payloads(samples: DataFrame, chunk_s: int = 86400) -> DataFrame:
+def build_range_payloads(samples: DataFrame, chunk_s: int = 86400, bad_col: str | None = None) -> DataFrame:
     """One matrix payload per (series, time chunk): the group is bounded by
-    the samples of one series in one chunk. Columns: ``payload_id``, ``payload``."""
+    the samples of one series in one chunk. Columns: ``payload_id``,
+    ``chunk``, ``payload``. Rows flagged by ``bad_col`` are written with the
+    value as a JSON number instead of a string (a malformed point)."""
     chunk_us = int(chunk_s) * 1_000_000
+    bad = F.col(bad_col) if bad_col else F.lit(False)
     g = (samples.withColumn("_chunk", F.floor(F.col("ts_us") / F.lit(chunk_us)).cast("long"))
+                .withColumn("_bad", bad)
                 .groupBy("metric", "series_key", "_chunk")
-                .agg(F.array_sort(F.collect_list(F.struct("ts_us", "value"))).alias("_pts")))
+                .agg(F.array_sort(F.collect_list(F.struct("ts_us", "value", "_bad"))).alias("_pts")))
     pts_txt = F.array_join(F.transform("_pts", lambda p: F.concat(
-        F.lit("["), _ts_text(p["ts_us"]), F.lit(',"'), value_text(p["value"]), F.lit('"]'))), ",")
+        F.lit("["), _ts_text(p["ts_us"]),
+        F.when(p["_bad"], F.concat(F.lit(","), value_text(p["value"]), F.lit("]")))
+         .otherwise(F.concat(F.lit(',"'), value_text(p["value"]), F.lit('"]'))))), ",")
     labels = F.from_json(F.col("series_key"), "map<string,string>")
     payload = F.concat(F.lit('{"status":"success","data":{"resultType":"matrix","result":[{"metric":'),
                        _metric_json(F.col("metric"), labels), F.lit(',"values":['), pts_txt, F.lit("]}]}}"))
     return g.select(F.concat_ws("|", "metric", "series_key", F.col("_chunk").cast("string")).alias("payload_id"),
-                    payload.alias("payload"))
+                    F.col("_chunk").alias("chunk"), payload.alias("payload"))
 
 
 def build_vector_payloads(instant: DataFrame, t_us: int) -> DataFrame:
