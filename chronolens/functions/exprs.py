@@ -27,8 +27,6 @@ def lit(x) -> Column:
     return x if isinstance(x, Column) else F.lit(x)
 
 
-def not_nan(x) -> Column:
-    return ~F.isnan(c(x))
 
 
 def gt(a, b) -> Column:
@@ -96,8 +94,6 @@ def ntz_micros(col) -> Column:
     return F.timestamp_diff("MICROSECOND", epoch, c(col).cast("timestamp_ntz"))
 
 
-def micros_to_ts(us) -> Column:
-    return F.timestamp_micros(c(us))
 
 
 def epoch_s(us) -> Column:
@@ -135,6 +131,3 @@ def parse_float_text(s) -> Column:
     overflow = (F.abs(v) == F.lit(INF)) & ~s.rlike(_INF_WORD_RE)
     return F.when(ok & ~overflow, v)
 
-
-def int_micros(seconds: float) -> int:
-    return int(round(seconds * MICROS))

@@ -149,6 +149,3 @@ class Grid:
     def step_ts_us(self, k: Column) -> Column:
         return F.lit(self.start_us) + k.cast("long") * F.lit(self.step_us)
 
-
-def with_ts_us(df: DataFrame, ts_col: str = "ts") -> DataFrame:
-    return df.withColumn("ts_us", F.unix_micros(F.col(ts_col)))

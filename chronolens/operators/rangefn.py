@@ -27,7 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import INF, MICROS, ceil_div, ieee_div, lt
+from ..functions.exprs import MICROS, ceil_div, ieee_div, lt
 from ..model import Grid
 from .neighbors import DEFAULT_BUCKET_S, with_neighbors
 
@@ -139,28 +139,6 @@ def intervals_apply(grid: Grid, range_us: int) -> bool:
     return range_us > 0 and range_us % grid.step_us == 0
 
 
-def interval_aggregate(df: DataFrame, keys: Sequence[str], grid: Grid,
-                       consts: Sequence[str] = ()) -> DataFrame:
-    """Level 1: each sample once, per (series, step interval ``j``).
-
-    ``j = ⌈(ts − S)/P⌉`` is the step whose interval ``(t_j − P, t_j]`` holds
-    the sample. Keeps count, first/last sample, the next sample after the
-    last (for as-of spans), the sum of counter resets of every pair ending in
-    the interval and the reset of the pair that enters it (its first sample).
-    Input needs ``prev_ts_us``/``prev_value`` (and ``next_ts_us`` for gauges).
-    """
-    S, P = F.lit(grid.start_us), F.lit(grid.step_us)
-    reset = F.when(F.col("prev_value").isNotNull() & lt(F.col("value"), F.col("prev_value")),
-                   F.col("prev_value")).otherwise(F.lit(0.0))
-    nxt = [F.max_by("next_ts_us", "ts_us").alias("last_next_ts_us")] if "next_ts_us" in df.columns else []
-    return (df.withColumn("j", ceil_div(F.col("ts_us") - S, P)).withColumn("_reset", reset)
-              .groupBy(*keys, "j").agg(
-                  *[F.first(cc).alias(cc) for cc in consts],
-                  F.count(F.lit(1)).alias("n"),
-                  F.min("ts_us").alias("first_ts_us"), F.max("ts_us").alias("last_ts_us"),
-                  F.min_by("value", "ts_us").alias("first_v"), F.max_by("value", "ts_us").alias("last_v"),
-                  *nxt,
-                  F.sum("_reset").alias("tot_resets"), F.min_by("_reset", "ts_us").alias("cross_reset")))
 
 
 def interval_table(df: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
@@ -366,4 +344,4 @@ def instant(df: DataFrame, keys: Sequence[str], t_us: int, lookback_s,
 
 
 __all__ = ["in_reach", "step_grid", "request_steps", "range_vector", "extrapolated",
-           "increase", "rate", "gauge_on_grid", "instant", "INF"]
+           "increase", "rate", "gauge_on_grid", "instant", "interval_table", "steps_from_intervals"]

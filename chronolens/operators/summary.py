@@ -158,11 +158,3 @@ def trend_label(n: Column, mean: Column, slope: Column, cv: Column) -> Column:
              .when(~nonzero_mean & lt(slope, -0.001), F.lit("decreasing"))
              .otherwise(F.lit("stable")))
 
-
-def empty_summary_cols() -> list[Column]:
-    """Summary of a query with no result (not a matrix, or no series)."""
-    return [F.lit(0).cast("long").alias("series_count"), F.lit(0).cast("long").alias("n_points"),
-            F.lit(0.0).alias("max_value"), F.lit(None).cast("string").alias("max_timestamp"),
-            F.lit(0.0).alias("avg_value"), F.lit(0.0).alias("non_zero_percentage"),
-            F.lit("").alias("trend"), F.lit(None).cast("double").alias("slope"),
-            F.lit(None).cast("double").alias("cv")]

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import epoch_s, r6
 from ..model import Grid, clamp_instant_value, clamp_range, series_key, to_micros
-from ..functions.exprs import fdiv, ntz_micros
+from ..functions.exprs import ntz_micros
 from ..operators import aggregate, discover, hist, outcomes, rangefn
 from ..operators import select as sel
 from ..operators.summary import summarize
@@ -481,4 +481,4 @@ QUERIES = {
     "findings_report": findings_report_q,
 }
 
-__all__ = ["QUERIES", "diagnose_run", "summarize", "default_parallelism", "to_micros"]
+__all__ = ["QUERIES", "diagnose_run", "candidate_responses"]

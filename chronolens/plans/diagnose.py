@@ -27,7 +27,7 @@ from ..functions.exprs import MICROS
 from ..model import Grid, TimeWindow, series_key
 from ..operators import hist, rangefn
 from ..operators.neighbors import DEFAULT_BUCKET_S, with_neighbors
-from ..operators.summary import SMALL_SERIES_TABLE, SUMMARY_COLS, summarize
+from ..operators.summary import SMALL_SERIES_TABLE, summarize
 from ..session import checked_broadcast, default_parallelism
 from ..sources.samples import time_part_filter
 from ..sources.testviews import TABLE_PART
@@ -174,4 +174,4 @@ def _fill_empty(cand: DataFrame) -> DataFrame:
     return cand
 
 
-__all__ = ["diagnose", "evaluate_candidates", "DiagnoseResult", "SUMMARY_COLS"]
+__all__ = ["diagnose", "evaluate_candidates", "DiagnoseResult"]
