@@ -126,6 +126,12 @@ def histogram_quantile(points: DataFrame, q, group_keys: Sequence[str], *,
         *[F.first(cc, ignorenulls=True).alias(cc) for cc in carry])
     # a group none of whose bounds parse has no histogram: no output row
     grouped = grouped.where(F.exists("_buckets", lambda b: b["le"].isNotNull()))
-    qcol = F.lit(float(q)) if isinstance(q, (int, float)) else F.col(q)
+    extra = []
+    if isinstance(q, (list, tuple)):
+        # several quantiles from one grouping: each group row once per q
+        grouped = grouped.withColumn("quantile", F.explode(F.array(*[F.lit(float(x)) for x in q])))
+        qcol, extra = F.col("quantile"), ["quantile"]
+    else:
+        qcol = F.lit(float(q)) if isinstance(q, (int, float)) else F.col(q)
     out = with_quantile(grouped, qcol, "_buckets")
-    return out.select(*group_keys, *step_cols, *carry, "value")
+    return out.select(*group_keys, *step_cols, *carry, *extra, "value")

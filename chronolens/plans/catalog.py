@@ -90,11 +90,7 @@ def _bucket_rates(spark, sf):
 
 
 def histogram_quantile_q(spark: SparkSession, sf: str) -> DataFrame:
-    rates = _bucket_rates(spark, sf)
-    out = None
-    for q in (0.99, 0.5):
-        h = hist.histogram_quantile(rates, q, ["grp_key"]).withColumn("quantile", F.lit(q))
-        out = h if out is None else out.unionByName(h)
+    out = hist.histogram_quantile(_bucket_rates(spark, sf), [0.99, 0.5], ["grp_key"])
     return out.select("quantile", F.col("grp_key").alias("series_key"), _step_s(), r6("value").alias("value"))
 
 
