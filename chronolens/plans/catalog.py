@@ -37,7 +37,7 @@ def _step_s() -> F.Column:
 
 
 def _counters(spark, sf):
-    return tv.metric_table(spark, sf, "events_total").unionByName(tv.metric_table(spark, sf, "event_value_sum_total"))
+    return tv.metric_table(spark, sf, "events_total", "event_value_sum_total")
 
 
 # ------------------------------------------------------------------ T1–T8
@@ -327,7 +327,7 @@ def outcome_snippet_q(spark, sf):
 # ------------------------------------------------------------------ S1–S8
 
 def payload_matrix_q(spark, sf):
-    s = tv.metric_table(spark, sf, "event_value").unionByName(tv.metric_table(spark, sf, "event_value_sum_total"))
+    s = tv.metric_table(spark, sf, "event_value", "event_value_sum_total")
     pays = pl.build_range_payloads(s)
     pts = pl.decode_points(pays, id_cols=["payload_id"])
     return pts.select("metric", "series_key", F.floor("ts_s").cast("long").alias("ts_s"), r6("value").alias("value"))
