@@ -7,11 +7,18 @@ Semantics follow the public PromQL definitions:
 * ``increase``/``rate`` use the counter-reset correction and the boundary
   extrapolation of the public implementation; ``rate`` divides by ``r``.
 
-Plan shape. No range join: each sample is exploded to exactly the steps whose
-window holds it (``k ∈ [⌈(ts−S)/P⌉, ⌈(ts+r−S)/P⌉−1] ∩ [0, K]``), then one
-grouped aggregate per ``(series, step)``. The aggregate runs partial
-(map-side) before its exchange, so the explode never crosses the network at
-full size. Integer microseconds everywhere, so window edges are exact.
+Plan shape, never a range join, integer microseconds everywhere:
+
+* range a whole number of steps (the common case): every window is a union of
+  step intervals ``(t_j − P, t_j]``. Each sample is aggregated once per
+  (series, interval) — inner pairs from a ``lag`` per (series, interval),
+  entering pairs from a ``lag`` over the interval rows — and only the small
+  interval rows expand to the steps of their windows (``interval_table``,
+  ``steps_from_intervals``). Two exchanges in all; no per-series task.
+* any other range: each sample is exploded to exactly the steps whose window
+  holds it (``k ∈ [⌈(ts−S)/P⌉, ⌈(ts+r−S)/P⌉−1] ∩ [0, K]``), with neighbours
+  from ``operators.neighbors``, then one grouped aggregate per
+  ``(series, step)`` that runs partial (map-side) before its exchange.
 
 Inputs are DataFrames with the series identity columns ``keys``, ``ts_us``
 (BIGINT) and ``value``; ``carry`` columns (e.g. ``labels``) are constant per
