@@ -3,7 +3,7 @@ import duckdb
 
 import __spark_entry__ as se
 
-ROWS_ONLY = {"diagnose_json", "findings_report"}
+ROWS_ONLY = {"diagnose_json"}
 
 
 def test_keys_pair_up():
