@@ -9,6 +9,11 @@ a group may hold a third of all rows, so instead:
    tag each row with its range partition — an order-preserving chunk id;
 2. prefix sums inside each ``(group, chunk)`` (bounded by the chunk size);
 3. prefix over chunk totals per group (at most ``chunks`` rows per group).
+
+The chunk id is the range partition a row lands in. The partition bounds are
+fixed once per shuffle (sampled from the input), so a retried task after an
+executor loss assigns every row to the same chunk; callers pass a written
+(materialised) input, so the sample itself is stable too.
 """
 
 from __future__ import annotations

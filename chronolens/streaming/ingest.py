@@ -19,6 +19,14 @@ from ..sources import payloads as pl
 from ..sources.samples import write_samples
 
 
+def stream_checkpoint(spark: SparkSession, name: str) -> str:
+    """Progress location that survives a restart of the application: under
+    the configured ``spark.checkpoint.dir`` root (not the per-application
+    subfolder Spark creates for RDD checkpoints)."""
+    root = spark.conf.get("spark.checkpoint.dir", None) or checkpoint_dir(spark)
+    return f"{root.rstrip('/')}/chronolens-streams/{name}"
+
+
 def payload_stream(spark: SparkSession, input_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
     return (spark.readStream.format("text").option("maxFilesPerTrigger", max_files_per_trigger)
             .load(input_dir).select(F.input_file_name().alias("source"), F.col("value").alias("payload")))
@@ -46,6 +54,6 @@ def start_ingest(spark: SparkSession, input_dir: str, table_path: str, rejects_p
             pl.rejects(batch, id_cols=["source"]).write.mode("append").parquet(rejects_path)
 
     writer = (stream.writeStream.queryName(name).foreachBatch(sink)
-              .option("checkpointLocation", f"{checkpoint_dir(spark)}/{name}"))
+              .option("checkpointLocation", stream_checkpoint(spark, name)))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()
