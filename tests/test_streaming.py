@@ -12,7 +12,8 @@ def test_ingest_available_now(spark, tmp_path):
     src.mkdir()
     (src / "a.jsonl").write_text(GOOD + "\n" + BAD + "\n")
     table, rej = str(tmp_path / "samples"), str(tmp_path / "rejects")
-    q = start_ingest(spark, str(src), table, rej, name=f"ingest-{tmp_path.name}", available_now=True)
+    import uuid
+    q = start_ingest(spark, str(src), table, rej, name=f"ingest-test-{uuid.uuid4().hex}", available_now=True)
     q.awaitTermination(120)
     rows = read_samples(spark, table).orderBy("ts").collect()
     assert [(r["metric"], r["series_key"], r["value"]) for r in rows] == [("up", '{"job":"a"}', 1.0),
