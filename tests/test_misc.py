@@ -157,3 +157,13 @@ def test_category_to_status(spark):
 
 
 CATS = ["auth", "connectivity", "config_error", "server_error", "query_error", "timeout"]
+
+
+def test_series_cap_two_level_matches_brute_force(spark):
+    from chronolens.operators.select import series_cap
+    rows = [(m, {"i": f"{i:04d}"}, 1705313000 + i, 1.0) for m in ("a", "b") for i in range(700)]
+    df = samples_df(spark, rows)
+    got = {(r["metric"], r["series_key"]) for r in series_cap(df, 25, buckets=8).select("metric", "series_key").collect()}
+    keys = sorted({(m, '{"i":"%04d"}' % i) for m in ("a", "b") for i in range(700)})
+    want = {k for m in ("a", "b") for k in sorted(k for k in keys if k[0] == m)[:25]}
+    assert got == want
