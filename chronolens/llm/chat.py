@@ -31,6 +31,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import arrow
+
 
 @dataclass(frozen=True)
 class Mapping:
@@ -185,7 +187,7 @@ def format_chats(records: DataFrame, record: str = "record", mappings=MAPPINGS)
                 [*batch.columns, pa.array(names, pa.string()), pa.array(prints, pa.string()), pa.array(texts, pa.string()), pa.array(spans, span)],
                 names=[*batch.schema.names, *added.names])
 
-    return rows.mapInArrow(run, T.StructType([*rows.schema.fields, *added.fields]))
+    return arrow(rows, run, T.StructType([*rows.schema.fields, *added.fields]))
 
 
 def digests(formatted: DataFrame) -> DataFrame:
@@ -204,7 +206,7 @@ def digests(formatted: DataFrame) -> DataFrame:
             kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names=names)
 
-    return formatted.select("conv_id", "formatted", "loss_spans", "layout").mapInArrow(run, schema)
+    return arrow(formatted.select("conv_id", "formatted", "loss_spans", "layout"), run, schema)
 
 
 def records_from_rows(rows: DataFrame) -> DataFrame:

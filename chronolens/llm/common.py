@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import numpy as np
@@ -50,6 +52,31 @@ def drop(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once an application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="chronolens-code-"), "chronolens_code.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in names:
+                if name.endswith(".py"):
+                    z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
+    context.addPyFile(path)
+    _shipped.add(context.applicationId)
+
+
+def arrow(df: DataFrame, run, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package on the executors."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column end to end, and the n + 1 offsets of its rows; null is empty."""
     column = column.cast(pa.large_string()).fill_null("")

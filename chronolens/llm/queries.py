@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, sharding, simhash, token_output
+from . import ann, chat, decontam, langid, sharding, simhash, token_output
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,6 +29,22 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
 
 
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()))
+    # lang, source and doc_id stay out of the prediction; held_out follows from the id afterwards
+    return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -41,7 +57,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_output": op2_token_output,
     "op3_simhash": op3_simhash,
+    "op4_language_id": op4_language_id,
+    "op7_nearest": op7_nearest,
+    "op8_decontamination": op8_decontamination,
     "op10_chat": op10_chat,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op8_decontamination": decontam.ORACLE}

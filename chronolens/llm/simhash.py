@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import arrow, slices, written
 from .components import components
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             fps = np.array([fingerprint(t or b"", shingle) for t in raw], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, fp long")
+    return arrow(docs.select("doc_id", "text"), run, "doc_id long, fp long")
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -131,7 +131,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
                 row, anchor, home = anchors(part, distance)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.astype(np.int32)), pa.array(part[row]), pa.array(home)], names=["anchor", "fp", "home"])
 
-    visits = fps.select("fp").mapInArrow(run, "anchor int, fp long, home boolean")
+    visits = arrow(fps.select("fp"), run, "anchor int, fp long, home boolean")
     homes = visits.where("home").select("anchor", F.col("fp").alias("u"))
     near = (F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance) & (F.col("u") < F.col("v"))
     # the smaller one's home sees each pair, so that each comes out once

@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import binary_column, drop, shared_dir, slices, written
+from .common import arrow, binary_column, drop, shared_dir, slices, written
 
 LIMIT = 20  # bits of the longest code; 2**LIMIT must be at least the number of distinct ids
 STEP = 64  # ids from one checkpoint to the next
@@ -74,7 +74,7 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                 [batch.column("doc_id"), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw, pa.binary())],
                 names=["doc_id", "n_tokens", "crc", "ids"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_tokens long, crc long, ids binary")
+    return arrow(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, crc long, ids binary")
 
 
 def id_counts(tokens: DataFrame) -> DataFrame:
@@ -90,7 +90,7 @@ def id_counts(tokens: DataFrame) -> DataFrame:
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return arrow(tokens.select("ids"), run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def code_lengths(counts: np.ndarray, limit: int = LIMIT) -> np.ndarray:
@@ -211,7 +211,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
             yield packed()
 
     ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("crc")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "crc", "n_tokens")
-    ordered.mapInArrow(run, "part long, block long, doc_ids array<long>, n_tokens array<long>, checkpoints binary, bits binary").write.parquet(f"{path}/blocks")
+    arrow(ordered, run, "part long, block long, doc_ids array<long>, n_tokens array<long>, checkpoints binary, bits binary").write.parquet(f"{path}/blocks")
     drop(spark, scratch)
 
 
@@ -233,7 +233,7 @@ def read_blocks(spark: SparkSession, path: str, step: int = STEP) -> DataFrame:
                     names=["part", "block", "pos", "doc_id", "n_tokens", "ids"])
 
     blocks = spark.read.schema("part long, block long, doc_ids array<long>, n_tokens array<long>, checkpoints binary, bits binary").parquet(f"{path}/blocks")
-    return blocks.mapInArrow(run, "part long, block long, pos long, doc_id long, n_tokens long, ids binary")
+    return arrow(blocks, run, "part long, block long, pos long, doc_id long, n_tokens long, ids binary")
 
 
 def starts(spark: SparkSession, path: str) -> DataFrame:
@@ -255,7 +255,7 @@ def digest(spark: SparkSession, path: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("part"), batch.column("block"), batch.column("pos"), batch.column("doc_id"), batch.column("n_tokens"), pa.array(crc, pa.int64())],
                                              names=["part", "block", "pos", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows, _ = written(read_blocks(spark, path).mapInArrow(run, "part long, block long, pos long, doc_id long, n_tokens long, ids_crc32 long"), "token-digest")
+    rows, _ = written(arrow(read_blocks(spark, path), run, "part long, block long, pos long, doc_id long, n_tokens long, ids_crc32 long"), "token-digest")
     in_block = F.coalesce(F.sum("n_tokens").over(Window.partitionBy("part", "block").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     return rows.withColumn("in_block", in_block).join(starts(spark, path), ["part", "block"]).select(
         "doc_id", (F.col("first") + F.col("in_block")).alias("start"), "n_tokens", "ids_crc32")
