@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, langid, sharding, simhash, suffix, token_output
+from . import ann, chat, decontam, langid, lm, sharding, simhash, suffix, token_output
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -50,6 +50,10 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(_read(spark, sf_dir, "documents"))
+
+
 def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = r"\### Assistant: </turn> ok"
     rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_nearest": op7_nearest,
     "op8_decontamination": op8_decontamination,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_chat": op10_chat,
 }
 

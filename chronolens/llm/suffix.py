@@ -34,14 +34,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import zstandard
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import _BASE, arrow, drop, mixed, powers, ship, slices, utf8, written
+from .blocks import Block, answered, blocks_of, planes, release, unplaned, written_blocks
+from .common import _BASE, arrow, mixed, powers
 
 LENGTH = 50
 #: Fixed value: a perfect difference set modulo 21; every nonzero residue is a difference exactly once.
@@ -49,7 +48,6 @@ COVER, MODULUS = (3, 6, 7, 12, 14), 21
 BLOCK = 4 << 20  # bytes of text in a block
 BUCKET = 8 << 20  # bytes of text for each bucket of keys
 _SEGMENT = 4 << 20  # positions hashed at a time
-_LAST = np.iinfo(np.int64).max
 
 _back = np.ones(1, np.uint64)
 
@@ -79,15 +77,8 @@ def window_keys(raw: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-class Block:
-    """Documents of a block: ids ascending, texts end to end."""
-
-    def __init__(self, docs: bytes, offsets: bytes, text: bytes) -> None:
-        self.docs, self.offsets = np.frombuffer(docs, "<i8"), np.frombuffer(offsets, "<i8")
-        self.raw = np.frombuffer(zstandard.decompress(text, max_output_size=max(1, int(self.offsets[-1]))) if len(text) else b"", np.uint8)
-        self.lengths = np.diff(self.offsets)
-        #: Rank of each document's id, the same for equal ids.
-        self.rank = np.searchsorted(self.docs, self.docs).astype(np.int32)
+class CoverBlock(Block):
+    """A block with its cover samples."""
 
     def samples(self, length: int) -> np.ndarray:
         """Positions on the cover that have a sample's length of text."""
@@ -100,9 +91,6 @@ class Block:
         start = np.cumsum(counts) - counts
         return pattern[np.arange(counts.sum()) - np.repeat(start, counts)] + np.repeat(self.offsets[:-1], counts)
 
-    def doc_of(self, at: np.ndarray) -> np.ndarray:
-        return self.rank[np.searchsorted(self.offsets[1:], at, side="right")] if len(at) else np.zeros(0, np.int32)
-
 
 class Keys:
     """Distinct keys of some positions, sorted; ``first`` has the smallest document rank of each."""
@@ -121,18 +109,7 @@ class Keys:
         self.last = np.maximum.reduceat(docs, begin) if len(begin) else docs[:0]
 
 
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """The ``width`` low bytes, byte by byte: sorted values compress by their high bytes."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
-
-
-def _unplaned(data: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
-    return out.view("<u8").ravel()
-
-
-def _sample_keys(block: Block, length: int, width: int) -> tuple[np.ndarray, Keys]:
+def _sample_keys(block: CoverBlock, length: int, width: int) -> tuple[np.ndarray, Keys]:
     at = block.samples(length)
     return at, Keys(window_keys(block.raw, at, length - MODULUS + 1) >> np.uint64(64 - 8 * width), block.doc_of(at))
 
@@ -143,7 +120,7 @@ def _range_cuts(distinct: np.ndarray, buckets: int, width: int) -> np.ndarray:
     return np.searchsorted(top, np.arange(buckets + 1, dtype=np.uint64))
 
 
-def _candidates(block: Block, length: int, width: int, buckets: int, answer: dict[int, bytes]) -> np.ndarray:
+def _candidates(block: CoverBlock, length: int, width: int, buckets: int, answer: dict[int, bytes]) -> np.ndarray:
     """Positions of the suffixes that reach a sample with an equal in another document."""
     at, keys = _sample_keys(block, length, width)
     tied = keys.first != keys.last
@@ -163,7 +140,7 @@ def _candidates(block: Block, length: int, width: int, buckets: int, answer: dic
 class Suffixes:
     """The candidate suffixes of a block: bucket by bucket, sorted by their string's key."""
 
-    def __init__(self, block: Block, at: np.ndarray, length: int, buckets: int) -> None:
+    def __init__(self, block: CoverBlock, at: np.ndarray, length: int, buckets: int) -> None:
         bucket = (window_keys(block.raw, at, min(8, length)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
         keys, docs = window_keys(block.raw, at, length), block.doc_of(at)
         by = np.argsort(bucket.astype(np.uint32), kind="stable")
@@ -174,59 +151,6 @@ class Suffixes:
             self.buckets[b] = own, Keys(keys[own], docs[own])
 
 
-def _written_blocks(docs: DataFrame, size: int) -> tuple[DataFrame, str]:
-    rest = [c for c in docs.columns if c != "text"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, total = TaskContext.get().partitionId() << 32, [], 0
-
-        def packed() -> pa.RecordBatch:
-            table = pa.Table.from_batches(held)
-            table = table.set_column(table.schema.get_field_index("text"), "text", table.column("text").cast(pa.large_string()))
-            table = table.take(pc.sort_indices(table.column("doc_id"), null_placement="at_end"))
-            ids = table.column("doc_id").cast(pa.int64()).fill_null(_LAST).to_numpy()
-            raw, offsets = utf8(table.column("text").combine_chunks())
-            sink = pa.BufferOutputStream()
-            others = table.drop_columns(["text"])
-            with pa.ipc.new_stream(sink, others.schema) as out:
-                out.write_table(others)
-            shrunk = [zstandard.compress(x, 1) for x in (raw.tobytes(), sink.getvalue().to_pybytes())]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([number], pa.int64()), *[pa.array([x], pa.binary()) for x in (ids.astype("<i8").tobytes(), offsets.astype("<i8").tobytes(), *shrunk)]],
-                names=["block", "docs", "offsets", "text", "rest"])
-
-        for batch in slices(batches, most=size):
-            held.append(batch)
-            total += pc.sum(pc.binary_length(batch.column("text"))).as_py() or 0
-            if total >= size:
-                yield packed()
-                number, held, total = number + 1, [], 0
-        if any(len(b) for b in held):
-            yield packed()
-
-    return written(arrow(docs.select(*rest, "text"), run, "block long, docs binary, offsets binary, text binary, rest binary"), "suffix-blocks")
-
-
-def _blocks_of(batch: pa.RecordBatch):
-    for i in range(len(batch)):
-        row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-        if "answer" in row:
-            row["answer"] = {x["bucket"]: x["bits"] for x in row["answer"] or []}
-        yield row, Block(row["docs"], row["offsets"], row["text"])
-
-
-def _answered(keys: DataFrame, answer, spark: SparkSession, name: str) -> tuple[DataFrame, str]:
-    """One bucket at a time through ``answer``; then each block's answers side by side."""
-    ship(spark)
-    bits, path = written(keys.groupBy("bucket").applyInArrow(answer, "block long, bucket int, bits binary"), name)
-    return bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answer")), path
-
-
-def _release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove the shuffle files of steps whose tables are written."""
-    spark._jvm.System.gc()
-
-
 def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
     """The rows of ``docs`` with a struct ``dedup``: n_bytes, n_removed, n_spans, kept_sha256,
     spans (of removed bytes) and text (what is left; a character cut by a span's edge stays whole)."""
@@ -234,7 +158,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         raise ValueError(f"length must be at least {MODULUS + 8}")
     spark = docs.sparkSession
     docs = docs.select([c for c in docs.columns if c != "dedup"])
-    blocks, _ = _written_blocks(docs, block)
+    blocks, _ = written_blocks(docs, block, "suffix-blocks")
     size = blocks.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     total = 3 * size  # about what the compressed texts hold
     buckets = max(4, -(-total // bucket))
@@ -242,16 +166,16 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, own in _blocks_of(batch):
+            for row, own in blocks_of(batch, CoverBlock):
                 _, keys = _sample_keys(own, length, width)
                 cuts = _range_cuts(keys.distinct, buckets, width)
                 some = np.flatnonzero(np.diff(cuts)).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([_planes(keys.distinct[cuts[b]:cuts[b + 1]], width) for b in some], pa.binary())],
+                    [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([planes(keys.distinct[cuts[b]:cuts[b + 1]], width) for b in some], pa.binary())],
                     names=["bucket", "block", "keys"])
 
     def rank_samples(table: pa.Table) -> pa.Table:
-        parts = [_unplaned(x, width) for x in table.column("keys").to_pylist()]
+        parts = [unplaned(x, width) for x in table.column("keys").to_pylist()]
         keys = np.concatenate(parts)
         order = np.argsort(keys, kind="stable")
         ordered = keys[order]
@@ -264,28 +188,28 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
 
     lean = ["block", "docs", "offsets", "text"]
     asked = arrow(blocks.select(*lean), ask, "bucket int, block long, keys binary")
-    ranked, first_path = _answered(asked, rank_samples, spark, "cover-ranks")
-    _release(spark)
+    ranked, _ = answered(asked, rank_samples, spark, "cover-ranks")
+    release(spark)
 
-    def suffixes_of(row: dict, own: Block) -> tuple[np.ndarray, Suffixes]:
+    def suffixes_of(row: dict, own: CoverBlock) -> tuple[np.ndarray, Suffixes]:
         at = _candidates(own, length, width, buckets, row["answer"])
         return at, Suffixes(own, at, length, buckets)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, own in _blocks_of(batch):
+            for row, own in blocks_of(batch, CoverBlock):
                 _, sorted_ = suffixes_of(row, own)
                 some = sorted_.buckets
                 ids = np.diff(own.docs, prepend=np.int64(0)).view(np.uint64)
                 at = np.array([row["block"]] * len(some), np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(some), pa.int32()), pa.array(at), pa.array([_planes(k.distinct, 8) for _, k in some.values()], pa.binary()),
-                     pa.array([_planes(k.first, 4) for _, k in some.values()], pa.binary()), pa.array([_planes(ids, 8)] * len(some), pa.binary())],
+                    [pa.array(list(some), pa.int32()), pa.array(at), pa.array([planes(k.distinct, 8) for _, k in some.values()], pa.binary()),
+                     pa.array([planes(k.first, 4) for _, k in some.values()], pa.binary()), pa.array([planes(ids, 8)] * len(some), pa.binary())],
                     names=["bucket", "block", "keys", "first", "docs"])
 
     def tie(table: pa.Table) -> pa.Table:
-        parts = [_unplaned(x, 8) for x in table.column("keys").to_pylist()]
-        docs_of = [np.cumsum(_unplaned(d, 8).view(np.int64))[_unplaned(f, 4).astype(np.int64)] for f, d in zip(table.column("first").to_pylist(), table.column("docs").to_pylist())]
+        parts = [unplaned(x, 8) for x in table.column("keys").to_pylist()]
+        docs_of = [np.cumsum(unplaned(d, 8).view(np.int64))[unplaned(f, 4).astype(np.int64)] for f, d in zip(table.column("first").to_pylist(), table.column("docs").to_pylist())]
         keys, ids = np.concatenate(parts), np.concatenate(docs_of)
         order = np.argsort(keys, kind="stable")
         ordered = keys[order]
@@ -298,8 +222,8 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array([np.packbits(x).tobytes() for x in np.split(later, cuts)], pa.binary())})
 
     asked_again = arrow(blocks.select(*lean).join(ranked, "block", "left"), send, "bucket int, block long, keys binary, first binary, docs binary")
-    tied, _ = _answered(asked_again, tie, spark, "suffix-ties")
-    _release(spark)
+    tied, _ = answered(asked_again, tie, spark, "suffix-ties")
+    release(spark)
 
     found = T.StructType([
         T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
@@ -309,7 +233,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             later = batch.column("later").to_pylist()
-            for i, (row, own) in enumerate(_blocks_of(batch.drop_columns(["later"]))):
+            for i, (row, own) in enumerate(blocks_of(batch.drop_columns(["later"]), CoverBlock)):
                 at, sorted_ = suffixes_of(row, own)
                 bits = {x["bucket"]: x["bits"] for x in later[i] or []}
                 gone = np.zeros(len(at), bool)
@@ -331,7 +255,7 @@ _FOUND = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_span
                     ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("text", pa.string())])
 
 
-def _results(block: Block, starts: np.ndarray, length: int, lo: int, hi: int) -> pa.Array:
+def _results(block: CoverBlock, starts: np.ndarray, length: int, lo: int, hi: int) -> pa.Array:
     """The struct of each document from ``lo`` to ``hi``, given the removed strings' positions."""
     bounds = np.searchsorted(starts, block.offsets)
     out = []
