@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, langid, lm, sharding, simhash, suffix, token_output
+from . import ann, chat, decontam, langid, lm, sharding, simhash, spm, suffix, token_output
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -36,6 +36,11 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return spm.digest(spm.encode(_read(spark, sf_dir, "documents"), path), path)
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = suffix.dedup(_read(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", *[f"dedup.{c}" for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256")])
@@ -67,6 +72,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_output": op2_token_output,
     "op3_simhash": op3_simhash,
     "op4_language_id": op4_language_id,
+    "op5_sentencepiece": op5_sentencepiece,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_nearest": op7_nearest,
     "op8_decontamination": op8_decontamination,
