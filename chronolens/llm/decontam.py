@@ -118,16 +118,21 @@ class Items:
         return out
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, block: int = ITEM_BLOCK) -> DataFrame:
-    """(doc_id, item_id, containment): documents that hold a share ``threshold`` or more of an item's shingles."""
-    spark = docs.sparkSession
+def _item_blocks(benchmark: DataFrame, block: int):
+    """The items, a broadcast of bounded size at a time."""
+    spark = benchmark.sparkSession
     items = benchmark.select("item_id", "text").where("text is not null")
     total = items.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
     blocks = max(1, -(-total // block))
-    out = None
-    for i in range(blocks):  # one of bounded size at a time; 16 MB hold a large benchmark
+    for i in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == i).collect()
-        held = spark.sparkContext.broadcast([(r.item_id, r.text) for r in part])
+        yield spark.sparkContext.broadcast([(r.item_id, r.text) for r in part])
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, block: int = ITEM_BLOCK) -> DataFrame:
+    """(doc_id, item_id, containment): documents that hold a share ``threshold`` or more of an item's shingles."""
+    out = None
+    for held in _item_blocks(benchmark, block):
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             index = Items(held.value, shingle, threshold)
@@ -143,6 +148,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = THRES
     return out
 
 
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, shingle: int = SHINGLE, block: int = ITEM_BLOCK) -> DataFrame:
+    """The rows of ``docs`` that hold no item to the threshold. Columns pass through."""
+    for held in _item_blocks(benchmark, block):
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            index = Items(held.value, shingle, threshold)
+            for batch in slices(batches, most=4 << 20):
+                keep = np.ones(len(batch), bool)
+                keep[[f[0] for f in index.search(batch.column("text"))]] = False
+                yield batch.filter(pa.array(keep))
+
+        docs = arrow(docs, run, docs.schema)
+    return docs
+
+
 ORACLE = r"""
 WITH low AS (
   SELECT 'd' AS kind, doc_id AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents

@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import arrow, powers, slices, utf8
 
@@ -156,9 +157,11 @@ def train(labelled: DataFrame, most: int = SAMPLE, dims: int = DIMS) -> Model:
     return Model(x, [v for v, _ in rows])
 
 
-def predict(docs: DataFrame, model: Model, dims: int = DIMS) -> DataFrame:
-    """(doc_id, lang_pred, score) of every whole text."""
+def annotate(docs: DataFrame, model: Model, out: str = "langid", dims: int = DIMS) -> DataFrame:
+    """``docs`` with a struct ``out`` of lang_pred and score, of every whole text."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # as large as its weights
+    rows = docs.select([c for c in docs.columns if c != out])
+    found = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 21):
@@ -168,9 +171,15 @@ def predict(docs: DataFrame, model: Model, dims: int = DIMS) -> DataFrame:
             for i in range(0, len(own), 1024):
                 some = own[i:i + 1024]
                 names[some], score[some] = held.value.predict(features([texts[j] for j in some], dims))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(names.tolist(), pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+            said = pa.StructArray.from_arrays([pa.array(names.tolist(), pa.string()), pa.array(score)], ["lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, said], names=[*batch.schema.names, out])
+
+    return arrow(rows, run, T.StructType([*rows.schema.fields, T.StructField(out, found)]))
 
-    return arrow(docs.select("doc_id", "text"), run, "doc_id long, lang_pred string, score double")
+
+def predict(docs: DataFrame, model: Model, dims: int = DIMS) -> DataFrame:
+    """(doc_id, lang_pred, score) of every whole text."""
+    return annotate(docs.select("doc_id", "text"), model, dims=dims).select("doc_id", "langid.lang_pred", "langid.score")
 
 
 def held_out(doc_id="doc_id", parts: int = 4, part: int = 2):

@@ -26,7 +26,7 @@ def op2_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(_read(spark, sf_dir, "documents"))
+    return simhash.near_duplicates(_read(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

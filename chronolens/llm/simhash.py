@@ -31,7 +31,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import arrow, slices, written
@@ -63,15 +63,15 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint's bits as a signed long."""
+    """(doc_id, text_key, fp): the text's own hash and the fingerprint's bits, as signed longs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             raw = batch.column("text").cast(pa.large_binary()).to_pylist()
             fps = np.array([fingerprint(t or b"", shingle) for t in raw], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(fps)], names=["doc_id", "text_key", "fp"])
 
-    return arrow(docs.select("doc_id", "text"), run, "doc_id long, fp long")
+    return arrow(docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text"), run, "doc_id long, text_key long, fp long")
 
 
 def syndromes(words: np.ndarray) -> np.ndarray:
@@ -139,7 +139,7 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fingerprint, component_id): the smallest doc_id reachable over links."""
+    """(doc_id, text_key, fingerprint, component_id): the smallest doc_id reachable over links."""
     rows, _ = written(fingerprints(docs, shingle), "fingerprints")
     distinct, _ = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     stars = components(links(distinct, distance))
@@ -147,4 +147,16 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
     nodes = distinct.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
     named = nodes.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    return rows.join(named, "fp").select("doc_id", "text_key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def deduplicated(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """One row of ``docs`` for each component: the one with the smallest doc_id, of its repeats the one
+    with the smallest text hash. Columns pass through."""
+    found = near_duplicates(docs, shingle, distance)
+    mine = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("text_key").alias("__key"))
+    kept, _ = written(mine.withColumnRenamed("component_id", "__id"), "kept")
+    # a repeated doc_id may stand in several components; the text's hash tells its rows apart
+    rows = docs.withColumn("__row_key", F.xxhash64("text")).join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row_key") == F.col("__key")), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id", "__row_key").orderBy("doc_id"))
+    return rows.withColumn("__first", first).where("__first = 1").select(docs.columns)

@@ -332,17 +332,22 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     return arrow(kept, run, kept.schema.add("decoded", "string"))
 
 
-def digest(encoded: DataFrame, path: str) -> DataFrame:
-    """Per document: doc_id, n_tokens, n_chunks, ids_crc32 (little-endian 32-bit) and the decoded text's bytes and SHA-256."""
+def digest(encoded: DataFrame, path: str, ids: bool = False) -> DataFrame:
+    """Per document: doc_id, n_tokens, n_chunks, ids_crc32 (little-endian 32-bit), the decoded text's
+    bytes and SHA-256, and the ids if asked for."""
+    with_ids = ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load(path)
         for batch in batches:
             out = []
-            for doc, ids, chunks in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), batch.column("n_chunks").to_pylist()):
-                own = ids.values.to_numpy().astype("<u4")
+            for doc, said, chunks in zip(batch.column("doc_id").to_pylist(), batch.column("ids"), batch.column("n_chunks").to_pylist()):
+                own = said.values.to_numpy().astype("<u4")
                 text = v.decode(own.tolist()).encode()
                 out.append((doc, len(own), chunks, zlib.crc32(own.tobytes()), len(text), hashlib.sha256(text).hexdigest()))
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds], names=["doc_id", "n_tokens", "n_chunks", "ids_crc32", "n_bytes", "decoded_sha256"])
+            columns = [pa.array(list(c), k) for c, k in zip(zip(*out), kinds)] if out else [pa.array([], k) for k in kinds]
+            names = ["doc_id", "n_tokens", "n_chunks", "ids_crc32", "n_bytes", "decoded_sha256"]
+            yield pa.RecordBatch.from_arrays(columns + [batch.column("ids")] * with_ids, names=names + ["ids"] * with_ids)
 
-    return arrow(encoded.select("doc_id", "ids", "n_chunks"), run, "doc_id long, n_tokens long, n_chunks int, ids_crc32 long, n_bytes long, decoded_sha256 string")
+    schema = "doc_id long, n_tokens long, n_chunks int, ids_crc32 long, n_bytes long, decoded_sha256 string"
+    return arrow(encoded.select("doc_id", "ids", "n_chunks"), run, schema + ", ids array<int>" * with_ids)
