@@ -8,6 +8,7 @@ is joined with its answers; neither texts nor positions go through a sort.
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,16 +39,26 @@ class Block:
 
 
 def planes(values: np.ndarray, width: int) -> bytes:
-    """The ``width`` low bytes, byte by byte: sorted values compress by their high bytes."""
-    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes()
+    """The ``width`` low bytes, byte by byte, compressed."""
+    return zstandard.compress(np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T).tobytes(), 1)
 
 
 def unplaned(data: bytes, width: int) -> np.ndarray:
-    out = np.zeros((len(data) // width, 8), np.uint8)
-    out[:, :width] = np.frombuffer(data, np.uint8).reshape(width, -1).T
+    raw = zstandard.decompress(data)
+    out = np.zeros((len(raw) // width, 8), np.uint8)
+    out[:, :width] = np.frombuffer(raw, np.uint8).reshape(width, -1).T
     return out.view("<u8").ravel()
 
 
+def ascending(values: np.ndarray) -> bytes:
+    """Sorted values as differences, which take few of their bytes."""
+    return planes(np.diff(values, prepend=np.uint64(0)), 8)
+
+
+def unascending(data: bytes) -> np.ndarray:
+    return np.cumsum(unplaned(data, 8), dtype=np.uint64)
+
+
 def written_blocks(docs: DataFrame, size: int, name: str) -> tuple[DataFrame, str]:
     """The table of blocks of about ``size`` bytes of text, and its path; null ids come last."""
     rest = [c for c in docs.columns if c != "text"]
@@ -65,7 +76,7 @@ def written_blocks(docs: DataFrame, size: int, name: str) -> tuple[DataFrame, st
             others = table.drop_columns(["text"])
             with pa.ipc.new_stream(sink, others.schema) as out:
                 out.write_table(others)
-            shrunk = [zstandard.compress(x, 1) for x in (raw.tobytes(), sink.getvalue().to_pybytes())]
+            shrunk = [zstandard.compress(x, 3) for x in (raw.tobytes(), sink.getvalue().to_pybytes())]
             return pa.RecordBatch.from_arrays(
                 [pa.array([number], pa.int64()), *[pa.array([x], pa.binary()) for x in (ids.astype("<i8").tobytes(), offsets.astype("<i8").tobytes(), *shrunk)]],
                 names=["block", "docs", "offsets", "text", "rest"])
@@ -100,4 +111,5 @@ def answered(keys: DataFrame, answer, spark: SparkSession, name: str) -> tuple[D
 
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of steps whose tables are written."""
+    gc.collect()
     spark._jvm.System.gc()

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import uuid
 import zipfile
@@ -41,10 +43,21 @@ def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    write(df, path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def write(df: DataFrame, path: str) -> None:
+    """Write Parquet files; the shuffle files that this took go as soon as it is done."""
+    spark, key = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(key, before)
+
+
 def drop(spark: SparkSession, *paths: str) -> None:
     """Remove written tables that no later step reads."""
     for path in paths:
@@ -68,13 +81,22 @@ def ship(spark: SparkSession) -> None:
                 if name.endswith(".py"):
                     z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
     context.addPyFile(path)
+    # texts differ in length by far: batches to the workers are bounded by bytes, not by rows alone
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
     _shipped.add(context.applicationId)
 
 
 def arrow(df: DataFrame, run, schema) -> DataFrame:
-    """``df.mapInArrow`` with this package on the executors."""
+    """``df.mapInArrow`` with this package on the executors; a worker gives back the memory that a partition took."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return df.mapInArrow(tidy, schema)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -157,3 +179,50 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     total = np.zeros(len(place) + 1, np.uint64)
     np.add.accumulate(letters * powers(int(lengths.max()))[place], out=total[1:])
     return mixed(total[stop] - total[stop - lengths] + lengths.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+
+
+class Known:
+    """Ids of parts by the parts' 64-bit hashes: sorted arrays, which hold a few million in little memory."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.clear()
+
+    def clear(self) -> None:
+        self.keys, self.at, self.size, self.ids, self.used = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(1 << 16, np.uint32), 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Places of some keys, -1 for those that are not here."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
+
+    def add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
+        """``keys`` ascend and are new."""
+        if len(self.keys) + len(keys) > self.most and len(self.keys):
+            self.clear()
+        size = np.array([len(x) for x in ids], np.int32)
+        more = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        if self.used + len(more) > len(self.ids):
+            self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used // 2 + len(more), np.uint32)])
+        self.ids[self.used:self.used + len(more)] = more
+        at = (self.used + np.cumsum(size) - size).astype(np.int32)
+        self.used += len(more)
+        by = np.argsort(merged := np.concatenate([self.keys, keys]), kind="stable")
+        self.keys, self.at, self.size = merged[by], np.concatenate([self.at, at])[by], np.concatenate([self.size, size])[by]
+
+    def ids_of(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray, rows: int, encode) -> list[np.ndarray]:
+        """The ids of each of ``rows`` rows, given the parts they are made of; ``encode`` gives those of new parts."""
+        keys, first, of = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        place = self.find(keys)
+        for _ in range(2):  # again if the table was emptied for the new ones
+            if len(new := np.flatnonzero(place < 0)):
+                self.add(keys[new], encode([raw[starts[i]:ends[i]].tobytes() for i in first[new].tolist()]))
+                place = self.find(keys)
+        at, size = self.at[place].astype(np.int64), self.size[place].astype(np.int64)
+        each = size[of]
+        stop = np.cumsum(each)
+        ids = self.ids[np.arange(stop[-1] if len(stop) else 0) + np.repeat(at[of] - (stop - each), each)]
+        cuts = np.concatenate([[0], stop])[np.searchsorted(row, np.arange(rows + 1))].tolist()
+        return [ids[a:b] for a, b in zip(cuts, cuts[1:])]

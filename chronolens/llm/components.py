@@ -1,13 +1,12 @@
 """Connected components of an edge table, by alternating large-star and small-star steps.
 
-Every step is one grouping over the edges; tables are written to the shared folder
-between steps. The edge table shrinks to one star per component. A node's group in
-a step is streamed by a window, not collected.
+Every step is a grouping over the edges and a join; tables are written to the shared
+folder between steps. The edge table shrinks to one star per component.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import drop, written
@@ -19,8 +18,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         both = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = F.least(F.min("v").over(Window.partitionBy("u")), F.col("u"))
-    rows = both.select("u", "v", least.alias("m"))
+    # counted in each task first, and joined: a node with very many neighbours is not one task's group
+    least = both.groupBy("u").agg(F.min("v").alias("least")).withColumnRenamed("u", "node")
+    rows = both.join(least, F.col("u") == F.col("node")).select("u", "v", F.least("least", "u").alias("m"))
     out = rows.where(F.col("v") > F.col("u") if large else F.col("v") != F.col("m")).select(F.col("v").alias("u"), F.col("m").alias("v"))
     if not large:
         out = out.unionAll(rows.where(F.col("u") != F.col("m")).select("u", F.col("m").alias("v")))

@@ -39,15 +39,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import Block, answered, blocks_of, planes, release, unplaned, written_blocks
-from .common import _BASE, arrow, mixed, powers
+from .blocks import Block, answered, ascending, blocks_of, planes, release, unascending, unplaned, written_blocks
+from .common import _BASE, arrow, drop, mixed, powers, ship, written
 
 LENGTH = 50
 #: Fixed value: a perfect difference set modulo 21; every nonzero residue is a difference exactly once.
 COVER, MODULUS = (3, 6, 7, 12, 14), 21
-BLOCK = 4 << 20  # bytes of text in a block
+BLOCK = 2 << 20  # bytes of text in a block
 BUCKET = 8 << 20  # bytes of text for each bucket of keys
-_SEGMENT = 4 << 20  # positions hashed at a time
+PASSES = 2  # shares of the buckets that are sorted one after the other, which divides the keys on disk at a time
+_SEGMENT = 1 << 20  # positions hashed at a time
 
 _back = np.ones(1, np.uint64)
 
@@ -96,7 +97,7 @@ class Keys:
     """Distinct keys of some positions, sorted; ``first`` has the smallest document rank of each."""
 
     def __init__(self, keys: np.ndarray, docs: np.ndarray) -> None:
-        self.order = np.argsort(keys, kind="stable")
+        self.order = np.argsort(keys)
         ordered = keys[self.order]
         new = np.ones(len(keys), bool)
         new[1:] = ordered[1:] != ordered[:-1]
@@ -109,75 +110,79 @@ class Keys:
         self.last = np.maximum.reduceat(docs, begin) if len(begin) else docs[:0]
 
 
-def _sample_keys(block: CoverBlock, length: int, width: int) -> tuple[np.ndarray, Keys]:
+def _sample_keys(block: CoverBlock, length: int, bits: int) -> tuple[np.ndarray, Keys]:
     at = block.samples(length)
-    return at, Keys(window_keys(block.raw, at, length - MODULUS + 1) >> np.uint64(64 - 8 * width), block.doc_of(at))
+    return at, Keys(window_keys(block.raw, at, length - MODULUS + 1) >> np.uint64(64 - bits), block.doc_of(at))
 
 
-def _range_cuts(distinct: np.ndarray, buckets: int, width: int) -> np.ndarray:
+def _range_cuts(distinct: np.ndarray, buckets: int, bits: int) -> np.ndarray:
     """Where each bucket begins among sorted keys; buckets are ranges of their 32 high bits."""
-    top = (distinct >> np.uint64(8 * width - 32)) * np.uint64(buckets) >> np.uint64(32)
+    top = (distinct >> np.uint64(bits - 32)) * np.uint64(buckets) >> np.uint64(32)
     return np.searchsorted(top, np.arange(buckets + 1, dtype=np.uint64))
 
 
-def _candidates(block: CoverBlock, length: int, width: int, buckets: int, answer: dict[int, bytes]) -> np.ndarray:
+def _candidates(block: CoverBlock, length: int, bits: int, buckets: int, answer: dict[int, bytes]) -> np.ndarray:
     """Positions of the suffixes that reach a sample with an equal in another document."""
-    at, keys = _sample_keys(block, length, width)
+    at, keys = _sample_keys(block, length, bits)
     tied = keys.first != keys.last
-    cuts = _range_cuts(keys.distinct, buckets, width)
-    for b, bits in answer.items():
-        tied[cuts[b]:cuts[b + 1]] |= np.unpackbits(np.frombuffer(bits, np.uint8), count=cuts[b + 1] - cuts[b]).astype(bool)
+    cuts = _range_cuts(keys.distinct, buckets, bits)
+    for b, said in answer.items():
+        tied[cuts[b]:cuts[b + 1]] |= np.unpackbits(np.frombuffer(said, np.uint8), count=cuts[b + 1] - cuts[b]).astype(bool)
     hit = at[keys.order[tied[keys.of]]]
-    step = np.zeros(len(block.raw) + 1, np.int32)
+    hit.sort()
     doc = np.searchsorted(block.offsets[1:], hit, side="right")
-    np.add.at(step, np.maximum(hit - MODULUS + 1, block.offsets[doc]), 1)
-    np.add.at(step, hit + 1, -1)
+    size = len(block.raw) + 1
+    step = np.bincount(np.maximum(hit - MODULUS + 1, block.offsets[doc]), minlength=size) - np.bincount(hit + 1, minlength=size)
     own = np.flatnonzero(np.cumsum(step[:-1]) > 0)
     end = block.offsets[np.searchsorted(block.offsets[1:], own, side="right") + 1] if len(own) else own
     return own[own + length <= end]
 
 
 class Suffixes:
-    """The candidate suffixes of a block: bucket by bucket, sorted by their string's key."""
+    """The candidate suffixes of a block: bucket by bucket, sorted by their string's key.
 
-    def __init__(self, block: CoverBlock, at: np.ndarray, length: int, buckets: int) -> None:
-        bucket = (window_keys(block.raw, at, min(8, length)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
-        keys, docs = window_keys(block.raw, at, length), block.doc_of(at)
-        by = np.argsort(bucket.astype(np.uint32), kind="stable")
-        cuts = np.searchsorted(bucket[by], np.arange(buckets + 1, dtype=np.uint64))
+    Of ``passes`` equal shares of the buckets, only share ``turn`` is sorted, or all."""
+
+    def __init__(self, block: CoverBlock, at: np.ndarray, length: int, buckets: int, passes: int = 1, turn: int = 0) -> None:
+        bucket = ((window_keys(block.raw, at, min(8, length)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        mine = np.flatnonzero(bucket % passes == turn)
+        keys, docs = window_keys(block.raw, at[mine], length), block.doc_of(at[mine])
+        by = np.argsort(bucket[mine].astype(np.uint16 if buckets <= 1 << 16 else np.uint32), kind="stable")
+        cuts = np.searchsorted(bucket[mine][by], np.arange(buckets + 1))
         self.buckets = {}
         for b in np.flatnonzero(np.diff(cuts)).tolist():
             own = by[cuts[b]:cuts[b + 1]]
-            self.buckets[b] = own, Keys(keys[own], docs[own])
+            self.buckets[b] = mine[own], Keys(keys[own], docs[own])
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int = BUCKET) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int = BUCKET, passes: int = PASSES) -> DataFrame:
     """The rows of ``docs`` with a struct ``dedup``: n_bytes, n_removed, n_spans, kept_sha256,
     spans (of removed bytes) and text (what is left; a character cut by a span's edge stays whole)."""
+    ship(docs.sparkSession)
     if length < MODULUS + 8:
         raise ValueError(f"length must be at least {MODULUS + 8}")
     spark = docs.sparkSession
     docs = docs.select([c for c in docs.columns if c != "dedup"])
-    blocks, _ = written_blocks(docs, block, "suffix-blocks")
+    blocks, block_path = written_blocks(docs, block, "suffix-blocks")
     size = blocks.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     total = 3 * size  # about what the compressed texts hold
     buckets = max(4, -(-total // bucket))
-    width = min(8, max(5, -(-((total // 4).bit_length() + 12) // 8)))  # few unequal samples share a key of so many bytes
+    bits = min(64, max(32, (total // 4).bit_length() + 9))  # of a sample's key: few unequal ones share it, and then only cost work
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, own in blocks_of(batch, CoverBlock):
-                _, keys = _sample_keys(own, length, width)
-                cuts = _range_cuts(keys.distinct, buckets, width)
+                _, keys = _sample_keys(own, length, bits)
+                cuts = _range_cuts(keys.distinct, buckets, bits)
                 some = np.flatnonzero(np.diff(cuts)).tolist()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([planes(keys.distinct[cuts[b]:cuts[b + 1]], width) for b in some], pa.binary())],
+                    [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(keys.distinct[cuts[b]:cuts[b + 1]]) for b in some], pa.binary())],
                     names=["bucket", "block", "keys"])
 
     def rank_samples(table: pa.Table) -> pa.Table:
-        parts = [unplaned(x, width) for x in table.column("keys").to_pylist()]
+        parts = [unascending(x) for x in table.column("keys").to_pylist()]
         keys = np.concatenate(parts)
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         ordered = keys[order]
         same = ordered[1:] == ordered[:-1]  # keys are distinct within a block
         tied = np.zeros(len(keys), bool)
@@ -188,30 +193,39 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
 
     lean = ["block", "docs", "offsets", "text"]
     asked = arrow(blocks.select(*lean), ask, "bucket int, block long, keys binary")
-    ranked, _ = answered(asked, rank_samples, spark, "cover-ranks")
-    release(spark)
-
-    def suffixes_of(row: dict, own: CoverBlock) -> tuple[np.ndarray, Suffixes]:
-        at = _candidates(own, length, width, buckets, row["answer"])
-        return at, Suffixes(own, at, length, buckets)
+    ranked, rank_path = answered(asked, rank_samples, spark, "cover-ranks")
 
-    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, own in blocks_of(batch, CoverBlock):
-                _, sorted_ = suffixes_of(row, own)
-                some = sorted_.buckets
-                ids = np.diff(own.docs, prepend=np.int64(0)).view(np.uint64)
-                at = np.array([row["block"]] * len(some), np.int64)
+            rest = batch.column("rest")
+            for i, (row, own) in enumerate(blocks_of(batch.drop_columns(["rest"]), CoverBlock)):
+                at = _candidates(own, length, bits, buckets, row["answer"])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(some), pa.int32()), pa.array(at), pa.array([planes(k.distinct, 8) for _, k in some.values()], pa.binary()),
-                     pa.array([planes(k.first, 4) for _, k in some.values()], pa.binary()), pa.array([planes(ids, 8)] * len(some), pa.binary())],
-                    names=["bucket", "block", "keys", "first", "docs"])
+                    [*[pa.array([row[c]], pa.int64() if c == "block" else pa.binary()) for c in lean], rest.slice(i, 1), pa.array([ascending(at.astype(np.uint64))], pa.binary())],
+                    names=[*lean, "rest", "at"])
+
+    marked, _ = written(arrow(blocks.join(ranked, "block", "left"), mark, "block long, docs binary, offsets binary, text binary, rest binary, at binary"), "suffix-marked")
+    drop(spark, block_path, rank_path)
+    release(spark)
+
+    def send(turn: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for row, own in blocks_of(batch, CoverBlock):
+                    some = Suffixes(own, unascending(row["at"]).astype(np.int64), length, buckets, passes, turn).buckets
+                    ids = planes(np.diff(own.docs, prepend=np.int64(0)).view(np.uint64), 8)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(some), pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(k.distinct) for _, k in some.values()], pa.binary()),
+                         pa.array([planes(k.first, 4) for _, k in some.values()], pa.binary()), pa.array([ids] * len(some), pa.binary())],
+                        names=["bucket", "block", "keys", "first", "docs"])
+
+        return run
 
     def tie(table: pa.Table) -> pa.Table:
-        parts = [unplaned(x, 8) for x in table.column("keys").to_pylist()]
+        parts = [unascending(x) for x in table.column("keys").to_pylist()]
         docs_of = [np.cumsum(unplaned(d, 8).view(np.int64))[unplaned(f, 4).astype(np.int64)] for f, d in zip(table.column("first").to_pylist(), table.column("docs").to_pylist())]
         keys, ids = np.concatenate(parts), np.concatenate(docs_of)
-        order = np.argsort(keys, kind="stable")
+        order = np.argsort(keys)
         ordered = keys[order]
         new = np.ones(len(keys), bool)
         new[1:] = ordered[1:] != ordered[:-1]
@@ -221,9 +235,13 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         cuts = np.cumsum([len(p) for p in parts])[:-1]
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array([np.packbits(x).tobytes() for x in np.split(later, cuts)], pa.binary())})
 
-    asked_again = arrow(blocks.select(*lean).join(ranked, "block", "left"), send, "bucket int, block long, keys binary, first binary, docs binary")
-    tied, _ = answered(asked_again, tie, spark, "suffix-ties")
-    release(spark)
+    tied = None
+    for turn in range(passes):  # a share of the buckets at a time, whose keys are gone before the next
+        asked = arrow(marked.select(*lean, "at"), send(turn), "bucket int, block long, keys binary, first binary, docs binary")
+        share, _ = written(asked.groupBy("bucket").applyInArrow(tie, "block long, bucket int, bits binary"), "suffix-ties")
+        tied = share if tied is None else tied.unionAll(share)
+        release(spark)
+    tied = tied.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answer"))
 
     found = T.StructType([
         T.StructField("n_bytes", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("n_spans", T.LongType()), T.StructField("kept_sha256", T.StringType()),
@@ -232,13 +250,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            later = batch.column("later").to_pylist()
-            for i, (row, own) in enumerate(blocks_of(batch.drop_columns(["later"]), CoverBlock)):
-                at, sorted_ = suffixes_of(row, own)
-                bits = {x["bucket"]: x["bits"] for x in later[i] or []}
+            for row, own in blocks_of(batch, CoverBlock):
+                at, said = unascending(row["at"]).astype(np.int64), row["answer"]
+                sorted_ = Suffixes(own, at, length, buckets)
                 gone = np.zeros(len(at), bool)
                 for b, (place, keys) in sorted_.buckets.items():
-                    elsewhere = np.unpackbits(np.frombuffer(bits[b], np.uint8), count=len(keys.distinct)).astype(bool)
+                    elsewhere = np.unpackbits(np.frombuffer(said[b], np.uint8), count=len(keys.distinct)).astype(bool)
                     gone[place[keys.order]] = elsewhere[keys.of] | (keys.docs > keys.first[keys.of])
                 rest = pa.ipc.open_stream(zstandard.decompress(row["rest"])).read_all().combine_chunks()
                 others = [rest.column(c).combine_chunks() for c in order]
@@ -247,8 +264,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
                     yield pa.RecordBatch.from_arrays([*[c.slice(lo, 2000) for c in others], some], names=[*order, "dedup"])
 
     schema = T.StructType([*[docs.schema[c] for c in order], T.StructField("dedup", found)])
-    tied = tied.withColumnRenamed("answer", "later")
-    return arrow(blocks.join(ranked, "block", "left").join(tied, "block", "left"), cut, schema)
+    return arrow(marked.join(tied, "block", "left"), cut, schema)
 
 
 _FOUND = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
