@@ -23,18 +23,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import arrow, binary_column, drop, shared_dir, slices, written
+from .common import Known, arrow, binary_column, drop, lowered, shared_dir, slices, utf8, word_spans, write, written
 
 LIMIT = 20  # bits of the longest code; 2**LIMIT must be at least the number of distinct ids
 STEP = 64  # ids from one checkpoint to the next
 BLOCK = 1 << 18  # ids in a block, more if one document alone has more
-_CACHE = 300_000  # words whose ids a worker keeps
+_CACHE = 800_000  # parts of words whose ids a worker keeps
 
-_words: dict[str, bytes] = {}
 _tokenizer: tuple[str, object] | None = None
 
 
@@ -44,34 +44,104 @@ def _load(path: str):
         from tokenizers import Tokenizer
 
         _tokenizer = (path, Tokenizer.from_file(path))
-        _words.clear()
+        _known.clear()
     return _tokenizer[1]
 
 
-def encode_texts(texts: list[str], path: str) -> list[np.ndarray]:
-    """Ids of each text. The tokenizer drops white space and merges within words only, so that
-    what stands between spaces or line feeds is encoded once and looked up from then on."""
+def part_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and rows of the parts of words that the tokenizer's own split separates: letters,
+    single digits, runs of other signs. A word is left whole if it has an apostrophe (contractions), a
+    ``<`` (special tokens), or a character beyond U+017F or that is none of these kinds."""
+    starts, ends, _ = word_spans(raw, offsets)
+    after = np.append(raw[1:], 0)
+    odd = (raw == 0x27) | (raw == 0x3C) | (raw < 9) | ((raw > 13) & (raw < 32)) | (raw == 0x7F)
+    odd |= (raw >= 0xC0) & ((raw < 0xC3) | (raw > 0xC5)) | (raw == 0xC3) & ((after == 0x97) | (after == 0xB7)) | (raw == 0xC4) & (after == 0xB0)
+    total = np.concatenate([[0], np.cumsum(odd, dtype=np.int64)])
+    whole = total[ends] > total[starts]
+    kind = np.full(256, 3, np.uint8)
+    kind[0x80:] = kind[0x41:0x5B] = kind[0x61:0x7B] = 1
+    kind[0x30:0x3A] = 2
+    kind = kind[raw]
+    new = np.ones(len(raw), bool)
+    new[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+    step = np.zeros(len(raw) + 1, np.int8)
+    step[starts[whole]] += 1
+    step[ends[whole]] -= 1
+    new &= np.cumsum(step[:-1], dtype=np.int8) == 0
+    step[:] = 0
+    step[starts] += 1
+    step[ends] -= 1
+    new &= np.cumsum(step[:-1], dtype=np.int8) > 0
+    new[starts] = True
+    first = np.flatnonzero(new)
+    word = np.searchsorted(starts, first, side="right") - 1
+    last = np.append(first[1:], len(raw))
+    return first, np.minimum(last, ends[word]), np.searchsorted(offsets, first, side="right") - 1
+
+
+def _wholes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The bytes of parts that hold a ``<``: special tokens are told by their own letters' case."""
+    total = np.concatenate([[0], np.cumsum(raw == 0x3C, dtype=np.int64)])
+    held = total[ends] > total[starts]
+    step = np.zeros(len(raw) + 1, np.int8)
+    step[starts[held]] += 1
+    step[ends[held]] -= 1
+    return np.cumsum(step[:-1], dtype=np.int8) > 0
+
+
+_known = Known(_CACHE)
+
+
+def _encoded(parts: list[bytes], tok) -> list[np.ndarray]:
+    """The ids of each part."""
+    names = [p.decode() for p in parts]
+    plain = [n.isalpha() and max(n) < "\u0180" and not {*n} & {*"\u00aa\u00ba\u00b5\u0130"} for n in names]
+    odd = [i for i, x in enumerate(plain) if not x]
+    out: list[np.ndarray] = [None] * len(parts)
+    for i, e in zip(odd, tok.encode_batch_fast([names[i] for i in odd], add_special_tokens=False)):
+        out[i] = np.array(e.ids, np.uint32)
+    own = [i for i, x in enumerate(plain) if x]
+    for lo in range(0, len(own), 4096):  # a row of plain words is one text; the ids' word numbers tell them apart
+        some = own[lo:lo + 4096]
+        e = tok.encode(" ".join([names[i] for i in some]), add_special_tokens=False)
+        ids = np.array(e.ids, np.uint32)
+        at = np.searchsorted(np.array(e.word_ids), np.arange(len(some) + 1)).tolist()
+        for k, i in enumerate(some):
+            out[i] = ids[at[k]:at[k + 1]]
+    return out
+
+
+def encode_texts(column: pa.Array, path: str) -> list[bytes]:
+    """Ids of each text of a column, 32 bits each. The tokenizer drops white space and merges within
+    parts of words only, so that a part is encoded once and looked up from then on."""
     tok = _load(path)
-    if len(_words) > _CACHE:
-        _words.clear()
-    parts = [text.replace("\n", " ").split(" ") for text in texts]
-    new = list({w for ws in parts for w in ws if w not in _words})
-    for i in range(0, len(new), 1 << 16):
-        some = new[i:i + (1 << 16)]
-        for w, e in zip(some, tok.encode_batch_fast(some, add_special_tokens=False)):
-            _words[w] = np.asarray(e.ids, np.uint32).tobytes()
-    return [np.frombuffer(b"".join([_words[w] for w in ws]), np.uint32) for ws in parts]
+    raw, offsets = utf8(column)
+    starts, ends, row = part_spans(raw, offsets)
+    low = lowered(raw)
+    low = np.where(_wholes(raw, starts, ends), raw, low)
+    ids = _known.ids_of(low, starts, ends, row, len(column), lambda parts: _encoded(parts, tok))
+    return [x.tobytes() for x in ids]
+
+
+def _shrunk(raw: bytes) -> bytes:
+    """Ids in a row, first all low bytes, then the next."""
+    return zstandard.compress(np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _grown(data: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
 def tokenized(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, n_tokens, crc, ids): ids as little-endian unsigned 32-bit integers, the end id last."""
+    """(doc_id, n_tokens, crc, ids): the ids, the end id last, as compressed little-endian unsigned
+    32-bit integers; the crc is that of the integers."""
+    end = np.uint32(end_id).astype("<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, most=1 << 21):
-            ids = encode_texts(batch.column("text").fill_null("").to_pylist(), tokenizer)
-            raw = [np.append(x, np.uint32(end_id)).astype("<u4").tobytes() for x in ids]
+        for batch in slices(batches, most=2 << 20):
+            raw = [x + end for x in encode_texts(batch.column("text"), tokenizer)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array(raw, pa.binary())],
+                [batch.column("doc_id"), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64()), pa.array([_shrunk(x) for x in raw], pa.binary())],
                 names=["doc_id", "n_tokens", "crc", "ids"])
 
     return arrow(docs.select("doc_id", "text"), run, "doc_id long, n_tokens long, crc long, ids binary")
@@ -83,10 +153,11 @@ def id_counts(tokens: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(1, np.int64)
         for batch in batches:
-            flat = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u4")
-            n = np.bincount(flat, minlength=len(total))
-            n[:len(total)] += total
-            total = n
+            held = [_grown(raw) for raw in batch.column("ids").to_pylist()]
+            for i in range(0, len(held), 1000):
+                n = np.bincount(np.concatenate(held[i:i + 1000]))
+                total = np.pad(total, (0, max(0, len(n) - len(total))))
+                total[:len(n)] += n
         ids = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(total[ids], pa.int64())], names=["id", "n"])
 
@@ -193,7 +264,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
         part, number, docs_in, sizes, held, total = TaskContext.get().partitionId(), 0, [], [], [], 0
 
         def packed() -> pa.RecordBatch:
-            bits, marks = pack(np.frombuffer(b"".join(held), "<u4"), code_of, length_of, step)
+            bits, marks = pack(np.concatenate(held), code_of, length_of, step)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int64()), pa.array([number], pa.int64()), pa.array([docs_in], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int64())), pa.array([marks.astype("<i8").tobytes()], pa.binary()), pa.array([bits.tobytes()], pa.binary())],
                 names=["part", "block", "doc_ids", "n_tokens", "checkpoints", "bits"])
@@ -202,7 +273,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
             for doc, n, raw in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "n_tokens", "ids")]):
                 docs_in.append(doc)
                 sizes.append(n)
-                held.append(raw)
+                held.append(_grown(raw))
                 total += n
                 if total >= block:
                     yield packed()
@@ -211,7 +282,7 @@ def write_blocks(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, bl
             yield packed()
 
     ordered = tokens.repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("crc")).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "crc", "n_tokens")
-    arrow(ordered, run, "part long, block long, doc_ids array<long>, n_tokens array<long>, checkpoints binary, bits binary").write.parquet(f"{path}/blocks")
+    write(arrow(ordered, run, "part long, block long, doc_ids array<long>, n_tokens array<long>, checkpoints binary, bits binary"), f"{path}/blocks")
     drop(spark, scratch)
 
 
