@@ -11,8 +11,8 @@ give the best sums at every edge. With them each chunk says which left state eac
 right state goes back to; those maps combine from the right, and each chunk is then
 backtraced on its own.
 
-No piece goes on past a space, so that the best pieces between spaces depend on
-nothing else and are looked up once found.
+No piece goes on from a character to a space, so that the best pieces from one run of
+spaces to the next depend on nothing else and are looked up once found.
 
 Characters that the vocabulary lacks become byte pieces. A literal U+2581, which the
 vocabulary uses for spaces, becomes bytes too, so that decoding gives back every text.
@@ -34,11 +34,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow, ship, slices, written
+from .common import Known, arrow, ship, slices, utf8, written
 
 CHUNK = 1 << 15  # characters of a chunk
 SPACE, LITERAL = "▁", "\udc81"  # the vocabulary's space; what a literal one becomes meanwhile
-_CACHE, _LONG = 300_000, 48  # units whose pieces a worker keeps; longer ones are not kept
+_CACHE = 800_000  # stretches between spaces whose ids a worker keeps
 _NONE = float("-inf")
 
 
@@ -59,13 +59,13 @@ class Vocabulary:
         self.unknown = min(self.scores.values(), default=0.0) - 10
         self.reach = max(map(len, self.ids), default=1)
         self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
-        self.text = [None if i in self.control or i in self.value else p.replace(SPACE, " ") for i, p in enumerate(self.pieces)]
+        self.raw = [b"" if i in self.control else bytes([self.value[i]]) if i in self.value else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
+        self.known = Known(_CACHE)
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             raise ValueError("pieces that hold a space after another character are not supported")
         #: Runs of spaces stay together only where a piece holds two.
         self.unit = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+" if any(SPACE in p[1:] for p in self.ids) else f"{SPACE}[^{SPACE}]*|[^{SPACE}]+")
         self.cut = re.compile(f"(?<!{SPACE}){SPACE}" if any(SPACE in p[1:] for p in self.ids) else SPACE)
-        self.found: dict[str, tuple[float, tuple[int, ...]]] = {}
 
     def normalized(self, text: str) -> str:
         return SPACE + text.replace(SPACE, LITERAL).replace(" ", SPACE) if text else ""
@@ -118,17 +118,10 @@ class Vocabulary:
             at = back[at]
         return at, [x for a, b in reversed(spans) for x in self.ids_of(text[a:b])]
 
-    def best(self, unit: str) -> tuple[float, tuple[int, ...]]:
+    def best(self, unit: str) -> tuple[float, list[int]]:
         """Sum and ids of a stretch that begins and ends where no piece goes on."""
-        if (known := self.found.get(unit)) is not None:
-            return known
         sums, back = self.forward(unit, [0.0], len(unit), len(unit))
-        out = sums[-1], tuple(self.trace(unit, back, len(unit))[1])
-        if len(unit) <= _LONG:
-            if len(self.found) >= _CACHE:
-                self.found.clear()
-            self.found[unit] = out
-        return out
+        return sums[-1], self.trace(unit, back, len(unit))[1]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text."""
@@ -137,20 +130,28 @@ class Vocabulary:
             out += self.best(unit)[1]
         return out
 
+    def encode_column(self, column: pa.Array) -> list[np.ndarray]:
+        """Ids of each text of a column. A stretch from one run of spaces to the next is encoded once."""
+        raw, offsets = utf8(column)
+        n, sizes = len(column), np.diff(offsets)
+        rows = np.flatnonzero(sizes)  # the others have no pieces
+        return self._stretches(np.insert(raw, offsets[rows], 32), offsets[rows] + np.arange(len(rows)), rows, n)  # a space leads each text
+
+    def _stretches(self, led: np.ndarray, begin: np.ndarray, rows: np.ndarray, n: int) -> list[np.ndarray]:
+        """Ids of the rows that begin in the bytes ``led`` at ``begin``; ``n`` rows in all."""
+        space = led == 32
+        new = space.copy()
+        new[1:] &= ~space[:-1]
+        new[begin] = True
+        starts = np.flatnonzero(new)
+        ends = np.append(starts[1:], len(led))
+        row = rows[np.searchsorted(begin, starts, side="right") - 1] if len(rows) else rows
+        return self.known.ids_of(led, starts, ends, row, n, lambda units: [np.array(self.best(self.normalized(u.decode())[1:])[1], np.uint32) for u in units])
+
     def decode(self, ids) -> str:
         """The text of some ids; control ids say nothing, and broken bytes become U+FFFD."""
-        out, raw = [], bytearray()
-        for i in ids:
-            if (b := self.value.get(i)) is not None:
-                raw.append(b)
-                continue
-            if raw:
-                out.append(raw.decode(errors="replace"))
-                raw = bytearray()
-            out.append(self.text[i] or "")
-        out.append(raw.decode(errors="replace"))
-        text = "".join(out)
-        return text[1:] if text.startswith(" ") else text
+        raw = b"".join([self.raw[i] for i in ids])
+        return (raw[1:] if raw.startswith(b" ") else raw).decode(errors="replace")
 
 
 class Chunk:
@@ -169,11 +170,15 @@ class Chunk:
                 at -= 1
             self.last = max(at, self.first)
 
-    def units(self):
-        return (self.v.best(u) for u in self.v.unit.findall(self.text[self.first:self.last]))
+    def middle(self) -> list[int]:
+        """Ids from the first cut to the last."""
+        raw = np.frombuffer(self.text[self.first:self.last].replace(SPACE, " ").replace(LITERAL, SPACE).encode(), np.uint8)
+        one = np.zeros(1, np.int64)
+        return self.v._stretches(raw, one, one, 1)[0].tolist() if len(raw) else []
 
     def transfer(self) -> np.ndarray:
-        """Best sums from each state at the left edge to each at the right one."""
+        """Best sums from each state at the left edge to each at the right one; where the chunk has
+        cuts, without the pieces from the first to the last, which add the same to all."""
         v, m = self.v, self.v.reach
         out = np.full((m, m), _NONE)
         if self.first is None:
@@ -192,9 +197,8 @@ class Chunk:
             out[:, :len(tail)] = tail.T
             return out
         head = self.v.backward(self.text, self.first)[:m]
-        middle = sum(s for s, _ in self.units())
         tail, _ = self._tail()
-        out[:len(head), :len(tail)] = np.add.outer(np.array(head) + middle, np.array(tail))
+        out[:len(head), :len(tail)] = np.add.outer(np.array(head), np.array(tail))
         return out
 
     def _tail(self) -> tuple[list[float], list[int]]:
@@ -217,10 +221,7 @@ class Chunk:
             _, back = v.forward(self.text, entry, self.size, self.ends)
             return v.trace(self.text, back, self.size + state)[1]
         _, back = v.forward(self.text, entry[:self.first + 1], self.first, self.first)
-        out = v.trace(self.text, back, self.first)[1]
-        for _, ids in self.units():
-            out += ids
-        return out + v.trace(self.text[self.last:], self._tail()[1], self.size - self.last + state)[1]
+        return v.trace(self.text, back, self.first)[1] + self.middle() + v.trace(self.text[self.last:], self._tail()[1], self.size - self.last + state)[1]
 
 
 _vocabulary: tuple[str, Vocabulary] | None = None
@@ -306,9 +307,9 @@ def encode(docs: DataFrame, path: str, chunk: int = CHUNK) -> DataFrame:
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = load(path)
-        for batch in slices(batches, most=1 << 20):
-            ids = [v.encode(t) for t in batch.column("text").fill_null("").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([np.array(x, np.int32) for x in ids], pa.list_(pa.int32())), pa.array([1] * len(ids), pa.int32())], names=["doc_id", "ids", "n_chunks"])
+        for batch in slices(batches, most=2 << 20):
+            ids = v.encode_column(batch.column("text"))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([x.view(np.int32) for x in ids], pa.list_(pa.int32())), pa.array([1] * len(ids), pa.int32())], names=["doc_id", "ids", "n_chunks"])
 
     if chunk < 64:
         raise ValueError("a chunk must be longer than any piece")
