@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import Known, arrow, ship, slices, utf8, written
 
@@ -330,7 +331,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
                 texts = [v.decode(x or ()) for x in part.column("ids").to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[*part.schema.names, "decoded"])
 
-    return arrow(kept, run, kept.schema.add("decoded", "string"))
+    return arrow(kept, run, T.StructType([*kept.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
 def digest(encoded: DataFrame, path: str, ids: bool = False) -> DataFrame:
