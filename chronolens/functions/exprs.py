@@ -115,7 +115,7 @@ def rfc3339(ts) -> Column:
 
 # The float-text grammar accepted by the reference's parser
 # (decimal or exponent notation, optional sign, inf/infinity/nan words).
-FLOAT_TEXT_RE = r"(?i)^[+-]?(inf|infinity|nan|([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?)$"
+FLOAT_TEXT_RE = r"(?i)^(nan|[+-]?(inf|infinity|([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?))$"
 _INF_WORD_RE = r"(?i)^[+-]?inf(inity)?$"
 
 

@@ -75,8 +75,7 @@ def in_reach(df: DataFrame, grid: Grid, reach, ts_col: str = "ts") -> DataFrame:
     out = df.where((F.col(ts_col) > lo) & (F.col(ts_col) <= hi))
     if isinstance(reach, (int, float)):
         from ..sources.samples import time_part_filter
-        from ..sources.testviews import TABLE_PART
-        prune = time_part_filter(df, grid.start_us - int(reach * MICROS), grid.end_us, TABLE_PART)
+        prune = time_part_filter(df, grid.start_us - int(reach * MICROS), grid.end_us)
         if prune is not None:
             out = out.where(prune)
     return out

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 
 def anchored(pattern: str) -> str:
-    return f"^(?:{pattern})$"
+    return rf"\A(?s:{pattern})\z"
 
 
 def label(name: str) -> Column:

@@ -24,13 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import MICROS
-from ..model import Grid, TimeWindow, series_key
+from ..model import Grid, TimeWindow, fmt_rfc3339, series_key
 from ..operators import hist, rangefn
 from ..operators.neighbors import DEFAULT_BUCKET_S, with_neighbors
-from ..operators.summary import SMALL_SERIES_TABLE, summarize
-from ..session import checked_broadcast, default_parallelism
+from ..operators.summary import summarize
+from ..session import default_parallelism
 from ..sources.samples import time_part_filter
-from ..sources.testviews import TABLE_PART
 from .registry import Registry
 
 
@@ -49,13 +48,13 @@ def _matcher_ok():
 
 def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
                         metrics: list[str], max_reach_s: int,
-                        bucket_s: int = DEFAULT_BUCKET_S, broadcast_rows: int = 1_000_000,
-                        range_s: int | None = None, bound_out: list | None = None) -> DataFrame:
+                        bucket_s: int = DEFAULT_BUCKET_S,
+                        range_s: int | None = None) -> DataFrame:
     """Points ``(cand_id, series_key, k, step_ts, value)`` of all candidates."""
     lo = F.timestamp_micros(F.lit(grid.start_us - max_reach_s * MICROS))
     hi = F.timestamp_micros(F.lit(grid.end_us))
     pruned = samples.where(F.col("metric").isin(metrics) & (F.col("ts") > lo) & (F.col("ts") <= hi))
-    prune = time_part_filter(samples, grid.start_us - max_reach_s * MICROS, grid.end_us, TABLE_PART)
+    prune = time_part_filter(samples, grid.start_us - max_reach_s * MICROS, grid.end_us)
     if prune is not None:
         pruned = pruned.where(prune)
     cands = reg_df.select(
@@ -64,14 +63,12 @@ def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
         .alias("reach_us"),
         F.col("kind").isin("rate", "hquantile").alias("is_rate"))
     # Label matchers are evaluated once per distinct series, not per sample:
-    # the (candidate, series) selection is small and joins back on keys.
+    # the (candidate, series) selection joins back on keys; Spark broadcasts it
+    # if its measured bytes allow.
     series = (pruned.select("metric", "series_key").distinct()
                     .withColumn("labels", F.from_json("series_key", "map<string,string>")))
     chosen = (series.join(F.broadcast(cands), on="metric", how="inner").where(_matcher_ok())
                     .select("metric", "series_key", "cand_id", "kind", "quantile", "reach_us", "is_rate"))
-    chosen, n_chosen = checked_broadcast(chosen, max_rows=broadcast_rows, with_count=True)
-    if bound_out is not None:
-        bound_out.append(n_chosen)
     keys = ["cand_id", "series_key"]
     consts = ["is_gauge", "is_hq", "is_rate", "quantile", "reach_us"]
     g = F.col("is_gauge")
@@ -137,19 +134,13 @@ def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window
     grid = Grid.of(s, e, step_s)
     reg_df = reg.to_df(spark)
     max_reach = max(reg.range_s, reg.lookback_s)
-    bound: list = []
     if grid.empty:
         points = spark.createDataFrame([], "cand_id INT, series_key STRING, k INT, step_ts TIMESTAMP, value DOUBLE")
-        bound.append(0)
     else:
         points = evaluate_candidates(samples, reg_df, grid, metrics=reg.metrics(), max_reach_s=max_reach,
-                                     bucket_s=bucket_s, range_s=reg.range_s, bound_out=bound)
+                                     bucket_s=bucket_s, range_s=reg.range_s)
     pts = points.withColumn("ts_s", F.unix_micros("step_ts").cast("double") / F.lit(1e6))
-    # the counted (candidate, series) selection bounds the result series of
-    # every candidate: under the bound the summary takes the single-window
-    # prefix path without counting its (written) series table
-    small = bound[0] <= SMALL_SERIES_TABLE
-    summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark), known_small=small)
+    summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark))
     cand = (reg_df.join(summ, on="cand_id", how="left")
                   .withColumn("status", F.when(F.coalesce(F.col("n_points"), F.lit(0)) > 0, F.lit("ok"))
                                          .otherwise(F.lit("empty"))))
@@ -159,8 +150,8 @@ def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window
     res = (cand.join(winners, on=["ordinal", "priority"], how="inner")
                .withColumn("fallback_used", F.col("priority") > 0)
                .withColumn("error", F.lit(None).cast("string"))
-               .withColumn("window_start", F.lit(window.info()["start"]))
-               .withColumn("window_end", F.lit(window.info()["end"])))
+               .withColumn("window_start", F.lit(fmt_rfc3339(s)))
+               .withColumn("window_end", F.lit(fmt_rfc3339(e))))
     return DiagnoseResult(res, cand, points)
 
 

@@ -54,14 +54,16 @@ def read_samples(spark: SparkSession, path: str, part: str = "day") -> DataFrame
     return df.withColumn("ts_us", F.unix_micros("ts"))
 
 
-def time_part_filter(df: DataFrame, lo_us: int, hi_us: int, part: str = "day"):
-    """Partition-pruning predicate matching ``lo_us <= ts <= hi_us``."""
+def time_part_filter(df: DataFrame, lo_us: int, hi_us: int):
+    """Partition-pruning predicate matching ``lo_us <= ts <= hi_us``.
+
+    The bounds are cut to each partition value's own length, so that day and
+    month layouts (whose texts order like their times) prune alike."""
     if "tpart" not in df.columns:
         return None
-    fmt = PART_FORMATS[part]
-    lo = F.date_format(F.timestamp_micros(F.lit(lo_us)), fmt)
-    hi = F.date_format(F.timestamp_micros(F.lit(hi_us)), fmt)
-    return (F.col("tpart") >= lo) & (F.col("tpart") <= hi)
+    lo, hi = (F.date_format(F.timestamp_micros(F.lit(us)), PART_FORMATS["day"]) for us in (lo_us, hi_us))
+    own = F.length("tpart")
+    return (F.col("tpart") >= F.left(lo, own)) & (F.col("tpart") <= F.left(hi, own))
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

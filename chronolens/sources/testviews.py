@@ -21,6 +21,8 @@ hot event type is not one window task.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -143,7 +145,7 @@ def samples_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     from ..session import checkpoint_dir
     from .samples import path_exists, read_samples, write_samples
-    tag = "".join(ch if ch.isalnum() else "_" for ch in sf_dir.strip("/"))
+    tag = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:16]
     path = f"{checkpoint_dir(spark)}/samples_{tag}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
         from ..session import default_parallelism

@@ -167,3 +167,28 @@ def test_series_cap_two_level_matches_brute_force(spark):
     keys = sorted({(m, '{"i":"%04d"}' % i) for m in ("a", "b") for i in range(700)})
     want = {k for m in ("a", "b") for k in sorted(k for k in keys if k[0] == m)[:25]}
     assert got == want
+
+
+def test_day_and_month_tables_prune_alike(spark, tmp_path):
+    from pyspark.sql import functions as F
+    from chronolens.model import Grid
+    from chronolens.operators.rangefn import in_reach
+    from chronolens.sources.samples import make_samples, read_samples, write_samples
+    t0 = 1_705_314_600_000_000  # 2024-01-15T10:30:00Z
+    raw = spark.range(60).select(F.lit("m").alias("m"), F.create_map(F.lit("a"), F.lit("b")).alias("l"),
+                                 (F.col("id") * 60_000_000 + t0).alias("us"), F.col("id").cast("double").alias("v"))
+    rows = make_samples(raw, F.col("m"), F.col("l"), F.col("us"), F.col("v"))
+    for part in ("day", "month"):
+        path = str(tmp_path / part)
+        write_samples(rows, path, part=part)
+        assert in_reach(read_samples(spark, path, part), Grid(t0, t0 + 5_400_000_000, 60_000_000), 300).count() == 60
+
+
+def test_anchored_regex_and_signed_nan(spark):
+    from pyspark.sql import functions as F
+    from chronolens.functions.exprs import parse_float_text
+    from chronolens.operators.select import anchored
+    got = [r[0] for r in spark.createDataFrame([("ab",), ("ab\n",), ("xab",), ("a\nb",)], "s string").select(F.col("s").rlike(anchored("a.?b"))).collect()]
+    assert got == [True, False, False, True]
+    vals = [r[0] for r in spark.createDataFrame([("NaN",), ("+NaN",), ("-nan",), ("-Inf",), ("+1.5",)], "s string").select(parse_float_text("s")).collect()]
+    assert vals[0] != vals[0] and vals[1:] == [None, None, float("-inf"), 1.5]
