@@ -102,20 +102,24 @@ def epoch_s(us) -> Column:
 
 
 def rfc3339_from_seconds(sec) -> Column:
-    """Epoch seconds (fraction truncated toward zero) → ``YYYY-MM-DDTHH:MM:SSZ``.
+    """Epoch seconds (fraction truncated toward zero) → ``YYYY-MM-DDTHH:MM:SSZ``,
+    whatever the session time zone."""
+    return F.concat(F.translate(utc_ntz(c(sec).cast("long")).cast("string"), " ", "T"), F.lit("Z"))
 
-    Requires a UTC session (``session.prepare``).
-    """
-    return F.date_format(F.timestamp_seconds(c(sec).cast("long")), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+def utc_ntz(sec) -> Column:
+    """Epoch seconds → the UTC wall clock as TIMESTAMP_NTZ (zone-free)."""
+    return F.timestamp_add("SECOND", sec, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-def rfc3339(ts) -> Column:
-    return F.date_format(c(ts), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+def utc_day(ts) -> Column:
+    """Text ``YYYY-MM-DD`` of a TIMESTAMP's UTC day, whatever the session time zone."""
+    return utc_ntz(epoch_s(F.unix_micros(c(ts)))).cast("date").cast("string")
 
 
 # The float-text grammar accepted by the reference's parser
 # (decimal or exponent notation, optional sign, inf/infinity/nan words).
-FLOAT_TEXT_RE = r"(?i)^(nan|[+-]?(inf|infinity|([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?))$"
+FLOAT_TEXT_RE = r"(?i)\A(nan|[+-]?(inf|infinity|([0-9]+[.]?[0-9]*|[.][0-9]+)(e[+-]?[0-9]+)?))\z"
 _INF_WORD_RE = r"(?i)^[+-]?inf(inity)?$"
 
 

@@ -14,12 +14,15 @@ from pyspark.sql import functions as F
 
 from ..model import DEFAULT_LIST_LIMIT, TimeWindow
 from ..model import to_micros
+from ..sources.samples import time_part_filter
 
 
 def in_window(samples: DataFrame, window: TimeWindow) -> DataFrame:
-    lo = F.timestamp_micros(F.lit(to_micros(window.start)))
-    hi = F.timestamp_micros(F.lit(to_micros(window.end)))
-    return samples.where((F.col("ts") >= lo) & (F.col("ts") <= hi))
+    """Samples inside the window; on a partitioned table other partitions are not opened."""
+    lo, hi = to_micros(window.start), to_micros(window.end)
+    prune = time_part_filter(samples, lo, hi)
+    inside = (F.col("ts") >= F.timestamp_micros(F.lit(lo))) & (F.col("ts") <= F.timestamp_micros(F.lit(hi)))
+    return samples.where(inside if prune is None else prune & inside)
 
 
 def _match(samples: DataFrame, match) -> DataFrame:
@@ -51,5 +54,7 @@ def list_metrics(samples: DataFrame, window: TimeWindow, limit: int = 0, match=N
 
 def list_labels(samples: DataFrame, window: TimeWindow) -> DataFrame:
     """Distinct label names (plus ``__name__``), as the label-values API lists them."""
-    keys = in_window(samples, window).select(F.explode(F.map_keys("labels")).alias("label")).distinct()
+    # a series key holds its labels: the label map of each sample is not read
+    series = in_window(samples, window).select("series_key").distinct()
+    keys = series.select(F.explode(F.json_object_keys("series_key")).alias("label")).distinct()
     return keys.unionByName(samples.sparkSession.range(1).select(F.lit("__name__").alias("label"))).distinct()

@@ -1,7 +1,8 @@
 """The per-query statistical summary and trend label.
 
 All statistics pool every valid point of every series of one query result,
-in a fixed order: series by ``series_key``, then time.
+in a fixed order: series by ``series_key``, then time. A response that sets an
+order of its own (``series_order``, ``pos_cols``) is pooled in that order.
 
 * ``series_count`` — series in the result, including ones with no valid point;
 * ``max_value`` / ``max_timestamp`` — strict ``>`` scan from −Inf: NaN never
@@ -36,21 +37,23 @@ SUMMARY_COLS = ["series_count", "n_points", "max_value", "max_timestamp", "avg_v
 
 
 def series_stats(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts_s",
-                 pos_col: str | None = None) -> DataFrame:
-    """Level 1: one row per (group, series).
+                 pos_cols: Sequence[str] = (), key_cols: Sequence[str] = ("series_key",),
+                 series_order: Sequence[str] = ()) -> DataFrame:
+    """Level 1: one row per (group, series), with its place ``_ord`` among the group's series.
 
     ``points`` has ``group_cols``, ``series_key``, ``order_col`` (epoch
     seconds, DOUBLE) and ``value`` (NULL marks a point that failed decoding;
     a series made only of such rows still counts as a series).
     """
-    g = list(group_cols)
+    g = [*group_cols, *key_cols]
     valid = F.col("value").isNotNull()
-    w = Window.partitionBy(*g, "series_key").orderBy(F.col("_valid").desc(), pos_col or order_col)
+    w = Window.partitionBy(*g).orderBy(F.col("_valid").desc(), *(pos_cols or [order_col]))
     p = (points.withColumn("_valid", valid)
                .withColumn("_i", (F.row_number().over(w) - 1).cast("double")))
     v = F.col("value")
     cand = valid & ~F.isnan(v) & (v > F.lit(float("-inf")))
-    return p.groupBy(*g, "series_key").agg(
+    return p.groupBy(*g).agg(
+        F.min(F.struct(*series_order, *key_cols)).alias("_ord"),
         F.count(v).alias("n_s"),
         F.sum(v).alias("sv"),
         F.sum(F.col("_i") * v).alias("siv"),
@@ -62,7 +65,7 @@ def series_stats(points: DataFrame, group_cols: Sequence[str], order_col: str =
 
 
 def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts_s",
-              chunks: int = 8, materialize=True, pos_col: str | None = None) -> DataFrame:
+              chunks: int = 8, materialize=True, **order) -> DataFrame:
     """Level 1 + level 2: one summary row per group (groups with ≥ 1 series).
 
     The series table (one row per result series) is written to the
@@ -71,7 +74,7 @@ def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts
     whole upstream evaluation.
     """
     g = list(group_cols)
-    s = series_stats(points, g, order_col, pos_col)
+    s = series_stats(points, g, order_col, **order)
     if materialize:
         s = write_and_read(s, "series-stats")
     return summarize_series(s, g, chunks)
@@ -89,9 +92,9 @@ def summarize_series(s: DataFrame, group_cols: Sequence[str], chunks: int = 8) -
         F.sum(F.when(F.col("n_s") > 0, F.col("m2"))).alias("m2_within"),
         F.sum(F.when(F.col("n_s") > 0, F.try_divide(F.col("sv") * F.col("sv"), F.col("n_s")))).alias("sq_means"),
         F.min(F.when(F.col("best").isNotNull(),
-                     F.struct(F.col("best.nv").alias("nv"), F.col("series_key"),
+                     F.struct(F.col("best.nv").alias("nv"), F.col("_ord"),
                               F.col("best.i").alias("i"), F.col("best.ts").alias("ts")))).alias("best"))
-    cross = ordered_cross_sum(nz_series, g, "series_key", "n_s", "sv", chunks)
+    cross = ordered_cross_sum(nz_series, g, "_ord", "n_s", "sv", chunks)
     joined = per_group.join(cross, on=g, how="left")
     return _finish(joined, g)
 

@@ -13,18 +13,17 @@ from functools import lru_cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import epoch_s, r6
+from ..functions.exprs import epoch_s, ntz_micros, r6, utc_day
 from ..model import Grid, clamp_instant_value, clamp_range, series_key, to_micros
-from ..functions.exprs import ntz_micros
 from ..operators import aggregate, discover, hist, outcomes, rangefn
 from ..operators import select as sel
-from ..operators.summary import summarize
 from ..sources import payloads as pl
 from ..sources import sinks
 from . import findings as fnd
-from ..session import default_parallelism, materialize, prepare
+from ..session import materialize, prepare
 from ..sources import testviews as tv
 from . import diagnose as dg
+from .payload_diagnose import diagnose_payloads, summarize_payloads
 from .registry import test_registry
 
 EV_GRID = Grid.of(tv.EVENTS_WINDOW.start, tv.EVENTS_WINDOW.end, tv.EVENTS_STEP_S)
@@ -338,10 +337,9 @@ def payload_summary_q(spark, sf):
     points are malformed (value as a JSON number): values below 1, and every
     point on the 7th of the month. Skipped points leave their series counted."""
     s = tv.metric_table(spark, sf, "event_value")
-    bad = (F.col("value") < 1.0) | (F.dayofmonth("ts") == 7)
+    bad = (F.col("value") < 1.0) | utc_day("ts").endswith("-07")
     pays = pl.build_range_payloads(s.withColumn("_bad", bad), bad_col="_bad")
-    pts = pl.decode_points(pays, id_cols=["chunk"])
-    summ = summarize(pts, ["chunk"], "ts_s", chunks=default_parallelism(spark), pos_col="point_idx")
+    summ = summarize_payloads(spark, pays.select("chunk", "payload"), ["chunk"])
     return summ.select(F.col("chunk").cast("long").alias("day"), *_summary_cols())
 
 
@@ -416,7 +414,6 @@ def candidate_responses(spark, sf):
 
 
 def diagnose_payloads_q(spark, sf):
-    from .payload_diagnose import diagnose_payloads
     res = diagnose_payloads(spark, candidate_responses(spark, sf), _registry().to_df(spark)).results
     return res.select("component", F.col("ordinal").cast("long").alias("ordinal"), "name", "query", "status",
                       F.coalesce("error", F.lit("")).alias("error"), *_summary_cols())

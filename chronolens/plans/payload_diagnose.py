@@ -6,8 +6,10 @@ per series). Per candidate:
 
 * any rejected payload → the candidate *errors* (message of S4);
 * otherwise ``ok`` when some payload holds a non-empty result, else ``empty``;
-* the summary pools the decoded points of all its payloads (series by key,
-  points in response order); skipped points still count their series.
+* the summary pools the decoded points of all its payloads in response order:
+  payloads by ``payload_idx`` (where ``responses`` has it), series by their
+  place, then name and labels, points by their place. A series is its name and
+  labels; skipped points still count their series.
 
 Fallback with errors (D3/D10): a primary that errors is recorded and no
 alternative is tried; a primary that is non-empty wins; otherwise the first
@@ -30,8 +32,7 @@ def evaluate_payloads(spark: SparkSession, responses: DataFrame, reg_df: DataFra
     err = pl.rejects(responses, id_cols=["cand_id"]).groupBy("cand_id").agg(F.min("message").alias("error"))
     st = (pl.query_status(responses, id_cols=["cand_id"]).groupBy("cand_id")
             .agg(F.max(F.col("status") == "ok").alias("_any_ok")))
-    pts = pl.decode_points(responses, id_cols=["cand_id"])
-    summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark), pos_col="point_idx")
+    summ = summarize_payloads(spark, responses, ["cand_id"])
     cand = (reg_df.join(err, "cand_id", "left").join(st, "cand_id", "left").join(summ, "cand_id", "left")
                   .withColumn("status", F.when(F.col("error").isNotNull(), F.lit("error"))
                                          .when(F.coalesce(F.col("_any_ok"), F.lit(False)), F.lit("ok"))
@@ -40,6 +41,15 @@ def evaluate_payloads(spark: SparkSession, responses: DataFrame, reg_df: DataFra
     return _fill_empty(cand)
 
 
+def summarize_payloads(spark: SparkSession, responses: DataFrame, group_cols: list[str]) -> DataFrame:
+    """One summary row per group of payloads that holds a series, pooled in response order."""
+    idx = [c for c in ("payload_idx",) if c in responses.columns]
+    pts = pl.decode_points(responses, id_cols=[*group_cols, *idx])
+    return summarize(pts, group_cols, "ts_s", chunks=default_parallelism(spark),
+                     pos_cols=[*idx, "point_idx", "ts_s"], key_cols=["metric", "series_key"],
+                     series_order=[*idx, "series_idx"])
+
+
 def pick_winners(cand: DataFrame) -> DataFrame:
     """Winning candidate per registry entry under the error-aware rule."""
     p0 = F.col("priority") == 0

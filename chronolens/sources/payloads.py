@@ -9,6 +9,9 @@ decoder does:
 * ``status != "success"`` → reject ``query failed: <error> (<errorType>)``
   (``list_metrics failed: …`` for name lists);
 * ``data.result`` absent, ``null`` or ``[]`` → status ``empty``;
+* a result with an element that is no series (a label that is no text,
+  points that are no list) has no series at all; a null element is a series
+  without labels or points;
 * a point is kept only if it has ≥ 2 elements, a numeric timestamp and a
   string value that parses as a float; otherwise it is skipped, but its
   series still counts.
@@ -60,12 +63,28 @@ def query_status(df: DataFrame, col: str = "payload", id_cols: Sequence[str] = (
     """``ok`` / ``empty`` per accepted payload (the emptiness predicate)."""
     a = _accepted(df, col)
     res = F.try_variant_get("_v", "$.data.result", "variant")
-    kind = F.schema_of_variant(res)
-    empty = res.isNull() | F.is_variant_null(res) | kind.startswith("ARRAY<VOID") | (kind == "VOID") | \
-        (kind.startswith("ARRAY") & (F.size(F.try_variant_get(res, "$", "array<variant>")) == 0))
+    empty = (_kind(res) == "VOID") | (F.size(F.try_variant_get(res, "$", "array<variant>")) == 0)
     return a.select(*id_cols, F.col("_v").alias("_v"),
                     F.try_variant_get("_v", "$.data.resultType", "string").alias("result_type"),
-                    F.when(empty, F.lit("empty")).otherwise(F.lit("ok")).alias("status")).drop("_v")
+                    F.when(F.coalesce(empty, F.lit(False)), F.lit("empty")).otherwise(F.lit("ok")).alias("status")).drop("_v")
+
+
+def _kind(v: Column) -> Column:
+    """Schema text of a variant; ``VOID`` for a JSON null and for nothing at all."""
+    return F.coalesce(F.schema_of_variant(v), F.lit("VOID"))
+
+
+def _is_series(e: Column) -> Column:
+    """Whether one result element decodes as a series: null, or an object whose labels are an
+    object of texts (or null) and whose ``values`` are a list of lists (or null)."""
+    labels, values = F.try_variant_get(e, "$.metric", "variant"), F.try_variant_get(e, "$.values", "variant")
+    texts = F.forall(F.map_values(F.try_variant_get(e, "$.metric", "map<string,variant>")),
+                     lambda v: _kind(v).isin("STRING", "VOID"))
+    lists = F.forall(F.try_variant_get(e, "$.values", "array<variant>"),
+                     lambda v: (_kind(v) == "VOID") | _kind(v).startswith("ARRAY"))
+    return (_kind(e) == "VOID") | (
+        _kind(e).startswith("OBJECT") & ((_kind(labels) == "VOID") | F.coalesce(texts, F.lit(False)))
+        & ((_kind(values) == "VOID") | F.coalesce(lists, F.lit(False))))
 
 
 def _point(p: Column, idx: int) -> Column:
@@ -83,12 +102,12 @@ def decode_points(df: DataFrame, col: str = "payload", id_cols: Sequence[str] =
     """
     a = _accepted(df, col)
     result = F.try_variant_get("_v", "$.data.result", "array<variant>")
-    # a result that is not a list of series objects (e.g. a scalar
-    # ``[ts, "v"]``) does not decode as series at all: no series, no points
-    as_series = F.when(F.forall(result, lambda e: F.schema_of_variant(e).startswith("OBJECT")), result)
-    series = a.select(*id_cols, F.posexplode_outer(as_series).alias("series_idx", "_s"))
-    series = series.where(F.col("_s").isNotNull())
-    metric_map = F.try_variant_get("_s", "$.metric", "map<string,string>")
+    # a result that is not a list of series (a scalar ``[ts, "v"]``, a label
+    # that is no text) does not decode at all: no series, no points
+    as_series = F.when(F.forall(result, _is_series), result)
+    series = a.select(*id_cols, F.posexplode(as_series).alias("series_idx", "_s"))
+    metric_map = F.transform_values(F.try_variant_get("_s", "$.metric", "map<string,string>"),
+                                    lambda k, v: F.coalesce(v, F.lit("")))
     series = (series.withColumn("_m", F.coalesce(metric_map, F.create_map().cast("map<string,string>")))
                     .withColumn("metric", F.col("_m")["__name__"])
                     .withColumn("labels", F.map_filter("_m", lambda k, v: k != "__name__")))

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.exprs import utc_day
 from ..model import SAMPLES_DDL, series_key
 
 
@@ -28,30 +29,42 @@ def make_samples(df: DataFrame, metric, labels, ts_us, value) -> DataFrame:
         ts_us.cast("long").alias("ts_us"))
 
 
-PART_FORMATS = {"day": "yyyy-MM-dd", "month": "yyyy-MM"}
+# Characters of the UTC day's text that name a partition.
+PART_LENGTHS = {"day": 10, "month": 7}
+
+
+# Partition column of tables that streaming batches write.
+BATCH_COL = "ingest_batch"
 
 
 def write_samples(df: DataFrame, path: str, mode: str = "overwrite", part: str = "day",
-                  files_per_part: int = 8) -> None:
+                  files_per_part: int = 8, batch_id: int | None = None) -> None:
     """Write partitioned by ``metric`` and a time bucket (``day`` or
     ``month``). Inside a partition, series are spread over
     ``files_per_part`` files by hash (a hot metric is not one file, so not
     one scan task), and each file is sorted by (series, time) so row-group
-    statistics on ``ts`` and ``series_key`` skip data too."""
-    fmt = PART_FORMATS[part]
+    statistics on ``ts`` and ``series_key`` skip data too.
+
+    With ``batch_id`` the rows go to partitions of their own batch, whose
+    earlier content they replace: writing a batch again adds nothing."""
+    n = PART_LENGTHS[part]
     spread = F.pmod(F.xxhash64("series_key"), F.lit(int(files_per_part)))
-    (df.select("metric", "labels", "series_key", "ts", "value")
-       .withColumn("tpart", F.date_format("ts", fmt))
-       .repartition("metric", "tpart", spread)
-       .sortWithinPartitions("series_key", "ts")
-       .write.mode(mode).partitionBy("metric", "tpart").parquet(path))
+    out = (df.select("metric", "labels", "series_key", "ts", "value")
+             .withColumn("tpart", F.left(utc_day("ts"), F.lit(n))))
+    parts = ["metric", "tpart"]
+    if batch_id is not None:
+        out, parts = out.withColumn(BATCH_COL, F.lit(int(batch_id))), [*parts, BATCH_COL]
+    writer = out.repartition("metric", "tpart", spread).sortWithinPartitions("series_key", "ts").write
+    if batch_id is not None:
+        mode, writer = "overwrite", writer.option("partitionOverwriteMode", "dynamic")
+    writer.mode(mode).partitionBy(*parts).parquet(path)
 
 
 def read_samples(spark: SparkSession, path: str, part: str = "day") -> DataFrame:
     """Read a samples table; adds ``ts_us`` and keeps the ``tpart`` partition
     column so time predicates can prune directories (``in_reach`` adds one)."""
     df = spark.read.schema(SAMPLES_DDL + ", tpart STRING").parquet(path)
-    return df.withColumn("ts_us", F.unix_micros("ts"))
+    return df.drop(BATCH_COL).withColumn("ts_us", F.unix_micros("ts"))
 
 
 def time_part_filter(df: DataFrame, lo_us: int, hi_us: int):
@@ -61,7 +74,7 @@ def time_part_filter(df: DataFrame, lo_us: int, hi_us: int):
     month layouts (whose texts order like their times) prune alike."""
     if "tpart" not in df.columns:
         return None
-    lo, hi = (F.date_format(F.timestamp_micros(F.lit(us)), PART_FORMATS["day"]) for us in (lo_us, hi_us))
+    lo, hi = (utc_day(F.timestamp_micros(F.lit(us))) for us in (lo_us, hi_us))
     own = F.length("tpart")
     return (F.col("tpart") >= F.left(lo, own)) & (F.col("tpart") <= F.left(hi, own))
 

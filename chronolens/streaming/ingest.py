@@ -4,8 +4,9 @@ The batch decoder (``sources.payloads``) applied to a Structured Streaming
 file source: every new JSON-lines file is decoded row by row (no state, no
 shuffle), valid points are appended to the partitioned samples table and
 rejected payloads to a rejects table. Progress is tracked in a checkpoint
-location under the session's shared checkpoint folder, so a restarted or
-failed query resumes without loss or duplicates (files are committed once).
+location under the session's shared checkpoint folder. Both tables are
+partitioned by batch, and a batch replaces its own partitions, so one that
+is replayed after a failure adds no row twice.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..session import checkpoint_dir
 from ..sources import payloads as pl
-from ..sources.samples import write_samples
+from ..sources.samples import BATCH_COL, write_samples
 
 
 def stream_checkpoint(spark: SparkSession, name: str) -> str:
@@ -41,6 +42,16 @@ def decoded_samples(payloads: DataFrame) -> DataFrame:
                        F.timestamp_micros((F.col("ts_s") * F.lit(1e6)).cast("long")).alias("ts"), "value"))
 
 
+def write_batch(batch: DataFrame, batch_id: int, table_path: str, rejects_path: str | None = None,
+                part: str = "day") -> None:
+    """Write one batch; the same batch again replaces what it wrote before."""
+    write_samples(decoded_samples(batch), table_path, part=part, batch_id=batch_id)
+    if rejects_path:
+        (pl.rejects(batch, id_cols=["source"]).withColumn(BATCH_COL, F.lit(int(batch_id)))
+           .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy(BATCH_COL).parquet(rejects_path))
+
+
 def start_ingest(spark: SparkSession, input_dir: str, table_path: str, rejects_path: str | None = None,
                  name: str = "payload-ingest", available_now: bool = False,
                  part: str = "day") -> StreamingQuery:
@@ -49,9 +60,7 @@ def start_ingest(spark: SparkSession, input_dir: str, table_path: str, rejects_p
     stream = payload_stream(spark, input_dir)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_samples(decoded_samples(batch), table_path, mode="append", part=part)
-        if rejects_path:
-            pl.rejects(batch, id_cols=["source"]).write.mode("append").parquet(rejects_path)
+        write_batch(batch, batch_id, table_path, rejects_path, part)
 
     writer = (stream.writeStream.queryName(name).foreachBatch(sink)
               .option("checkpointLocation", stream_checkpoint(spark, name)))
