@@ -8,18 +8,19 @@ plain types: BIGINT epoch seconds for times, doubles rounded with ``r6`` and
 
 from __future__ import annotations
 
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import epoch_s, ntz_micros, r6, utc_day
+from ..functions.exprs import epoch_s, fdiv, ntz_micros, r6, utc_day
 from ..model import Grid, clamp_instant_value, clamp_range, series_key, to_micros
 from ..operators import aggregate, discover, hist, outcomes, rangefn
 from ..operators import select as sel
 from ..sources import payloads as pl
 from ..sources import sinks
 from . import findings as fnd
+from . import query as qr
 from ..session import materialize, prepare
 from ..sources import testviews as tv
 from . import diagnose as dg
@@ -55,6 +56,52 @@ def increase_q(spark: SparkSession, sf: str) -> DataFrame:
     return (a.unionByName(b)).select("metric", "series_key", _step_s(), r6("value").alias("value"))
 
 
+ODD_RANGE_S = tv.EVENTS_STEP_S * 7 // 2   # not a whole number of steps
+
+
+def rate_odd_range_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Rate, increase and range vector where the range is no whole number of steps."""
+    s = rangefn.in_reach(_counters(spark, sf), EV_GRID, ODD_RANGE_S)
+    rate, inc = (f(s, KEYS, EV_GRID, ODD_RANGE_S).withColumn("kind", F.lit(name))
+                 for name, f in (("rate", rangefn.rate), ("increase", rangefn.increase)))
+    vec = (rangefn.range_vector(s, KEYS, EV_GRID, ODD_RANGE_S)
+           .select(*KEYS, "k", "step_ts", F.col("n").cast("double").alias("value"), F.lit("count").alias("kind")))
+    return (rate.unionByName(inc).unionByName(vec)
+            .select("kind", "metric", "series_key", _step_s(), r6("value").alias("value")))
+
+
+# Requests of the composed queries: name, expression, start (or time), end.
+RUNS = [
+    ("gauge", qr.Expr("event_value", "gauge", (("event_type", "=", "click"),)), None, None),
+    ("rate", qr.Expr("events_total", "rate", (("event_type", "!=", "click"),), tv.EVENTS_RANGE_S),
+     "2024-01-10T00:00:00Z", "2024-02-10T00:00:00Z"),
+    ("regex", qr.Expr("event_value_sum_total", "increase", (("shard", "=~", "0|3"), ("event_type", "!~", "v.*")),
+                      tv.EVENTS_RANGE_S), None, "2024-01-07T00:00:00Z"),
+    ("absent", qr.Expr("no_such_metric"), None, None),
+    ("inverted", qr.Expr("event_value"), "2024-02-01T00:00:00Z", "2024-02-02T00:00:00Z"),
+]
+
+
+def _runs(results) -> DataFrame:
+    """Per request its result row (no metric) and its points (no status)."""
+    rows = [df.withColumn("request", F.lit(name)) for name, res in results for df in (
+        res.result, res.data.select("metric", "series_key", _step_s(), r6("value").alias("value")))]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+
+
+def query_run_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Instant queries: results and points."""
+    s = tv.samples_table(spark, sf)
+    return _runs((n, qr.query(s, x, tv.EVENTS_WINDOW, t, tv.EVENTS_LOOKBACK_S)) for n, x, t, _ in RUNS)
+
+
+def query_range_run_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Range queries: results and points."""
+    s = tv.samples_table(spark, sf)
+    return _runs((n, qr.query_range(s, x, tv.EVENTS_WINDOW, a, b, tv.EVENTS_STEP_S, tv.EVENTS_LOOKBACK_S))
+                 for n, x, a, b in RUNS)
+
+
 def query_range_gauge_q(spark: SparkSession, sf: str) -> DataFrame:
     ev = rangefn.in_reach(tv.metric_table(spark, sf, "event_value"), EV_GRID, tv.EVENTS_LOOKBACK_S)
     a = rangefn.gauge_on_grid(ev, KEYS, EV_GRID, tv.EVENTS_LOOKBACK_S)
@@ -343,6 +390,39 @@ def payload_summary_q(spark, sf):
     return summ.select(F.col("chunk").cast("long").alias("day"), *_summary_cols())
 
 
+def payload_edge_q(spark, sf):
+    """Status and summary per (day, event type) over responses with two metrics of equal labels,
+    the later name first; on every 5th day a label is a number, so nothing decodes; on every 7th
+    a null element follows, which counts as a series."""
+    s = tv.metric_table(spark, sf, "event_value", "events_total")
+    day = fdiv(F.col("ts_us"), F.lit(DAY_S * 1_000_000))
+    # one series' samples of one day bound the group
+    one = (s.groupBy("series_key", day.alias("day"), "metric")
+           .agg(F.array_sort(F.collect_list(F.struct("ts_us", "value"))).alias("p")))
+    pts = F.array_join(F.transform("p", lambda p: F.concat(
+        F.lit("["), (p["ts_us"].cast("double") / F.lit(1e6)).cast("string"), F.lit(',"'), pl.value_text(p["value"]),
+        F.lit('"]'))), ",")
+    labels = F.when(F.pmod("day", F.lit(5)) == 0, F.lit('"event_type":5')) \
+              .otherwise(F.expr("substring(series_key, 2, length(series_key) - 2)"))
+    series = F.concat(F.lit('{"metric":{"__name__":"'), "metric", F.lit('",'), labels, F.lit('},"values":['), pts,
+                      F.lit("]}"))
+    pays = (one.select("series_key", "day", "metric", series.alias("j")).groupBy("series_key", "day")
+            .agg(F.transform(F.sort_array(F.collect_list(F.struct("metric", "j")), asc=False), lambda x: x["j"])
+                 .alias("js"))
+            .select("series_key", "day", F.concat(
+                F.lit('{"status":"success","data":{"resultType":"matrix","result":['), F.array_join("js", ","),
+                F.when(F.pmod("day", F.lit(7)) == 0, F.lit(",null")).otherwise(F.lit("")), F.lit("]}}"))
+                .alias("payload"))
+            .withColumnRenamed("series_key", "grp"))
+    keys = ["grp", "day"]
+    summ = summarize_payloads(spark, pays, keys)
+    out = dg._fill_empty(pl.query_status(pays, id_cols=keys).join(summ, keys, "left"))
+    # the mean times the count: a mean of 2^k values can lie on a rounding tie
+    cols = [c for c in _summary_cols() if "avg_value" not in str(c)]
+    return out.select(F.col("grp").alias("labels"), "day", "status", *cols,
+                      r6(F.col("avg_value") * F.col("n_points")).alias("pooled_sum"))
+
+
 def payload_vector_q(spark, sf):
     t = EV_GRID.end_us
     s = rangefn.in_reach(tv.metric_table(spark, sf, *tv.EVENT_METRICS), Grid(t, t, 1), tv.EVENTS_LOOKBACK_S)
@@ -431,6 +511,9 @@ def findings_report_q(spark, sf):
 QUERIES = {
     "rate": rate_q,
     "increase": increase_q,
+    "rate_odd_range": rate_odd_range_q,
+    "query_run": query_run_q,
+    "query_range_run": query_range_run_q,
     "query_range_gauge": query_range_gauge_q,
     "range_vector": range_vector_q,
     "query_instant": query_instant_q,
@@ -467,6 +550,7 @@ QUERIES = {
     "payload_matrix": payload_matrix_q,
     "payload_vector": payload_vector_q,
     "payload_summary": payload_summary_q,
+    "payload_edge": payload_edge_q,
     "payload_names": payload_names_q,
     "payload_rejects": payload_rejects_q,
     "diagnose_payloads": diagnose_payloads_q,

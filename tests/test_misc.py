@@ -106,6 +106,51 @@ def test_payload_status_and_rejects(spark):
     assert rj == {"err": "query failed: invalid selector (bad_data)", "bad": "parsing response: invalid JSON"}
 
 
+def _matrix(result):
+    return '{"status":"success","data":{"resultType":"matrix","result":%s}}' % result
+
+
+def test_payload_order_and_typing(spark):
+    from chronolens.plans.payload_diagnose import summarize_payloads
+    b, a = '{"metric":{"s":"b"},"values":[[1,"6"],[2,"8"]]}', '{"metric":{"s":"a"},"values":[[1,"2"],[2,"4"]]}'
+    rows = [("b before a", _matrix(f"[{b},{a}]")), ("a before b", _matrix(f"[{a},{b}]")),
+            ("label no text", _matrix('[%s,{"metric":{"s":5},"values":[[1,"2"]]}]' % a)),
+            ("points no list", _matrix('[{"metric":{"s":"a"},"values":[7]}]')),
+            ("null", _matrix("[null]")),
+            ("two names", _matrix('[{"metric":{"__name__":"x","job":"j"},"values":[[1,"1"]]},'
+                                  '{"metric":{"__name__":"y","job":"j"},"values":[[1,"2"]]}]')),
+            ("scalar", _matrix('[1,"2"]')), ("nothing", _matrix("null"))]
+    df = spark.createDataFrame(rows, "id string, payload string")
+    got = {r["id"]: r for r in summarize_payloads(spark, df, ["id"]).collect()}
+    assert got["b before a"]["trend"] == "decreasing" and got["a before b"]["trend"] == "increasing"
+    assert got["null"]["series_count"] == 1 and got["null"]["n_points"] == 0
+    assert got["two names"]["series_count"] == 2
+    assert not {"label no text", "points no list", "scalar", "nothing"} & set(got)
+    st = {r["id"]: r["status"] for r in pl.query_status(df, id_cols=["id"]).collect()}
+    assert st.pop("nothing") == "empty" and set(st.values()) == {"ok"}
+
+
+def test_payloads_of_one_series_go_in_their_order(spark):
+    from chronolens.plans.payload_diagnose import summarize_payloads
+    part = lambda *v: _matrix('[{"metric":{},"values":[%s]}]' % ",".join(f'[{i},"{x}"]' for i, x in enumerate(v)))
+    df = spark.createDataFrame([("q", 1, part(1, 2)), ("q", 0, part(9, 8))], "id string, payload_idx int, payload string")
+    assert summarize_payloads(spark, df, ["id"]).collect()[0]["trend"] == "decreasing"
+
+
+def test_time_text_in_any_session_zone(spark):
+    from chronolens.functions.exprs import rfc3339_from_seconds, utc_day
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for z in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", z)
+            r = spark.range(1).select(rfc3339_from_seconds(F.lit(1704132822)).alias("t"),
+                                      rfc3339_from_seconds(F.lit(-1.5)).alias("n"),
+                                      utc_day(F.timestamp_micros(F.lit(1704067199_999999))).alias("d")).collect()[0]
+            assert (r["t"], r["n"], r["d"]) == ("2024-01-01T18:13:42Z", "1969-12-31T23:59:59Z", "2023-12-31")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_names_payload(spark):
     df = spark.createDataFrame([('{"status":"success","data":["metric_1","metric_2"]}',)], "payload string")
     assert [r["name"] for r in pl.decode_names(df).collect()] == ["metric_1", "metric_2"]

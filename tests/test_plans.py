@@ -4,7 +4,8 @@ bounded top-k of the metric list."""
 import __spark_entry__ as se
 from chronolens.plans.catalog import QUERIES
 
-BOUNDED_SINGLE = {"list_metrics", "list_metrics_limit"}
+BOUNDED_SINGLE = {"list_metrics", "list_metrics_limit",
+                  "query_run", "query_range_run"}   # the status: one row a partition
 
 
 def _plan(df) -> str:
@@ -20,6 +21,15 @@ def test_no_python_udfs_and_no_single_partition(spark):
             assert "SinglePartition" not in plan, name
 
 
+def test_discovery_opens_the_window_only(spark):
+    import re
+    for name in ("list_metrics", "list_labels", "select_metric", "bundle_registry", "payload_names"):
+        plan = _plan(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert re.search(r"PartitionFilters: \[[^\]]*tpart", plan), name
+    assert "labels" not in re.search(r"ReadSchema: struct<[^>]*>", _plan(QUERIES["list_labels"](
+        spark, "/root/testdata/sf0.001")))[0]
+
+
 def test_samples_scan_prunes_and_pushes(spark):
     import re
     plan = _plan(se.queries()["rate"](spark, "/root/testdata/sf0.001"))

@@ -7,6 +7,15 @@ GOOD = ('{"status":"success","data":{"resultType":"matrix","result":[{"metric":{
 BAD = '{"status":"error","errorType":"bad_data","error":"invalid selector"}'
 
 
+def test_a_replayed_batch_adds_nothing(spark, tmp_path):
+    from chronolens.streaming.ingest import write_batch
+    batch = spark.createDataFrame([("f", GOOD), ("f", BAD)], "source string, payload string")
+    table, rej = str(tmp_path / "samples"), str(tmp_path / "rejects")
+    for batch_id, n in ((0, 2), (0, 2), (1, 4), (1, 4)):
+        write_batch(batch, batch_id, table, rej)
+        assert read_samples(spark, table).count() == n and spark.read.parquet(rej).count() == n // 2
+
+
 def test_ingest_available_now(spark, tmp_path):
     src = tmp_path / "in"
     src.mkdir()
