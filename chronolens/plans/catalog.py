@@ -500,7 +500,12 @@ def diagnose_payloads_q(spark, sf):
 
 
 def diagnose_json_q(spark, sf):
-    return sinks.results_json(diagnose_run(spark, sf).results)
+    """The whole run as one document; numbers with six places, so that texts can be compared."""
+    return sinks.results_json(diagnose_run(spark, sf).results, decimals=6)
+
+
+def diagnose_json_component_q(spark, sf):
+    return sinks.results_json(diagnose_run(spark, sf, "ruler").results, decimals=6)
 
 
 def findings_report_q(spark, sf):
@@ -555,6 +560,7 @@ QUERIES = {
     "payload_rejects": payload_rejects_q,
     "diagnose_payloads": diagnose_payloads_q,
     "diagnose_json": diagnose_json_q,
+    "diagnose_json_component": diagnose_json_component_q,
     "findings_report": findings_report_q,
 }
 

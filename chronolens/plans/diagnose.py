@@ -19,13 +19,16 @@ Plan:
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.exprs import MICROS
 from ..model import Grid, TimeWindow, fmt_rfc3339, series_key
 from ..operators import hist, rangefn
+from ..operators import select as sel
 from ..operators.neighbors import DEFAULT_BUCKET_S, with_neighbors
 from ..operators.summary import summarize
 from ..session import default_parallelism
@@ -46,17 +49,36 @@ def _matcher_ok():
                     lambda e: F.coalesce(F.col("labels")[e["key"]], F.lit("")) == e["value"])
 
 
+def selected_by(registry: Registry) -> Column | None:
+    """Whether any candidate selects a sample (None: matchers exclude nothing).
+
+    The registry is a fixed table of a few dozen rows, so this is one short
+    expression; a metric that some candidate takes whole needs no label test.
+    """
+    cands = [c for e in registry.entries for c in e.candidates]
+    whole = sorted({c.metric for c in cands if not c.matchers})
+    tests = [sel.matcher("__name__", "=", c.metric) & reduce(and_, (sel.matcher(k, "=", v) for k, v in c.matchers))
+             for c in sorted(set(cands), key=repr) if c.matchers and c.metric not in whole]
+    return reduce(or_, tests, F.col("metric").isin(whole)) if tests else None
+
+
 def evaluate_candidates(samples: DataFrame, reg_df: DataFrame, grid: Grid, *,
                         metrics: list[str], max_reach_s: int,
                         bucket_s: int = DEFAULT_BUCKET_S,
-                        range_s: int | None = None) -> DataFrame:
-    """Points ``(cand_id, series_key, k, step_ts, value)`` of all candidates."""
+                        range_s: int | None = None, selection: Column | None = None) -> DataFrame:
+    """Points ``(cand_id, series_key, k, step_ts, value)`` of all candidates.
+
+    ``selection`` (``selected_by``) drops samples that no candidate selects
+    right after the scan, before any shuffle.
+    """
     lo = F.timestamp_micros(F.lit(grid.start_us - max_reach_s * MICROS))
     hi = F.timestamp_micros(F.lit(grid.end_us))
     pruned = samples.where(F.col("metric").isin(metrics) & (F.col("ts") > lo) & (F.col("ts") <= hi))
     prune = time_part_filter(samples, grid.start_us - max_reach_s * MICROS, grid.end_us)
     if prune is not None:
         pruned = pruned.where(prune)
+    if selection is not None:
+        pruned = pruned.where(selection)
     cands = reg_df.select(
         "cand_id", "metric", "matchers", "kind", "quantile",
         (F.when(F.col("kind") == "gauge", F.col("lookback_s")).otherwise(F.col("range_s")) * F.lit(MICROS))
@@ -138,7 +160,7 @@ def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window
         points = spark.createDataFrame([], "cand_id INT, series_key STRING, k INT, step_ts TIMESTAMP, value DOUBLE")
     else:
         points = evaluate_candidates(samples, reg_df, grid, metrics=reg.metrics(), max_reach_s=max_reach,
-                                     bucket_s=bucket_s, range_s=reg.range_s)
+                                     bucket_s=bucket_s, range_s=reg.range_s, selection=selected_by(reg))
     pts = points.withColumn("ts_s", F.unix_micros("step_ts").cast("double") / F.lit(1e6))
     summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark))
     cand = (reg_df.join(summ, on="cand_id", how="left")
@@ -150,6 +172,9 @@ def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window
     res = (cand.join(winners, on=["ordinal", "priority"], how="inner")
                .withColumn("fallback_used", F.col("priority") > 0)
                .withColumn("error", F.lit(None).cast("string"))
+               .withColumn("subsystem", F.lit(component))
+               .withColumn("query_window_start", F.lit(fmt_rfc3339(window.start)))
+               .withColumn("query_window_end", F.lit(fmt_rfc3339(window.end)))
                .withColumn("window_start", F.lit(fmt_rfc3339(s)))
                .withColumn("window_end", F.lit(fmt_rfc3339(e))))
     return DiagnoseResult(res, cand, points)

@@ -1,12 +1,14 @@
 """Result sinks: JSON documents and the Markdown findings report.
 
-* ``results_json``: one JSON document per component bundle
-  (``{subsystem, results[], window}``); each result carries ``name``,
-  ``query``, a ``summary`` object and ``error`` when set. ``to_json`` drops
-  NULL fields, which gives the "omit when empty" behaviour. NaN/±Inf cannot
-  be encoded as JSON numbers, so they are written as NULL (dropped) instead
-  of failing the document. A bundle holds at most the registry's entries
-  for one component — a fixed bound — so ``collect_list`` per bundle is safe.
+* ``results_json``: one JSON document per run, ``all`` included
+  (``{subsystem, results[], window}``). An entry carries ``name``, ``query``
+  and either ``result`` (``{status, query, window}``) with ``summary``, or
+  ``error``. The result's window is the configured one, the document's is the
+  clamped request. ``to_json`` drops NULL fields, which gives the "omit when
+  empty" behaviour. NaN/±Inf cannot be encoded as JSON numbers, so they are
+  dropped instead of failing the document. A run holds at most the registry's
+  entries — a fixed bound — so one ``collect_list`` is safe; the points, which
+  have none, are the table ``DiagnoseResult.points``.
 * ``report_lines``: the Markdown report as ordered lines (header,
   parameters, findings table, or a fixed sentence when there are none).
 """
@@ -23,34 +25,40 @@ TABLE_HEADER = "| Component | Metric | Value | Severity | Description |"
 TABLE_RULE = "|-----------|--------|-------|----------|-------------|"
 
 
-def _finite(c: Column) -> Column:
+def _finite(c: Column, decimals: int | None = None) -> Column:
+    if decimals is not None:
+        return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c.try_cast(f"decimal(38,{decimals})"))
     return F.when(~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))), c)
 
 
-def summary_struct() -> Column:
+def summary_struct(decimals: int | None = None) -> Column:
+    """``decimals`` writes the numbers with that many places instead of in full."""
     return F.struct(
         F.col("series_count").alias("series_count"),
-        _finite(F.col("max_value")).alias("max_value"),
+        _finite(F.col("max_value"), decimals).alias("max_value"),
         F.col("max_timestamp").alias("max_timestamp"),
-        _finite(F.col("avg_value")).alias("avg_value"),
-        _finite(F.col("non_zero_percentage")).alias("non_zero_percentage"),
+        _finite(F.col("avg_value"), decimals).alias("avg_value"),
+        _finite(F.col("non_zero_percentage"), decimals).alias("non_zero_percentage"),
         F.col("trend").alias("trend"))
 
 
-def results_json(results: DataFrame) -> DataFrame:
-    """One row per component: ``component``, ``json``."""
-    entry = F.struct(F.col("ordinal"), F.col("name"), F.col("query"), F.col("status"),
-                     F.when(F.col("error").isNull(), summary_struct()).alias("summary"), F.col("error"))
-    g = results.groupBy("component", "window_start", "window_end").agg(
-        F.array_sort(F.collect_list(entry)).alias("_results"))
-    doc = F.struct(F.col("component").alias("subsystem"),
-                   F.transform("_results", lambda r: r.dropFields("ordinal")).alias("results"),
+def results_json(results: DataFrame, decimals: int | None = None) -> DataFrame:
+    """One row per run: ``subsystem``, ``json``."""
+    ok = F.col("error").isNull()
+    result = F.struct("status", "query", F.struct(F.col("query_window_start").alias("start"),
+                                                  F.col("query_window_end").alias("end")).alias("window"))
+    entry = F.struct(F.col("name"), F.col("query"), F.when(ok, result).alias("result"),
+                     F.when(ok, summary_struct(decimals)).alias("summary"), F.col("error"))
+    g = results.groupBy("subsystem", "window_start", "window_end").agg(
+        F.array_sort(F.collect_list(F.struct("ordinal", entry.alias("entry")))).alias("_results"))
+    doc = F.struct(F.col("subsystem"), F.transform("_results", lambda r: r["entry"]).alias("results"),
                    F.struct(F.col("window_start").alias("start"), F.col("window_end").alias("end")).alias("window"))
-    return g.select("component", F.to_json(doc).alias("json"))
+    return g.select("subsystem", F.to_json(doc).alias("json"))
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).json(path)
+def write_json(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write the documents of ``results_json`` as lines of text."""
+    docs.select("json").write.mode(mode).text(path)
 
 
 def report_lines(spark: SparkSession, findings: DataFrame, test_params: str) -> DataFrame:
@@ -63,8 +71,9 @@ def report_lines(spark: SparkSession, findings: DataFrame, test_params: str) ->
         (F.lit(10) + F.col("finding_order")).cast("long").alias("line_no"),
         F.format_string("| %s | %s | %s | %s | %s |", "component", "metric", "value", "severity",
                         "description").alias("line"))
-    has = findings.limit(1).count() > 0
-    head = [REPORT_TITLE, f"**Test parameters:** {test_params}", "", "## Findings", ""]
-    head += [TABLE_HEADER, TABLE_RULE] if has else [NO_FINDINGS]
-    header = spark.createDataFrame([(i, s) for i, s in enumerate(head)], "line_no long, line string")
-    return header.unionByName(rows) if has else header
+    text = lambda *lines: F.array(*[F.lit(s) for s in lines])
+    head = text(REPORT_TITLE, f"**Test parameters:** {test_params}", "", "## Findings", "")
+    found = findings.limit(1).agg(F.count(F.lit(1)).alias("n"))
+    tail = F.when(F.col("n") > 0, text(TABLE_HEADER, TABLE_RULE)).otherwise(text(NO_FINDINGS))
+    header = found.select(F.posexplode(F.concat(head, tail)).alias("line_no", "line"))
+    return header.select(F.col("line_no").cast("long").alias("line_no"), "line").unionByName(rows)

@@ -5,7 +5,7 @@ import __spark_entry__ as se
 from chronolens.plans.catalog import QUERIES
 
 BOUNDED_SINGLE = {"list_metrics", "list_metrics_limit",
-                  "query_run", "query_range_run"}   # the status: one row a partition
+                  "query_run", "query_range_run", "findings_report"}   # whether a row exists: one row a partition
 
 
 def _plan(df) -> str:
@@ -30,6 +30,24 @@ def test_discovery_opens_the_window_only(spark):
         spark, "/root/testdata/sf0.001")))[0]
 
 
+def test_diagnose_selects_before_the_first_shuffle(spark):
+    from chronolens.plans import catalog as cat
+    from chronolens.plans.diagnose import evaluate_candidates, selected_by
+    reg = cat._registry().bundle("ruler")
+    samples = cat.tv.metric_table(spark, "/root/testdata/sf0.001", *cat.tv.EVENT_METRICS)
+    df = evaluate_candidates(samples, reg.to_df(spark), cat.EV_GRID, metrics=reg.metrics(), range_s=reg.range_s,
+                             max_reach_s=reg.range_s, selection=selected_by(reg))
+    assert "CartesianProduct" not in _plan(df) and "NestedLoop" not in _plan(df)
+    one = cat.test_registry().bundle("ruler")
+    one.entries = [e for e in one.entries if e.candidates[0].matchers][:1]
+    one.entries[0] = type(one.entries[0])(**{**one.entries[0].__dict__, "candidates": one.entries[0].candidates[:1]})
+    plan = _plan(evaluate_candidates(samples, one.to_df(spark), cat.EV_GRID, metrics=one.metrics(),
+                                     range_s=one.range_s, max_reach_s=one.range_s, selection=selected_by(one)))
+    label = one.entries[0].candidates[0].matchers[0][0]
+    scans = plan.count("FileScan parquet")
+    assert scans and plan.count(f"[{label}]") >= scans
+
+
 def test_samples_scan_prunes_and_pushes(spark):
     import re
     plan = _plan(se.queries()["rate"](spark, "/root/testdata/sf0.001"))

@@ -109,3 +109,18 @@ def test_payload_fallback_with_errors(spark):
     assert res["a"]["status"] == "error" and res["a"]["priority"] == 0 and res["a"]["error"].startswith("query failed: boom")
     assert res["a"]["series_count"] is None
     assert res["b"]["priority"] == 2 and res["b"]["status"] == "ok" and res["b"]["max_value"] == 3.0
+
+
+def test_result_document(spark, tmp_path):
+    import json
+
+    from chronolens.plans.catalog import diagnose_run
+    from chronolens.sources import sinks
+    docs = sinks.results_json(diagnose_run(spark, "/root/testdata/sf0.001").results)
+    sinks.write_json(docs, str(tmp_path / "out"))
+    (text,) = [r["value"] for r in spark.read.text(str(tmp_path / "out")).collect()]
+    doc = json.loads(text)
+    assert list(doc) == ["subsystem", "results", "window"] and doc["subsystem"] == "all" and len(doc["results"]) == 24
+    for e in doc["results"]:
+        assert list(e) == ["name", "query", "result", "summary"] and e["result"]["query"] == e["query"]
+        assert e["result"]["status"] in ("ok", "empty") and list(e["result"]["window"]) == ["start", "end"]
