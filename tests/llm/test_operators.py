@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from chronolens.llm import ann, chat, decontam, langid, lm, sharding, simhash, spm, suffix, token_output
+from chronolens.llm.common import word_hashes, word_spans
 
 rng = random.Random(5)
 WORDS = ["the", "and", "house", "river", "der", "und", "haus", "über", "ciel", "été", "maison", "x", "12", "it's", "日本"]
@@ -221,6 +222,33 @@ def test_language_model(docs, empty):
     assert lm.score_documents(empty).count() == 0
 
 
+def test_language_model_context_picks_the_word_in_its_class(spark):
+    candidates = [f"w{i}" for i in range(200)]
+    raw = np.frombuffer(" ".join(candidates).encode(), np.uint8)
+    starts, ends, _ = word_spans(raw, np.array([0, len(raw)]))
+    keys = word_hashes(raw, starts, ends)
+    kind = lm.classes_of(np.full(200, 100), keys, np.zeros(200, np.int64), 600).tolist()
+    one, two = [w for w, k in zip(candidates, kind) if k == kind[0]][:2]
+    train = [i for i in range(400) if not lm.is_held_out(i)][:200]
+    said = [(i, f"left {one}" if k % 2 else f"right {two}") for k, i in enumerate(train)]
+    held = [i for i in range(400) if lm.is_held_out(i)][:2]
+    rows = spark.createDataFrame([*said, (held[0], f"left {one}"), (held[1], f"left {two}")], "doc_id long, text string").coalesce(1)
+    got = {r.doc_id: r for r in lm.score_documents(rows, rounds=2).collect()}
+    assert abs(got[held[0]].base_score - got[held[1]].base_score) < 1e-9
+    assert got[held[0]].score > got[held[1]].score + 0.2
+
+
+def test_language_model_grows_with_its_input():
+    for n in (10 ** 4, 10 ** 6, 10 ** 10):
+        assert n < 1 << lm.row_bits(n) < 10 * n
+    keys = np.unique(np.random.default_rng(3).integers(0, 1 << 63, 5000).astype(np.uint64))
+    kind = np.arange(len(keys)) % 7 + 1
+    deep = lm.depths_of(keys, kind)
+    leaves = [(c, int(k) >> 64 - 5 * int(d), int(d)) for k, c, d in zip(keys, kind.tolist(), deep)]
+    assert len(set(leaves)) == len(keys)
+    assert not any((c, p >> 5 * s, d - s) in set(leaves) for c, p, d in leaves[:300] for s in range(1, d + 1))
+
+
 def test_chat(spark):
     hard = r"\### Assistant: </turn> ok \\ </turn>"
     turns = [("user", hard), ("a:ss", ""), ("assistant", "é\n" + hard)]
