@@ -138,25 +138,30 @@ def links(fps: DataFrame, distance: int = DISTANCE) -> DataFrame:
     return homes.join(visits.select("anchor", F.col("fp").alias("v")).hint("merge"), "anchor").where(near).select("u", "v")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, text_key, fingerprint, component_id): the smallest doc_id reachable over links."""
+def grouped(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, text_key, fp, root, component_id): the component's smallest fingerprint, and the smallest doc_id reachable over links."""
     rows, _ = written(fingerprints(docs, shingle), "fingerprints")
     distinct, _ = written(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     stars = components(links(distinct, distance))
     # the component's node is its smallest fingerprint; its id is the smallest doc_id of all its fingerprints
     nodes = distinct.join(stars.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     least = nodes.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = nodes.join(least, "root").select("fp", "component_id")
-    return rows.join(named, "fp").select("doc_id", "text_key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    named = nodes.join(least, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
+    """(doc_id, text_key, fingerprint, component_id): the smallest doc_id reachable over links."""
+    return grouped(docs, shingle, distance).select("doc_id", "text_key", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """One row of ``docs`` for each component: the one with the smallest doc_id, of its repeats the one
     with the smallest text hash. Columns pass through."""
-    found = near_duplicates(docs, shingle, distance)
-    mine = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min("text_key").alias("__key"))
-    kept, _ = written(mine.withColumnRenamed("component_id", "__id"), "kept")
-    # a repeated doc_id may stand in several components; the text's hash tells its rows apart
-    rows = docs.withColumn("__row_key", F.xxhash64("text")).join(kept.distinct(), F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row_key") == F.col("__key")), "left_semi")
+    found = grouped(docs, shingle, distance)
+    # component_id does not tell components apart: it may be null, and a repeated doc_id may be in several; the root does
+    mine = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root", "component_id").agg(F.min("text_key").alias("__key"))
+    kept, _ = written(mine.select(F.col("component_id").alias("__id"), "__key"), "kept")
+    rows = docs.withColumn("__row_key", F.xxhash64("text")).join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row_key") == F.col("__key")), "left_semi")
     first = F.row_number().over(Window.partitionBy("doc_id", "__row_key").orderBy("doc_id"))
     return rows.withColumn("__first", first).where("__first = 1").select(docs.columns)
