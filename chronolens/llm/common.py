@@ -200,8 +200,6 @@ class Known:
 
     def add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
         """``keys`` ascend and are new."""
-        if len(self.keys) + len(keys) > self.most and len(self.keys):
-            self.clear()
         size = np.array([len(x) for x in ids], np.int32)
         more = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
         if self.used + len(more) > len(self.ids):
@@ -216,10 +214,13 @@ class Known:
         """The ids of each of ``rows`` rows, given the parts they are made of; ``encode`` gives those of new parts."""
         keys, first, of = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
         place = self.find(keys)
-        for _ in range(2):  # again if the table was emptied for the new ones
-            if len(new := np.flatnonzero(place < 0)):
-                self.add(keys[new], encode([raw[starts[i]:ends[i]].tobytes() for i in first[new].tolist()]))
-                place = self.find(keys)
+        if len(new := np.flatnonzero(place < 0)):
+            if len(self.keys) and len(self.keys) + len(new) > self.most:
+                self.clear()
+                new = np.arange(len(keys))  # all of this call's at once, be they more than ``most``
+            self.add(keys[new], encode([raw[starts[i]:ends[i]].tobytes() for i in first[new].tolist()]))
+            place = self.find(keys)
+        assert (place >= 0).all()
         at, size = self.at[place].astype(np.int64), self.size[place].astype(np.int64)
         each = size[of]
         stop = np.cumsum(each)
