@@ -80,6 +80,14 @@ def fingerprint(paths) -> int:
     return xxhash.xxh64_intdigest("\n".join(sorted(paths)).encode())
 
 
+def fitting(record, m: Mapping | None) -> Mapping | None:
+    """The mapping, or none if it reads a list in which an element is not an object: the layout is unknown."""
+    if m is None or not m.each:
+        return m
+    rows = _at(record, m.each[0]) or []
+    return m if isinstance(rows, list) and all(isinstance(x, dict) for x in rows) else None
+
+
 class Layouts:
     """Mappings by fingerprint."""
 
@@ -98,9 +106,9 @@ class Layouts:
             fit = [m for m in self.mappings if m.paths() <= have or m.each and f"{m.each[0]}[]" in have]
             found = max(fit, key=lambda m: (len(m.paths() & have), len(m.paths())), default=None)
             if len(self.by_print) > 10_000:
-                return found
+                return fitting(record, found)
             self.by_print[key] = found
-        return self.by_print[key]
+        return fitting(record, self.by_print[key])
 
 
 def _at(record, path: str):
@@ -117,7 +125,7 @@ def turns_of(record, m: Mapping) -> list[tuple[str, str]]:
     """The canonical turns of a record under its mapping."""
     if m.each:
         head, role, text = m.each
-        rows = [x if isinstance(x, dict) else {} for x in _at(record, head) or []]
+        rows = _at(record, head) or []
         names = ROLES if m.renames else {}
         return [(names.get(r := _text(x.get(role)), r), _text(x.get(text))) for x in rows]
     extra = [(role, _text(_at(record, p))) for p, role in m.optional if _at(record, p)]
