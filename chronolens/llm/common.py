@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dir: str | None = None
@@ -168,62 +169,103 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(32))
 
 
+def distinct(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+    """The distinct words among some spans, which ascend and do not overlap, and which of them each span is.
+
+    Words are told apart by their bytes, in Arrow's dictionary encoding."""
+    n = len(starts)
+    if not n:
+        return [], np.zeros(0, np.int64)
+    cuts = np.empty(2 * n, np.int64)
+    cuts[::2], cuts[1::2] = starts, ends
+    # words and what lies between them, in turn
+    all_ = pa.Array.from_buffers(pa.large_binary(), 2 * n - 1, [None, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(raw))])
+    coded = all_.take(pa.array(np.arange(0, 2 * n, 2))).dictionary_encode()
+    return coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+
+
+_SHORT = 7  # bytes of a word that a 64-bit key holds whole, with the word's length
+
+
+def short_keys(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Keys of words of at most 7 bytes: their bytes, and their length in the highest byte."""
+    padded = np.append(raw, np.zeros(8, np.uint8))
+    eight = np.ndarray((len(raw) + 1,), np.dtype("<u8"), padded, strides=(1,))[starts]
+    size = (ends - starts).astype(np.uint64)
+    return eight & ((np.uint64(1) << (np.uint64(8) * size)) - np.uint64(1)) | size << np.uint64(56)
+
+
 def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash for each word, by its bytes and length."""
-    if not len(starts):
-        return np.zeros(0, np.uint64)
-    lengths = ends - starts
-    stop = np.cumsum(lengths)
-    place = np.arange(stop[-1]) - np.repeat(stop - lengths, lengths)  # in the word, so that equal words hash alike anywhere
-    letters = raw[place + np.repeat(starts, lengths)].astype(np.uint64) + np.uint64(1)
-    total = np.zeros(len(place) + 1, np.uint64)
-    np.add.accumulate(letters * powers(int(lengths.max()))[place], out=total[1:])
-    return mixed(total[stop] - total[stop - lengths] + lengths.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    """A 64-bit hash for each word: no two alike among words of at most 7 bytes, XXH3 of the bytes of longer ones."""
+    out = np.zeros(len(starts), np.uint64)
+    short = ends - starts <= _SHORT
+    out[short] = mixed(short_keys(raw, starts[short], ends[short]))
+    words, of = distinct(raw, starts[~short], ends[~short])
+    out[~short] = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))[of]
+    return out
 
 
 class Known:
-    """Ids of parts by the parts' 64-bit hashes: sorted arrays, which hold a few million in little memory."""
+    """Ids of parts, by the parts' bytes: short parts by their keys in sorted arrays, longer ones in a dict."""
 
     def __init__(self, most: int) -> None:
         self.most = most
         self.clear()
 
     def clear(self) -> None:
-        self.keys, self.at, self.size, self.ids, self.used = np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros(1 << 16, np.uint32), 0
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of some keys, -1 for those that are not here."""
-        if not len(self.keys):
-            return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
-
-    def add(self, keys: np.ndarray, ids: list[np.ndarray]) -> None:
-        """``keys`` ascend and are new."""
-        size = np.array([len(x) for x in ids], np.int32)
+        self.keys, self.places, self.longer = np.zeros(0, np.uint64), np.zeros(0, np.int32), {}
+        self.at, self.size, self.ids, self.used = np.zeros(1 << 10, np.int64), np.zeros(1 << 10, np.int32), np.zeros(1 << 16, np.uint32), 0
+
+    def __len__(self) -> int:
+        return len(self.keys) + len(self.longer)
+
+    def find(self, keys: np.ndarray, words: list[bytes]) -> np.ndarray:
+        """Places of some short and some longer parts, -1 for those that are not here."""
+        out = np.full(len(keys) + len(words), -1, np.int64)
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+            out[:len(keys)] = np.where(self.keys[at] == keys, self.places[at], -1)
+        out[len(keys):] = [self.longer.get(w, -1) for w in words]
+        return out
+
+    def add(self, keys: np.ndarray, words: list[bytes], ids: list[np.ndarray]) -> None:
+        """Parts that are new; ``keys`` ascend."""
+        n, own = len(self), len(ids)
+        size = np.array([len(x) for x in ids], np.int64)
         more = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
         if self.used + len(more) > len(self.ids):
             self.ids = np.concatenate([self.ids[:self.used], np.zeros(self.used // 2 + len(more), np.uint32)])
+        if n + own > len(self.at):
+            room = n // 2 + own
+            self.at, self.size = np.concatenate([self.at[:n], np.zeros(room, np.int64)]), np.concatenate([self.size[:n], np.zeros(room, np.int32)])
         self.ids[self.used:self.used + len(more)] = more
-        at = (self.used + np.cumsum(size) - size).astype(np.int32)
+        self.at[n:n + own], self.size[n:n + own] = self.used + np.cumsum(size) - size, size
         self.used += len(more)
         by = np.argsort(merged := np.concatenate([self.keys, keys]), kind="stable")
-        self.keys, self.at, self.size = merged[by], np.concatenate([self.at, at])[by], np.concatenate([self.size, size])[by]
+        self.keys, self.places = merged[by], np.concatenate([self.places, np.arange(n, n + len(keys), dtype=np.int32)])[by]
+        self.longer.update(zip(words, range(n + len(keys), n + own)))
 
     def ids_of(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, row: np.ndarray, rows: int, encode) -> list[np.ndarray]:
         """The ids of each of ``rows`` rows, given the parts they are made of; ``encode`` gives those of new parts."""
-        keys, first, of = np.unique(word_hashes(raw, starts, ends), return_index=True, return_inverse=True)
-        place = self.find(keys)
-        if len(new := np.flatnonzero(place < 0)):
-            if len(self.keys) and len(self.keys) + len(new) > self.most:
+        short = ends - starts <= _SHORT
+        begin = starts[short]
+        keys, first, of_short = np.unique(short_keys(raw, begin, ends[short]), return_index=True, return_inverse=True)
+        words, of_longer = distinct(raw, starts[~short], ends[~short])
+        place = self.find(keys, words)
+        new = place < 0
+        if new.any():
+            if len(self) and len(self) + new.sum() > self.most:
                 self.clear()
-                new = np.arange(len(keys))  # all of this call's at once, be they more than ``most``
-            self.add(keys[new], encode([raw[starts[i]:ends[i]].tobytes() for i in first[new].tolist()]))
-            place = self.find(keys)
-        assert (place >= 0).all()
-        at, size = self.at[place].astype(np.int64), self.size[place].astype(np.int64)
-        each = size[of]
+                new[:] = True  # all of this call's at once, be they more than ``most``
+            some = np.flatnonzero(new[:len(keys)])
+            texts = [raw[b:b + k].tobytes() for b, k in zip(begin[first[some]].tolist(), (keys[some] >> np.uint64(56)).tolist())]
+            longer = [w for w, x in zip(words, new[len(keys):].tolist()) if x]
+            self.add(keys[some], longer, encode(texts + longer))
+            place = self.find(keys, words)
+        of = np.empty(len(starts), np.int64)
+        of[short], of[~short] = of_short, of_longer + len(keys)
+        at, each = self.at[place][of], self.size[place].astype(np.int64)[of]
         stop = np.cumsum(each)
-        ids = self.ids[np.arange(stop[-1] if len(stop) else 0) + np.repeat(at[of] - (stop - each), each)]
+        ids = self.ids[np.arange(stop[-1] if len(stop) else 0) + np.repeat(at - (stop - each), each)]
         cuts = np.concatenate([[0], stop])[np.searchsorted(row, np.arange(rows + 1))].tolist()
         return [ids[a:b] for a, b in zip(cuts, cuts[1:])]

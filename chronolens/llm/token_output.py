@@ -35,16 +35,28 @@ STEP = 64  # ids from one checkpoint to the next
 BLOCK = 1 << 18  # ids in a block, more if one document alone has more
 _CACHE = 800_000  # parts of words whose ids a worker keeps
 
+_PROBE = "Don't STOP  it, 2024-01-15: été (x+y)\n\tÜber the-house... ok"  # tells tokenizers with another split
+
 _tokenizer: tuple[str, object] | None = None
+_last = np.zeros(0, bool)  # of each id, whether its piece ends a word
 
 
 def _load(path: str):
-    global _tokenizer
+    global _tokenizer, _last
     if _tokenizer is None or _tokenizer[0] != path:
         from tokenizers import Tokenizer
 
-        _tokenizer = (path, Tokenizer.from_file(path))
+        tok = Tokenizer.from_file(path)
         _known.clear()
+        _tokenizer = (path, tok)
+        vocabulary = tok.get_vocab()
+        _last = np.zeros(max(vocabulary.values()) + 1, bool)
+        _last[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
+        if not _last.any():
+            raise ValueError(f"{path} has no pieces that end a word")
+        if encode_texts(pa.array([_PROBE]), path)[0] != np.array(tok.encode(_PROBE, add_special_tokens=False).ids, np.uint32).tobytes():
+            _tokenizer = None
+            raise ValueError(f"{path} splits texts in another way than at white space, digits and runs of other signs, in lower case")
     return _tokenizer[1]
 
 
@@ -101,11 +113,12 @@ def _encoded(parts: list[bytes], tok) -> list[np.ndarray]:
     for i, e in zip(odd, tok.encode_batch_fast([names[i] for i in odd], add_special_tokens=False)):
         out[i] = np.array(e.ids, np.uint32)
     own = [i for i, x in enumerate(plain) if x]
-    for lo in range(0, len(own), 4096):  # a row of plain words is one text; the ids' word numbers tell them apart
+    for lo in range(0, len(own), 4096):  # a row of plain words is one text; a word's last id tells them apart
         some = own[lo:lo + 4096]
-        e = tok.encode(" ".join([names[i] for i in some]), add_special_tokens=False)
+        e = tok.encode_batch_fast([" ".join([names[i] for i in some])], add_special_tokens=False)[0]
         ids = np.array(e.ids, np.uint32)
-        at = np.searchsorted(np.array(e.word_ids), np.arange(len(some) + 1)).tolist()
+        at = np.concatenate([[0], np.flatnonzero(_last[ids]) + 1]).tolist()
+        assert len(at) == len(some) + 1
         for k, i in enumerate(some):
             out[i] = ids[at[k]:at[k + 1]]
     return out
