@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,6 +42,9 @@ def _saved(**arrays: np.ndarray) -> bytes:
 
 
 def _vectors(column: pa.Array) -> np.ndarray:
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    if len(lengths) and (lengths != lengths[0]).any():
+        raise ValueError(f"vectors of several lengths: {np.unique(lengths).tolist()}")
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1) if len(column) else flat.reshape(0, 0)
 
@@ -69,7 +73,7 @@ def build(ids: np.ndarray, x: np.ndarray, leaf: int = LEAF) -> dict[str, np.ndar
             d = np.linalg.norm(lifted[own] - lifted[v], axis=1)
             mu = float(np.median(d))
             inside = d <= mu
-            if not inside.all():
+            if inside.any() and not inside.all():
                 vantage[at], radius[at] = int(v), mu
                 child[at] = node(own[inside]), node(own[~inside])
                 return at
