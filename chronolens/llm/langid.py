@@ -158,10 +158,12 @@ def train(labelled: DataFrame, most: int = SAMPLE, dims: int = DIMS) -> Model:
 
 
 def annotate(docs: DataFrame, model: Model, out: str = "langid", dims: int = DIMS) -> DataFrame:
-    """``docs`` with a struct ``out`` of lang_pred and score, of every whole text."""
+    """``docs`` with a struct ``out`` of lang_pred, score and has_letter, of every whole text.
+
+    Without a letter, or where no language was learned, lang_pred is ``und``; ``und`` may also be a learned label."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # as large as its weights
     rows = docs.select([c for c in docs.columns if c != out])
-    found = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    found = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("has_letter", T.BooleanType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, most=1 << 21):
@@ -171,7 +173,9 @@ def annotate(docs: DataFrame, model: Model, out: str = "langid", dims: int = DIM
             for i in range(0, len(own), 1024):
                 some = own[i:i + 1024]
                 names[some], score[some] = held.value.predict(features([texts[j] for j in some], dims))
-            said = pa.StructArray.from_arrays([pa.array(names.tolist(), pa.string()), pa.array(score)], ["lang_pred", "score"])
+            lettered = np.zeros(len(texts), bool)
+            lettered[own] = True
+            said = pa.StructArray.from_arrays([pa.array(names.tolist(), pa.string()), pa.array(score), pa.array(lettered)], ["lang_pred", "score", "has_letter"])
             yield pa.RecordBatch.from_arrays([*batch.columns, said], names=[*batch.schema.names, out])
 
     return arrow(rows, run, T.StructType([*rows.schema.fields, T.StructField(out, found)]))
