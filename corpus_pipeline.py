@@ -16,9 +16,9 @@ from chronolens.llm.common import written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which a language can be told; null texts and those without a letter go."""
+    """Documents in which a language can be told; null texts and those without a letter go, no others."""
     model = langid.train(docs)
-    return langid.annotate(docs, model, "__langid").where("__langid.lang_pred <> 'und'").select(docs.columns)
+    return langid.annotate(docs, model, "__langid").where("__langid.has_letter").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
