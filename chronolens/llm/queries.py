@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, langid, lm, sharding, simhash, spm, suffix, token_output
+from . import ann, audit, chat, decontam, langid, lm, sharding, simhash, spm, suffix, token_output, topk, whitening
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -67,6 +67,20 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_chats(records))
 
 
+def op11_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _read(spark, sf_dir, "embeddings")
+    return topk.top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = whitening.whitened(_read(spark, sf_dir, "embeddings"), most=16)
+    return out.withColumn("deviation", F.col("deviation").cast("long"))  # an error where it does not fit
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_token_output": op2_token_output,
@@ -78,6 +92,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_chat": op10_chat,
+    "op11_topk": op11_topk,
+    "op12_whitening": op12_whitening,
+    "op13_filter_audit": op13_filter_audit,
 }
 
-ORACLES: dict[str, str] = {"op8_decontamination": decontam.ORACLE}
+ORACLES: dict[str, str] = {
+    "op8_decontamination": decontam.ORACLE,
+    "op11_topk": topk.ORACLE,
+    "op13_filter_audit": audit.ORACLE,
+}
