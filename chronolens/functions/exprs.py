@@ -135,3 +135,25 @@ def parse_float_text(s) -> Column:
     overflow = (F.abs(v) == F.lit(INF)) & ~s.rlike(_INF_WORD_RE)
     return F.when(ok & ~overflow, v)
 
+
+# The RFC 3339 grammar as the reference's layout reads it: date, ``T``, time of
+# day, an optional fraction, and ``Z`` or a signed offset of hours and minutes; nothing else.
+RFC3339_RE = (r"\A([0-9]{4})-([0-9]{2})-([0-9]{2})T([0-9]{2}):([0-9]{2}):([0-9]{2})(?:[.,]([0-9]+))?"
+              r"(?:Z|([+-])([0-9]{2}):([0-9]{2}))\z")
+
+
+def parse_rfc3339(s) -> Column:
+    """Strict RFC 3339 text → epoch microseconds (digits beyond are cut off); NULL where it is
+    refused: another form, a day that the month does not have, an hour above 23, a minute or
+    second above 59, an offset of more than 23 hours or 59 minutes. No session zone is involved."""
+    s = c(s)
+    g = lambda i: F.nullif(F.regexp_extract(s, RFC3339_RE, i), F.lit(""))
+    n = lambda i: F.coalesce(g(i).cast("int"), F.lit(0))
+    day = F.try_to_date(F.concat_ws("-", g(1), g(2), g(3)), "yyyy-MM-dd")
+    days = F.date_diff(day, F.lit("1970-01-01").cast("date")).cast("long")
+    offset = (n(9) * 60 + n(10)) * F.when(g(8) == "-", F.lit(-1)).otherwise(F.lit(1))
+    ok = (s.rlike(RFC3339_RE) & day.isNotNull() & (n(4) <= 23) & (n(5) <= 59) & (n(6) <= 59)
+          & (n(9) <= 23) & (n(10) <= 59))
+    seconds = days * 86400 + n(4) * 3600 + n(5) * 60 + n(6) - offset * 60
+    micros = F.rpad(F.left(F.coalesce(g(7), F.lit("0")), F.lit(6)), 6, "0").cast("long")
+    return F.when(ok, seconds * MICROS + micros)

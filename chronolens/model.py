@@ -14,6 +14,7 @@ window edges are exact.
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 
@@ -38,19 +39,24 @@ def series_key(labels: Column) -> Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(labels))))
 
 
+_RFC3339 = re.compile(r"([0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2})(?:[.,]([0-9]+))?(Z|[+-][0-9]{2}:[0-9]{2})")
+
+
 def parse_time(t) -> datetime | None:
-    """RFC3339 text / datetime / epoch seconds → aware UTC datetime."""
+    """RFC 3339 text / datetime / epoch seconds → aware UTC datetime; other text is an error.
+
+    ``functions.exprs.parse_rfc3339`` is the same for a column."""
     if t is None or t == "":
         return None
     if isinstance(t, datetime):
         return t if t.tzinfo else t.replace(tzinfo=timezone.utc)
     if isinstance(t, (int, float)):
         return datetime.fromtimestamp(t, tz=timezone.utc)
-    s = str(t).strip()
-    if s.endswith("Z"):
-        s = s[:-1] + "+00:00"
-    d = datetime.fromisoformat(s)
-    return d if d.tzinfo else d.replace(tzinfo=timezone.utc)
+    m = _RFC3339.fullmatch(str(t))
+    if not m or m[1][11:13] == "24" or (m[3] != "Z" and (m[3][1:3] > "23" or m[3][4:] > "59")):
+        raise ValueError(f"not an RFC 3339 time: {t!r}")
+    d = datetime.fromisoformat(m[1] + ("+00:00" if m[3] == "Z" else m[3]))
+    return (d + timedelta(microseconds=int((m[2] or "0")[:6].ljust(6, "0")))).astimezone(timezone.utc)
 
 
 def to_micros(t: datetime) -> int:

@@ -71,13 +71,12 @@ def with_quantile(df: DataFrame, q: Column, buckets: str, out: str = "value") ->
     """Adds the quantile of the histogram in column ``buckets``
     (``array<struct<le double, c double>>``). Each stage is its own column so
     every array expression is evaluated once per row."""
-    d = (df.withColumn("_q", q.cast("double"))
-           .withColumn("_sorted", F.array_sort(F.filter(F.col(buckets),
-                                                         lambda b: b["le"].isNotNull() & ~F.isnan(b["le"]))))
-           .withColumn("_mono", _monotonic(_merge_equal(F.col("_sorted"))))
-           .withColumn("_n", F.size("_mono"))
-           .withColumn("_total", F.get(F.col("_mono"), F.col("_n") - 1)["c"])
-           .withColumn("_rank", F.col("_q") * F.col("_total")))
+    usable = F.array_sort(F.filter(F.col(buckets), lambda b: b["le"].isNotNull() & ~F.isnan(b["le"])))
+    # lateral aliases: one projection to analyse
+    d = df.select("*", q.cast("double").alias("_q"), usable.alias("_sorted"),
+                  _monotonic(_merge_equal(F.col("_sorted"))).alias("_mono"), F.size("_mono").alias("_n"),
+                  F.get(F.col("_mono"), F.col("_n") - 1)["c"].alias("_total"),
+                  (F.col("_q") * F.col("_total")).alias("_rank"))
     mono, n, rank = F.col("_mono"), F.col("_n"), F.col("_rank")
     # first 1-based index in [1, n-1] whose count reaches the rank; n if none
     reaches = F.filter(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))),

@@ -9,17 +9,21 @@ Semantics follow the public PromQL definitions:
 
 Plan shape, never a range join, integer microseconds everywhere:
 
-* range a whole number of steps (the common case): every window is a union of
-  step intervals ``(t_j − P, t_j]``. Each sample is aggregated once per
-  (series, interval) — inner pairs from a ``lag`` per (series, interval),
-  entering pairs from a ``lag`` over the interval rows — and only the small
-  interval rows expand to the steps of their windows (``interval_table``,
-  ``steps_from_intervals``). Two exchanges in all; no per-series task.
+* the step and the range have a common divisor that is not much finer than the
+  step (the common case): every window is a run of intervals of that width.
+  Each sample is aggregated once per (series, interval) — inner pairs from a
+  ``lag`` per (series, interval), entering pairs from a ``lag`` over the
+  interval rows — and ``sliding.window_merge`` merges at most two rows for
+  each step, however long the range is. Two exchanges in all; no per-series task.
 * any other range: each sample is exploded to exactly the steps whose window
   holds it (``k ∈ [⌈(ts−S)/P⌉, ⌈(ts+r−S)/P⌉−1] ∩ [0, K]``), with neighbours
   from ``operators.neighbors``, then one grouped aggregate per
   ``(series, step)`` that runs partial (map-side) before its exchange.
 
+A sample that repeats another's series and time counts once: in one table the
+largest value stays (NaN is the largest); ``samples.write_samples`` applies the
+same rule, and a later batch replaces an earlier one's.
+
 Inputs are DataFrames with the series identity columns ``keys``, ``ts_us``
 (BIGINT) and ``value``; ``carry`` columns (e.g. ``labels``) are constant per
 series and ride along. Range/lookback may be an int (seconds) or the name of
@@ -37,6 +41,7 @@ from pyspark.sql import functions as F
 from ..functions.exprs import MICROS, ceil_div, ieee_div, lt
 from ..model import Grid
 from .neighbors import DEFAULT_BUCKET_S, with_neighbors
+from .sliding import common_width, window_merge
 
 
 def _us(param) -> Column:
@@ -139,67 +144,48 @@ def extrapolate(agg: DataFrame, grid: Grid, r_us: Column, is_rate) -> DataFrame:
     return _extrapolate(agg, grid, r_us, is_rate)
 
 
-def intervals_apply(grid: Grid, range_us: int) -> bool:
-    """True when every window ``(t − r, t]`` is an exact union of step
-    intervals ``(t_j − P, t_j]`` (``r`` a positive multiple of the step)."""
-    return range_us > 0 and range_us % grid.step_us == 0
-
-
-
-
-def interval_table(df: DataFrame, keys: Sequence[str], grid: Grid) -> DataFrame:
-    """Per (series, step interval ``j``) summary without a neighbour pass.
+def interval_table(df: DataFrame, keys: Sequence[str], grid: Grid, width_us: int | None = None) -> DataFrame:
+    """Per (series, interval ``j``) summary without a neighbour pass; interval ``j`` is
+    ``(S + (j − 1)·width, S + j·width]``, of the step's width by default.
 
     Pairs inside an interval come from ``lag`` over ``(series, j)`` (bounded
-    by the samples of one step interval); pairs entering an interval come
+    by the samples of one interval); pairs entering an interval come
     from ``lag`` over the interval rows of the series (bounded by the number
-    of steps). The grouping reuses the window's partitioning (no exchange).
-    Columns: ``keys``, ``j``, ``n``, first/last sample, ``tot_resets``,
+    of intervals). The grouping reuses the window's partitioning (no exchange).
+    Columns: ``keys``, ``j``, ``n``, first/last sample, ``sum_v``, ``inner_reset``,
     ``cross_reset`` and ``last_next_ts_us`` (first sample after the interval).
     """
     keys = list(keys)
-    S, P = F.lit(grid.start_us), F.lit(grid.step_us)
-    w = Window.partitionBy(*keys, "j").orderBy("ts_us")
+    S, P = F.lit(grid.start_us), F.lit(width_us or grid.step_us)
+    by = Window.partitionBy(*keys, "j")
+    w, w_all = by.orderBy("ts_us"), by.orderBy("ts_us", "value")
+    # a repeated sample counts once: the last of equal times, which holds the largest value
     d = (df.select(*keys, "ts_us", "value").withColumn("j", ceil_div(F.col("ts_us") - S, P))
+           .withColumn("_nt", F.lead("ts_us").over(w_all))
+           .where(F.col("_nt").isNull() | (F.col("_nt") != F.col("ts_us")))
            .withColumn("_pv", F.lag("value").over(w)))
     inner = F.when(F.col("_pv").isNotNull() & lt(F.col("value"), F.col("_pv")), F.col("_pv")).otherwise(F.lit(0.0))
     iv = d.groupBy(*keys, "j").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ts_us").alias("first_ts_us"), F.max("ts_us").alias("last_ts_us"),
         F.min_by("value", "ts_us").alias("first_v"), F.max_by("value", "ts_us").alias("last_v"),
-        F.sum("value").alias("sum_v"), F.sum(inner).alias("_inner"))
+        F.sum("value").alias("sum_v"), F.sum(inner).alias("inner_reset"))
     wi = Window.partitionBy(*keys).orderBy("j")
-    prev_last = F.lag("last_v").over(wi)
-    iv = (iv.withColumn("_plv", prev_last)
+    iv = (iv.withColumn("_plv", F.lag("last_v").over(wi))
             .withColumn("last_next_ts_us", F.lead("first_ts_us").over(wi)))
     cross = F.when(F.col("_plv").isNotNull() & lt(F.col("first_v"), F.col("_plv")), F.col("_plv")) \
              .otherwise(F.lit(0.0))
-    return (iv.withColumn("cross_reset", cross)
-              .withColumn("tot_resets", F.col("_inner") + F.col("cross_reset"))
-              .drop("_plv", "_inner"))
+    return iv.withColumn("cross_reset", cross).drop("_plv")
 
 
-def interval_window_steps(grid: Grid, r_us: Column) -> tuple[Column, Column]:
-    """Steps whose window contains interval ``j``: ``k ∈ [j, j + r/P − 1] ∩ [0, K]``."""
-    m = F.try_divide(r_us, F.lit(grid.step_us)).cast("long")
-    lo = F.greatest(F.lit(0).cast("long"), F.col("j"))
-    hi = F.least(F.lit(grid.k_max).cast("long"), F.col("j") + m - 1)
-    return lo, hi
+def intervals_apply(grid: Grid, range_us: int) -> bool:
+    """True when every window ``(t − r, t]`` is a run of intervals that the step is cut into."""
+    return common_width(grid, [range_us]) is not None
 
 
-def steps_from_intervals(iv: DataFrame, keys: Sequence[str], lo: Column, hi: Column,
-                         consts: Sequence[str] = ()) -> DataFrame:
-    """Level 2: merge the intervals of every window into per (series, step)
-    count, first/last sample and resets. A pair entering the first interval
-    of a window has its earlier sample outside the window, so that one
-    crossing reset is subtracted."""
-    x = _explode_steps(iv, lo, hi)
-    return x.groupBy(*keys, "k").agg(
-        *[F.first(cc).alias(cc) for cc in consts],
-        F.sum("n").alias("n"),
-        F.min("first_ts_us").alias("first_ts_us"), F.max("last_ts_us").alias("last_ts_us"),
-        F.min_by("first_v", "first_ts_us").alias("first_v"), F.max_by("last_v", "last_ts_us").alias("last_v"),
-        (F.sum("tot_resets") - F.min_by("cross_reset", "j")).alias("resets"))
+def _width(grid: Grid, range_s) -> int | None:
+    """Width of the intervals for one range in seconds; None where they don't apply."""
+    return common_width(grid, [int(round(range_s * MICROS))]) if isinstance(range_s, (int, float)) else None
 
 
 def _steps_for_window(grid: Grid, ts_us: Column, r_us: Column) -> tuple[Column, Column]:
@@ -226,15 +212,12 @@ def range_vector(df: DataFrame, keys: Sequence[str], grid: Grid, range_s,
     """
     keys = _key_list(keys, range_s)
     r = _us(range_s)
-    if isinstance(range_s, (int, float)) and intervals_apply(grid, int(round(range_s * MICROS))):
-        # per-interval summaries, then only interval rows expand to steps
-        iv = interval_table(df, keys, grid)
-        lo, hi = interval_window_steps(grid, r)
-        return (_explode_steps(iv, lo, hi).groupBy(*keys, "k").agg(
-                    F.sum("n").alias("n"), F.min("first_ts_us").alias("first_ts_us"),
-                    F.max("last_ts_us").alias("last_ts_us"), F.sum("sum_v").alias("sum_value"))
-                .withColumn("step_ts", F.timestamp_micros(grid.step_ts_us(F.col("k"))))
-                .select("*", *[_rebuild(cc) for cc in carry]))
+    if width := _width(grid, range_s):
+        iv = interval_table(df, keys, grid, width)
+        agg = window_merge(iv, keys, grid, width, F.lit(int(round(range_s * MICROS)) // width), sums=True)
+        return (agg.select(*keys, "k", "n", "first_ts_us", "last_ts_us", "sum_value")
+                   .withColumn("step_ts", F.timestamp_micros(grid.step_ts_us(F.col("k"))))
+                   .select("*", *[_rebuild(cc) for cc in carry]))
     lo, hi = _steps_for_window(grid, F.col("ts_us"), r)
     x = _explode_steps(df, lo, hi)
     return (x.groupBy(*keys, "k").agg(
@@ -258,13 +241,9 @@ def extrapolated(df: DataFrame, keys: Sequence[str], grid: Grid, range_s, *,
         keys.append(is_rate)
     r = _us(range_s)
     t_us = grid.step_ts_us(F.col("k"))
-    if (not neighbors_done and isinstance(range_s, (int, float))
-            and intervals_apply(grid, int(round(range_s * MICROS)))):
-        # each sample is aggregated once per step interval; only the
-        # (small) interval rows are expanded to the steps of their windows
-        iv = interval_table(df, keys, grid)
-        lo, hi = interval_window_steps(grid, r)
-        agg = steps_from_intervals(iv, keys, lo, hi)
+    if not neighbors_done and (width := _width(grid, range_s)):
+        iv = interval_table(df, keys, grid, width)
+        agg = window_merge(iv, keys, grid, width, F.lit(int(round(range_s * MICROS)) // width))
     else:
         src = df if neighbors_done else with_neighbors(df, keys, prev=True, bucket_s=bucket_s)
         lo, hi = _steps_for_window(grid, F.col("ts_us"), r)
@@ -282,21 +261,20 @@ def _extrapolate(agg: DataFrame, grid: Grid, r_us: Column, is_rate) -> DataFrame
     avg = ieee_div(F.col("_si"), (F.col("n") - 1).cast("double"))
     d0 = (F.col("first_ts_us") - (t_us - r_us)).cast("double") / F.lit(1e6)
     d1 = (t_us - F.col("last_ts_us")).cast("double") / F.lit(1e6)
-    a = (agg.withColumn("_raw", raw).withColumn("_si", si).withColumn("_avg", avg)
-            .withColumn("_th", F.col("_avg") * F.lit(1.1)))
     d0a = F.when(F.col("_d0") >= F.col("_th"), F.col("_avg") / F.lit(2.0)).otherwise(F.col("_d0"))
     to_zero = F.col("_si") * ieee_div(F.col("first_v"), F.col("_raw"))
     # zero clamp: a counter cannot go below 0, so do not extrapolate past it
     zero_ok = (F.col("_raw") > 0) & (F.col("first_v") >= 0) & ~F.isnan(F.col("_raw"))
     d0b = F.when(zero_ok & (to_zero < F.col("_d0a")), to_zero).otherwise(F.col("_d0a"))
     d1a = F.when(F.col("_d1") >= F.col("_th"), F.col("_avg") / F.lit(2.0)).otherwise(F.col("_d1"))
-    a = (a.withColumn("_d0", d0).withColumn("_d1", d1).withColumn("_d0a", d0a)
-          .withColumn("_d0b", d0b).withColumn("_d1a", d1a))
     factor = ieee_div((F.col("_si") + F.col("_d0b")) + F.col("_d1a"), F.col("_si"))
     rate_flag = F.lit(bool(is_rate)) if isinstance(is_rate, bool) else F.col(is_rate)
     r_s = r_us.cast("double") / F.lit(1e6)
-    value = F.when(rate_flag, F.col("_raw") * ieee_div(factor, r_s)).otherwise(F.col("_raw") * factor)
-    return a.withColumn("value", value)
+    value = F.when(rate_flag, F.col("_raw") * ieee_div(F.col("_factor"), r_s)).otherwise(F.col("_raw") * F.col("_factor"))
+    # each column refers to those before it (lateral aliases): one projection to analyse, not one a column
+    return agg.select("*", raw.alias("_raw"), si.alias("_si"), avg.alias("_avg"), (F.col("_avg") * F.lit(1.1)).alias("_th"),
+                      d0.alias("_d0"), d1.alias("_d1"), d0a.alias("_d0a"), d0b.alias("_d0b"), d1a.alias("_d1a"),
+                      factor.alias("_factor"), value.alias("value"))
 
 
 def increase(df, keys, grid, range_s, **kw) -> DataFrame:
@@ -350,4 +328,4 @@ def instant(df: DataFrame, keys: Sequence[str], t_us: int, lookback_s,
 
 
 __all__ = ["in_reach", "step_grid", "request_steps", "range_vector", "extrapolated",
-           "increase", "rate", "gauge_on_grid", "instant", "interval_table", "steps_from_intervals"]
+           "increase", "rate", "gauge_on_grid", "instant", "interval_table"]

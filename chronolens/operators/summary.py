@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import gt, ieee_div, lt, rfc3339_from_seconds
 from ..functions.prefix import ordered_cross_sum
-from ..session import materialize as write_and_read
+from ..session import kept
 
 SUMMARY_COLS = ["series_count", "n_points", "max_value", "max_timestamp", "avg_value",
                 "non_zero_percentage", "trend", "slope", "cv"]
@@ -68,15 +68,14 @@ def summarize(points: DataFrame, group_cols: Sequence[str], order_col: str = "ts
               chunks: int = 8, materialize=True, **order) -> DataFrame:
     """Level 1 + level 2: one summary row per group (groups with ≥ 1 series).
 
-    The series table (one row per result series) is written to the
-    session's checkpoint folder and read back: level 2 reads it several times
-    (and range partitioning samples it), which would otherwise re-run the
-    whole upstream evaluation.
+    The series table (one row per result series) is kept from its first use on:
+    level 2 reads it several times (and range partitioning samples it), which
+    would otherwise re-run the whole upstream evaluation. No job runs here.
     """
     g = list(group_cols)
     s = series_stats(points, g, order_col, **order)
     if materialize:
-        s = write_and_read(s, "series-stats")
+        s = kept(s)
     return summarize_series(s, g, chunks)
 
 

@@ -13,7 +13,7 @@ from functools import lru_cache, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.exprs import epoch_s, fdiv, ntz_micros, r6, utc_day
+from ..functions.exprs import epoch_s, fdiv, ntz_micros, parse_rfc3339, r6, utc_day, utc_ntz
 from ..model import Grid, clamp_instant_value, clamp_range, series_key, to_micros
 from ..operators import aggregate, discover, hist, outcomes, rangefn
 from ..operators import select as sel
@@ -25,7 +25,7 @@ from ..session import materialize, prepare
 from ..sources import testviews as tv
 from . import diagnose as dg
 from .payload_diagnose import diagnose_payloads, summarize_payloads
-from .registry import test_registry
+from .registry import Candidate, Entry, Registry, default_registry, test_registry
 
 EV_GRID = Grid.of(tv.EVENTS_WINDOW.start, tv.EVENTS_WINDOW.end, tv.EVENTS_STEP_S)
 OR_GRID = Grid.of(tv.ORDERS_WINDOW.start, tv.ORDERS_WINDOW.end, tv.ORDERS_STEP_S)
@@ -70,6 +70,25 @@ def rate_odd_range_q(spark: SparkSession, sf: str) -> DataFrame:
             .select("kind", "metric", "series_key", _step_s(), r6("value").alias("value")))
 
 
+LONG_GRID = Grid.of(tv.EVENTS_WINDOW.start, tv.EVENTS_WINDOW.end, 3600)
+LONG_RANGE_S = 120 * 3600   # 120 steps
+
+
+def increase_long_range_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Increase over ranges of 120 steps."""
+    s = rangefn.in_reach(_counters(spark, sf), LONG_GRID, LONG_RANGE_S)
+    r = rangefn.increase(s, KEYS, LONG_GRID, LONG_RANGE_S)
+    return r.select("metric", "series_key", _step_s(), r6("value").alias("value"))
+
+
+def rate_repeated_samples_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Rate where every sample is there twice, and on odd seconds a third time with half the value."""
+    s = rangefn.in_reach(_counters(spark, sf), EV_GRID, tv.EVENTS_RANGE_S)
+    low = s.where(F.pmod(epoch_s(F.col("ts_us")), F.lit(2)) == 1).withColumn("value", F.col("value") / 2)
+    r = rangefn.rate(s.unionByName(s).unionByName(low), KEYS, EV_GRID, tv.EVENTS_RANGE_S)
+    return r.select("metric", "series_key", _step_s(), r6("value").alias("value"))
+
+
 # Requests of the composed queries: name, expression, start (or time), end.
 RUNS = [
     ("gauge", qr.Expr("event_value", "gauge", (("event_type", "=", "click"),)), None, None),
@@ -155,11 +174,11 @@ def _registry():
     return test_registry()
 
 
-def diagnose_run(spark: SparkSession, sf: str, component: str = "all") -> dg.DiagnoseResult:
+def diagnose_run(spark: SparkSession, sf: str, component: str = "all", **how) -> dg.DiagnoseResult:
     prepare(spark)
     samples = tv.metric_table(spark, sf, *tv.EVENT_METRICS)
     return dg.diagnose(spark, samples, _registry(), tv.EVENTS_WINDOW, step_s=tv.EVENTS_STEP_S,
-                       component=component)
+                       component=component, series=tv.series_table(spark, sf), **how)
 
 
 def _summary_cols():
@@ -180,6 +199,66 @@ def diagnose_component_q(spark: SparkSession, sf: str) -> DataFrame:
                       *_summary_cols())
 
 
+def mixed_registry() -> Registry:
+    """Candidates with ranges, lookbacks and matchers of their own; the step is six hours."""
+    hour = 3600
+    c = Candidate
+    return Registry([
+        Entry("ruler", "short_rate", "Rate over a third of the step", (c("rate", "events_total", (), 2 * hour),)),
+        Entry("ruler", "long_increase", "Increase over five days",
+              (c("increase", "events_total", (("event_type", "!=", "click"),), 120 * hour),)),
+        Entry("ruler", "odd_increase", "Increase over three and a half steps",
+              (c("increase", "event_value_sum_total", (("shard", "=~", "0|3"), ("event_type", "!~", "v.*")), 21 * hour),)),
+        Entry("ingester", "default_rate", "Rate over the registry's range", (c("rate", "event_value_sum_total"),)),
+        Entry("ingester", "recent_gauge", "Gauge of the last two hours", (c("gauge", "event_value", (), None, 2 * hour),)),
+        Entry("querier", "long_gauge", "Gauge of the last three days, by regex",
+              (c("gauge", "no_such_metric"), c("gauge", "event_value", (("event_type", "=~", "p.*|s.*"),), None, 72 * hour))),
+        Entry("querier", "long_p90", "p90 over two days", (c("hquantile", "event_value_bucket", (), 48 * hour),), 0.9),
+        # its primary has a series, but hardly a sample in the second before a step
+        Entry("distributor", "later_answer", "The first candidate has a series but no point",
+              (c("gauge", "events_total", (("event_type", "click"),), None, 1),
+               c("increase", "events_total", (("event_type", "=", "click"),), 24 * hour))),
+    ], tv.EVENTS_RANGE_S, tv.EVENTS_LOOKBACK_S)
+
+
+def diagnose_mixed_ranges_q(spark: SparkSession, sf: str) -> DataFrame:
+    prepare(spark)
+    res = dg.diagnose(spark, tv.metric_table(spark, sf, *tv.EVENT_METRICS), mixed_registry(), tv.EVENTS_WINDOW,
+                      step_s=tv.EVENTS_STEP_S, series=tv.series_table(spark, sf)).results
+    return res.select("component", F.col("ordinal").cast("long").alias("ordinal"), "name", "query", "status",
+                      F.col("priority").cast("long").alias("priority"), *_summary_cols())
+
+
+def diagnose_default_registry_q(spark: SparkSession, sf: str) -> DataFrame:
+    """The registry as it ships, at its own step and ranges, over one day of series named as its metrics."""
+    prepare(spark)
+    res = dg.diagnose(spark, tv.registry_samples(spark, sf), default_registry(), tv.REGISTRY_WINDOW).results
+    return res.select("component", F.col("ordinal").cast("long").alias("ordinal"), "name", "query", "status",
+                      F.col("priority").cast("long").alias("priority"), *_summary_cols())
+
+
+def parse_time_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Times of events as text, some of it no RFC 3339 time, read back to microseconds."""
+    e = tv.table(spark, sf, "events").select("event_id", ntz_micros(F.col("ts")).alias("us"))
+    k = F.pmod("event_id", F.lit(len(TIME_FORMS))).cast("int")
+    wall = lambda us: utc_ntz(epoch_s(us)).cast("string")
+    day, clock = F.left(wall(F.col("us")), F.lit(10)), F.right(wall(F.col("us")), F.lit(8))
+    frac = F.lpad(F.pmod("us", F.lit(1_000_000)).cast("string"), 6, "0")
+    text = F.element_at(F.array(*[F.lit(f) for f in TIME_FORMS]), k + 1)
+    for mark, part in (("{d}", day), ("{t}", clock), ("{f}", frac)):
+        text = F.replace(text, F.lit(mark), part)
+    return e.select("event_id", text.alias("text"), parse_rfc3339(text).alias("parsed_us"))
+
+
+# Forms of time text, with {d} the day, {t} the time of day and {f} six digits of its fraction.
+TIME_FORMS = [
+    "{d}T{t}Z", "{d}T{t}.{f}Z", "{d}T{t}+05:30", "{d}T{t}.{f}-08:00", "{d}T{t}.5Z", "{d}T{t}.{f}789+00:00",
+    "{d}", "{d}T{t}", "{d} {t}Z", " {d}T{t}Z", "{d}T{t}Z ", "{d}T{t}+0530", "{d}T{t}.Z", "{d}T{t}+25:00",
+    "{d}T24:00:00Z", "{d}T{t}+05:60", "2024-02-30T{t}Z", "2023-02-29T{t}Z", "2024-W03-1T{t}Z", "20240115T{t}Z",
+    "2024-13-01T{t}Z", "2024-00-10T{t}Z", "{d}T23:59:60Z", "", "{d}t{t}z", "2024-02-29T{t}Z", "0001-01-01T00:00:00Z",
+]
+
+
 def fallback_q(spark: SparkSession, sf: str) -> DataFrame:
     res = diagnose_run(spark, sf).results
     return res.select("name", F.col("priority").cast("long").alias("priority"), "query", "status",
@@ -187,7 +266,7 @@ def fallback_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def query_status_q(spark: SparkSession, sf: str) -> DataFrame:
-    c = diagnose_run(spark, sf).candidates
+    c = diagnose_run(spark, sf, every_candidate=True).candidates
     return c.select(F.col("cand_id").cast("long").alias("cand_id"), "name",
                     F.col("priority").cast("long").alias("priority"), "query", "status", "n_points")
 
@@ -200,7 +279,7 @@ def diagnose_points_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cand_summary(spark, sf):
-    return diagnose_run(spark, sf).candidates.withColumn("cand_id", F.col("cand_id").cast("long"))
+    return diagnose_run(spark, sf, every_candidate=True).candidates.withColumn("cand_id", F.col("cand_id").cast("long"))
 
 
 def query_summary_q(spark, sf):
@@ -291,43 +370,47 @@ def select_metric_q(spark, sf):
 
 
 def select_label_eq_q(spark, sf):
-    s = tv.samples_table(spark, sf).where(F.col("metric").isin("events_total", "event_value_sum_total"))
-    return sel.select(s, None, {"event_type": "click", "shard": ""}).select("metric", "series_key", *_pt_cols())
+    s, series = (t.where(F.col("metric").isin("events_total", "event_value_sum_total"))
+                 for t in (tv.samples_table(spark, sf), tv.series_table(spark, sf)))
+    return sel.select_series(s, series, None, {"event_type": "click", "shard": ""}).select("metric", "series_key", *_pt_cols())
 
 
 def select_label_re_q(spark, sf):
-    s = sel.select(tv.metric_table(spark, sf, "event_value_bucket"), "event_value_bucket", [("le", "=~", "[0-9]0")])
+    s = sel.select_series(tv.samples_table(spark, sf), tv.series_table(spark, sf), "event_value_bucket",
+                          [("le", "=~", "[0-9]0")])
     return s.select("series_key", *_pt_cols())
 
 
 def select_name_re_q(spark, sf):
-    s = sel.select_name_regex(tv.samples_table(spark, sf), "event_value.*")
-    return s.groupBy("metric").agg(F.count(F.lit(1)).alias("n_samples"),
-                                   F.countDistinct("series_key").alias("n_series"))
+    s = sel.select_name_regex(tv.series_table(spark, sf), "event_value.*")
+    by_series = s.groupBy("metric", "series_key").agg(F.sum("n_samples").alias("n"))
+    return by_series.groupBy("metric").agg(F.sum("n").alias("n_samples"), F.count(F.lit(1)).alias("n_series"))
 
 
 def series_cap_q(spark, sf):
-    s = sel.series_cap(tv.samples_table(spark, sf), 3)
+    s = sel.series_cap(tv.samples_table(spark, sf), 3, series=tv.series_table(spark, sf))
     return s.groupBy("metric", "series_key").agg(F.count(F.lit(1)).alias("n_samples"))
 
 
 # ------------------------------------------------------------------ L1–L3, D1
 
 def list_metrics_q(spark, sf):
-    return discover.list_metrics(tv.samples_table(spark, sf), tv.EVENTS_WINDOW)
+    return discover.list_metrics(tv.samples_table(spark, sf), tv.EVENTS_WINDOW, series=tv.series_table(spark, sf))
 
 
 def list_metrics_limit_q(spark, sf):
-    return discover.list_metrics(tv.samples_table(spark, sf), tv.EVENTS_WINDOW, limit=2)
+    return discover.list_metrics(tv.samples_table(spark, sf), tv.EVENTS_WINDOW, limit=2,
+                                 series=tv.series_table(spark, sf))
 
 
 def list_labels_q(spark, sf):
-    return discover.list_labels(tv.samples_table(spark, sf), tv.EVENTS_WINDOW)
+    return discover.list_labels(tv.samples_table(spark, sf), tv.EVENTS_WINDOW, tv.series_table(spark, sf))
 
 
 def bundle_registry_q(spark, sf):
     reg = _registry().to_df(spark)
-    names = discover.metric_names(tv.samples_table(spark, sf), tv.EVENTS_WINDOW).withColumn("present", F.lit(True))
+    names = discover.metric_names(tv.samples_table(spark, sf), tv.EVENTS_WINDOW,
+                                  series=tv.series_table(spark, sf)).withColumn("present", F.lit(True))
     return (reg.join(names, on="metric", how="left")
                .select("component", "name", F.col("priority").cast("long").alias("priority"), "metric",
                        F.coalesce(F.col("present"), F.lit(False)).alias("present")))
@@ -433,7 +516,7 @@ def payload_vector_q(spark, sf):
 
 
 def payload_names_q(spark, sf):
-    names = discover.metric_names(tv.samples_table(spark, sf), tv.EVENTS_WINDOW)
+    names = discover.metric_names(tv.samples_table(spark, sf), tv.EVENTS_WINDOW, series=tv.series_table(spark, sf))
     return pl.decode_names(pl.build_name_payloads(names)).select(F.col("name").alias("metric"))
 
 
@@ -508,6 +591,12 @@ def diagnose_json_component_q(spark, sf):
     return sinks.results_json(diagnose_run(spark, sf, "ruler").results, decimals=6)
 
 
+def diagnose_json_verbose_q(spark, sf):
+    """Every series of the ruler's results with its points, a JSON line each."""
+    d = diagnose_run(spark, sf, "ruler")
+    return sinks.verbose_json(d.results, d.points, decimals=6)
+
+
 def findings_report_q(spark, sf):
     f = fnd.findings(diagnose_run(spark, sf).results, fnd.default_rules())
     return sinks.report_lines(spark, f, "test-data window 2024-01-05 to 2024-01-25, step 6h")
@@ -517,6 +606,12 @@ QUERIES = {
     "rate": rate_q,
     "increase": increase_q,
     "rate_odd_range": rate_odd_range_q,
+    "increase_long_range": increase_long_range_q,
+    "rate_repeated_samples": rate_repeated_samples_q,
+    "diagnose_mixed_ranges": diagnose_mixed_ranges_q,
+    "diagnose_default_registry": diagnose_default_registry_q,
+    "diagnose_json_verbose": diagnose_json_verbose_q,
+    "parse_time": parse_time_q,
     "query_run": query_run_q,
     "query_range_run": query_range_run_q,
     "query_range_gauge": query_range_gauge_q,

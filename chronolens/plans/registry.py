@@ -24,7 +24,13 @@ COMPONENTS = ["ruler", "ingester", "querier", "distributor", "compactor", "store
 class Candidate:
     kind: str                      # gauge | rate | increase | hquantile
     metric: str
-    matchers: tuple = ()           # ((label, value), ...) equality matchers
+    matchers: tuple = ()           # ((label, value) or (label, op, value), ...); op is =, !=, =~ or !~
+    range_s: int | None = None     # of its own; the registry's where unset
+    lookback_s: int | None = None
+
+    def tests(self) -> list[tuple[str, str, str]]:
+        """Matchers as (label, op, value)."""
+        return [m if len(m) == 3 else (m[0], "=", m[1]) for m in self.matchers]
 
 
 @dataclass(frozen=True)
@@ -58,8 +64,8 @@ class Registry:
         for ordinal, e in enumerate(self.entries):
             for prio, c in enumerate(e.candidates):
                 rows.append((len(rows), e.component, ordinal, e.name, e.description, prio, c.kind, c.metric,
-                             dict(c.matchers), float(e.quantile), self.range_s, self.lookback_s,
-                             render(c, e.quantile, self.range_s)))
+                             c.tests(), float(e.quantile), self.range_of(c), self.lookback_of(c),
+                             render(c, e.quantile, self.range_of(c))))
         schema = T.StructType([
             T.StructField("cand_id", T.IntegerType(), False),
             T.StructField("component", T.StringType(), False),
@@ -69,13 +75,32 @@ class Registry:
             T.StructField("priority", T.IntegerType(), False),
             T.StructField("kind", T.StringType(), False),
             T.StructField("metric", T.StringType(), False),
-            T.StructField("matchers", T.MapType(T.StringType(), T.StringType()), False),
+            T.StructField("matchers", T.ArrayType(T.StructType([
+                T.StructField(f, T.StringType(), False) for f in ("label", "op", "value")])), False),
             T.StructField("quantile", T.DoubleType(), False),
             T.StructField("range_s", T.LongType(), False),
             T.StructField("lookback_s", T.LongType(), False),
             T.StructField("query", T.StringType(), False)])
         return spark.createDataFrame(rows, schema)
 
+    def range_of(self, c: Candidate) -> int:
+        return c.range_s if c.range_s is not None else self.range_s
+
+    def lookback_of(self, c: Candidate) -> int:
+        return c.lookback_s if c.lookback_s is not None else self.lookback_s
+
+    def candidates(self) -> list[Candidate]:
+        return [c for e in self.entries for c in e.candidates]
+
+    def reach_s(self) -> int:
+        """How far before the first step any candidate looks."""
+        return max((self.lookback_of(c) if c.kind == "gauge" else self.range_of(c) for c in self.candidates()),
+                   default=max(self.range_s, self.lookback_s))
+
+    def ranges_s(self) -> list[int]:
+        """Distinct ranges of the candidates that have one."""
+        return sorted({self.range_of(c) for c in self.candidates() if c.kind != "gauge"})
+
     def metrics(self) -> list[str]:
         return sorted({c.metric for e in self.entries for c in e.candidates})
 
@@ -89,7 +114,7 @@ def duration_text(seconds: int) -> str:
 
 def render(c: Candidate, q: float, range_s: int) -> str:
     """PromQL text of a candidate (shown in results; never parsed)."""
-    sel = c.metric + ("{" + ",".join(f'{k}="{v}"' for k, v in c.matchers) + "}" if c.matchers else "")
+    sel = c.metric + ("{" + ",".join(f'{k}{op}"{v}"' for k, op, v in c.tests()) + "}" if c.matchers else "")
     r = duration_text(range_s)
     if c.kind == "gauge":
         return sel

@@ -18,6 +18,8 @@ _SESSION_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Python call sites per expression: several calls into the JVM for each column operation
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # CPU-bound stages (grid explode, window) follow small shuffles; do not
     # let AQE merge them below the core count. Large shuffles still coalesce
     # to the advisory size.
@@ -76,6 +78,14 @@ def default_parallelism(spark: SparkSession) -> int:
         return os.cpu_count() or 8
 
 
+def kept(df):
+    """``df``, computed once: the first action that needs it keeps its rows in memory and on
+    local disks, later ones read them. Nothing runs here. Rows that a lost executor held are
+    computed again from the plan. ``unpersist`` gives the space back."""
+    from pyspark import StorageLevel
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def materialize(df, name: str):
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: one job, and the result no longer depends on its lineage (lost

@@ -3,14 +3,24 @@
 On disk the table is parquet partitioned by ``metric`` and ``day`` so a
 metric/time selector prunes whole directories and the remaining ``ts``
 predicate reaches the row-group statistics.
+
+Beside the table lies its *series table*: one row per (metric, series, UTC day) with
+the first and last sample time and the number of samples, partitioned alike and
+written by every write. Names, labels and series of a window are read from it; so
+is the choice of series by labels, before any sample is read.
+
+A table holds one sample per (series, time). Of repeated ones in a write the largest
+value stays (NaN is the largest). Batches keep their own partitions, so that one
+written again replaces itself; ``merge_batches`` writes a table in which a later
+batch's sample has replaced an earlier one's.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.exprs import utc_day
+from ..functions.exprs import fdiv, utc_day
 from ..model import SAMPLES_DDL, series_key
 
 
@@ -33,6 +43,9 @@ def make_samples(df: DataFrame, metric, labels, ts_us, value) -> DataFrame:
 PART_LENGTHS = {"day": 10, "month": 7}
 
 
+SERIES_DDL = "metric STRING, series_key STRING, day INT, first_ts TIMESTAMP, last_ts TIMESTAMP, n_samples BIGINT"
+DAY_US = 86400 * 1_000_000
+
 # Partition column of tables that streaming batches write.
 BATCH_COL = "ingest_batch"
 
@@ -45,21 +58,73 @@ def write_samples(df: DataFrame, path: str, mode: str = "overwrite", part: str =
     one scan task), and each file is sorted by (series, time) so row-group
     statistics on ``ts`` and ``series_key`` skip data too.
 
+    The series table is brought up to date from the files on disk: those of
+    the batch, or the whole table's.
+
     With ``batch_id`` the rows go to partitions of their own batch, whose
     earlier content they replace: writing a batch again adds nothing."""
     n = PART_LENGTHS[part]
     spread = F.pmod(F.xxhash64("series_key"), F.lit(int(files_per_part)))
     out = (df.select("metric", "labels", "series_key", "ts", "value")
-             .withColumn("tpart", F.left(utc_day("ts"), F.lit(n))))
+             .withColumn("tpart", F.left(utc_day("ts"), F.lit(n))).withColumn("_spread", spread)
+             .repartition("metric", "tpart", "_spread"))
+    _write(_once(out, [F.col("value").desc()]).drop("_spread"), path, mode, batch_id)
+    _write_series(df.sparkSession, path, files_per_part, batch_id)
+
+
+def _once(df: DataFrame, order: list) -> DataFrame:
+    """The first sample, by ``order``, of each (series, time); in series and time order in each task."""
+    w = Window.partitionBy("metric", "tpart", "_spread", "series_key", "ts").orderBy(*order)
+    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
+
+
+def _write(out: DataFrame, path: str, mode: str, batch_id: int | None, sort: str = "ts") -> None:
     parts = ["metric", "tpart"]
     if batch_id is not None:
         out, parts = out.withColumn(BATCH_COL, F.lit(int(batch_id))), [*parts, BATCH_COL]
-    writer = out.repartition("metric", "tpart", spread).sortWithinPartitions("series_key", "ts").write
+    writer = out.sortWithinPartitions("series_key", sort).write
     if batch_id is not None:
         mode, writer = "overwrite", writer.option("partitionOverwriteMode", "dynamic")
     writer.mode(mode).partitionBy(*parts).parquet(path)
 
 
+def series_path(path: str) -> str:
+    return path.rstrip("/") + ".series"
+
+
+def _write_series(spark: SparkSession, path: str, files_per_part: int, batch_id: int | None) -> None:
+    """The series rows of what a write has left on disk: of its own batch, or of the whole table."""
+    written = spark.read.schema(SAMPLES_DDL + ", tpart STRING").parquet(path)
+    if batch_id is not None:
+        if BATCH_COL not in written.columns:   # the batch had no sample and there is none yet
+            return
+        written = written.where(F.col(BATCH_COL) == int(batch_id))
+    rows = (written.groupBy("metric", "tpart", "series_key", fdiv(F.unix_micros("ts"), F.lit(DAY_US)).cast("int").alias("day"))
+            .agg(F.min("ts").alias("first_ts"), F.max("ts").alias("last_ts"), F.count(F.lit(1)).alias("n_samples"))
+            .repartition("metric", "tpart", F.pmod(F.xxhash64("series_key"), F.lit(int(files_per_part)))))
+    _write(rows, series_path(path), "overwrite", batch_id, sort="day")
+
+
+def read_series(spark: SparkSession, path: str) -> DataFrame:
+    """The series table of the samples table at ``path``, with ``labels`` out of the series key.
+
+    A series has a row per day, and per batch that brought samples of the day."""
+    df = spark.read.schema(SERIES_DDL + ", tpart STRING").parquet(series_path(path))
+    return df.drop(BATCH_COL).withColumn("labels", F.from_json("series_key", "map<string,string>"))
+
+
+def merge_batches(spark: SparkSession, path: str, to: str, files_per_part: int = 8) -> None:
+    """Write the samples of all batches at ``path`` as a table without batches at ``to``: of the
+    samples of one (series, time) the latest batch's stays."""
+    df = spark.read.schema(SAMPLES_DDL + ", tpart STRING").parquet(path)
+    spread = F.pmod(F.xxhash64("series_key"), F.lit(int(files_per_part)))
+    out = df.withColumn("_spread", spread).repartition("metric", "tpart", "_spread")
+    latest = [F.col(BATCH_COL).desc()] if BATCH_COL in df.columns else []
+    kept = _once(out, [*latest, F.col("value").desc()]).select("metric", "labels", "series_key", "ts", "value", "tpart")
+    _write(kept, to, "overwrite", None)
+    _write_series(spark, to, files_per_part, None)
+
+
 def read_samples(spark: SparkSession, path: str, part: str = "day") -> DataFrame:
     """Read a samples table; adds ``ts_us`` and keeps the ``tpart`` partition
     column so time predicates can prune directories (``in_reach`` adds one)."""

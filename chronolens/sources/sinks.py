@@ -56,6 +56,36 @@ def results_json(results: DataFrame, decimals: int | None = None) -> DataFrame:
     return g.select("subsystem", F.to_json(doc).alias("json"))
 
 
+def verbose_json(results: DataFrame, points: DataFrame, decimals: int | None = None) -> DataFrame:
+    """The verbose document as JSON lines: one row per (query, series) with its points.
+
+    Columns ``subsystem``, ``ordinal``, ``series_key`` and ``json``
+    (``{name, query, metric{}, values[[seconds, "value"], …]}``): a document of all series
+    has no bound, a line has that of one series, its steps. Values are texts, as in a query
+    response, so that NaN and infinities are kept.
+    """
+    won = results.select("subsystem", "ordinal", "name", "query", "cand_id")
+    v = F.col("value")
+    text = (F.when(F.isnan(v), F.lit("NaN")).when(v == float("inf"), F.lit("+Inf")).when(v == float("-inf"), F.lit("-Inf"))
+             .otherwise(v.cast("string") if decimals is None else v.cast(f"decimal(38,{decimals})").cast("string")))
+    second = F.unix_micros("step_ts").try_cast("decimal(20,0)") / F.lit(1_000_000)
+    pair = F.concat(F.lit("["), F.regexp_replace(second.cast("decimal(20,6)").cast("string"), r"[.]?0+$", ""), F.lit(',"'),
+                    text, F.lit('"]'))
+    lines = (points.join(F.broadcast(won), "cand_id")   # an entry has one row
+             .groupBy("subsystem", "ordinal", "name", "query", "series_key")
+             .agg(F.array_sort(F.collect_list(F.struct("k", pair.alias("pair")))).alias("_p")))
+    q = lambda col: F.regexp_extract(F.to_json(F.struct(F.col(col).alias("x"))), r'^\{"x":(.*)\}$', 1)
+    return lines.select("subsystem", F.col("ordinal").cast("long").alias("ordinal"), "series_key", F.concat(
+        F.lit('{"name":'), q("name"), F.lit(',"query":'), q("query"), F.lit(',"metric":'), F.col("series_key"),
+        F.lit(',"values":['), F.array_join(F.transform("_p", lambda p: p["pair"]), ","), F.lit("]}")).alias("json"))
+
+
+def write_lines(lines: DataFrame, path: str, order: list[str], col: str = "line", mode: str = "overwrite") -> None:
+    """Write lines of text in order: files in the order of their names hold ascending ranges of
+    ``order``, each sorted, so that the files end to end are the document."""
+    lines.sort(*order).select(col).write.mode(mode).text(path)
+
+
 def write_json(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write the documents of ``results_json`` as lines of text."""
     docs.select("json").write.mode(mode).text(path)

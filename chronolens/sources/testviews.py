@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import fdiv, ntz_micros
 from ..functions.prefix import running_sum
-from ..model import TimeWindow
+from ..model import TimeWindow, series_key
 from .samples import make_samples
 
 # Histogram bucket bounds of the test histogram (as label text).
@@ -134,6 +134,17 @@ def all_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 TABLE_PART = "month"
 
 
+def _table_path(spark: SparkSession, sf_dir: str) -> str:
+    """Where the derived table lies, by its sources' folder; written once per application."""
+    from ..session import checkpoint_dir, default_parallelism
+    from .samples import path_exists, series_path, write_samples
+    tag = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:16]
+    path = f"{checkpoint_dir(spark)}/samples_{tag}"
+    if not path_exists(spark, f"{series_path(path)}/_SUCCESS"):   # written last
+        write_samples(all_samples(spark, sf_dir), path, part=TABLE_PART, files_per_part=default_parallelism(spark))
+    return path
+
+
 def samples_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The derived metrics as a stored samples table.
 
@@ -143,16 +154,47 @@ def samples_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     metric and time predicates prune partitions and every query starts from
     a table scan, as it would on a real samples table.
     """
-    from ..session import checkpoint_dir
-    from .samples import path_exists, read_samples, write_samples
-    tag = hashlib.sha256(sf_dir.rstrip("/").encode()).hexdigest()[:16]
-    path = f"{checkpoint_dir(spark)}/samples_{tag}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        from ..session import default_parallelism
-        write_samples(all_samples(spark, sf_dir), path, part=TABLE_PART,
-                      files_per_part=default_parallelism(spark))
-    return read_samples(spark, path, part=TABLE_PART)
+    from .samples import read_samples
+    return read_samples(spark, _table_path(spark, sf_dir), part=TABLE_PART)
+
+
+def series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The series table of ``samples_table``."""
+    from .samples import read_series
+    return read_series(spark, _table_path(spark, sf_dir))
 
 
 def metric_table(spark: SparkSession, sf_dir: str, *metrics: str) -> DataFrame:
     return samples_table(spark, sf_dir).where(F.col("metric").isin(*metrics))
+
+
+# A day of the events, and the derived series that stand for the registry's metrics.
+# Metrics that are not listed have no series: some primaries, so that alternatives answer, and some alone.
+REGISTRY_WINDOW = TimeWindow.of("2024-01-10T00:00:00Z", "2024-01-11T00:00:00Z")
+REGISTRY_SERIES = {
+    "event_value": ["cortex_prometheus_rule_group_rules", "cortex_ingester_memory_series", "cortex_ingester_memory_chunks",
+                    "cortex_query_frontend_queue_length"],
+    "events_total": ["cortex_prometheus_rule_group_iterations_missed_total", "cortex_ruler_queries_failed_total",
+                     "cortex_ruler_rule_evaluations_total", "cortex_ruler_sync_rules_total",
+                     "cortex_querier_queries_failed_total", "cortex_distributor_receive_grpc_request_failures_total"],
+    "event_value_sum_total": ["cortex_ingester_ingested_samples_total", "cortex_query_frontend_retries_total",
+                              "cortex_compactor_runs_started_total", "cortex_storegateway_series_result_series_total"],
+    "event_value_bucket": ["cortex_ruler_rule_evaluation_duration_seconds_bucket",
+                           "cortex_prometheus_rule_group_duration_seconds_bucket",
+                           "cortex_querier_query_duration_seconds_bucket"],
+}
+
+
+def registry_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Samples under the registry's own metric names: copies of derived series, buckets with ``le``
+    included, and ring members with the label ``name``."""
+    s = samples_table(spark, sf_dir)
+    pairs = F.create_map(*[x for m, names in REGISTRY_SERIES.items() for x in
+                           (F.lit(m), F.array(*[F.lit(n) for n in names]))])
+    named = (s.where(F.col("metric").isin(*REGISTRY_SERIES)).withColumn("metric", F.explode(pairs[F.col("metric")])))
+    ring = s.where(F.col("metric") == "event_value")
+    name = F.when(F.col("labels")["event_type"].isin("click", "view"), F.lit("ruler")).otherwise(F.lit("ingester"))
+    labels = F.map_concat("labels", F.create_map(F.lit("name"), name))
+    members = (ring.withColumn("metric", F.lit("cortex_ring_members")).withColumn("labels", labels)
+               .withColumn("series_key", series_key(F.col("labels"))))
+    return named.unionByName(members)
