@@ -60,6 +60,8 @@ class Vocabulary:
         self.unknown = min(self.scores.values(), default=0.0) - 10
         self.reach = max(map(len, self.ids), default=1)
         self.prefixes = {p[:k] for p in self.ids for k in range(1, len(p) + 1)}
+        #: Scores of all beginnings of pieces; those that are no piece have none.
+        self.table = {p: self.scores.get(p, _NONE) for p in self.prefixes}
         self.raw = [b"" if i in self.control else bytes([self.value[i]]) if i in self.value else p.replace(SPACE, " ").encode() for i, p in enumerate(self.pieces)]
         self.known = Known(_CACHE)
         if any(SPACE in p.lstrip(SPACE) for p in self.ids):
@@ -82,18 +84,21 @@ class Vocabulary:
         pieces that start before ``starts``; and where the last piece started, -1 for an entry."""
         best = (entry + [_NONE] * (ends + 1))[:ends + 1]
         back = [-1] * (ends + 1)
-        scores, prefixes = self.scores, self.prefixes
+        value, unknown = self.table.get, self.unknown
         for i in range(min(starts, ends)):
             here = best[i]
             if here == _NONE:
                 continue
-            if text[i:i + 1] not in scores and (s := here + self.unknown) > best[i + 1]:
+            v = value(text[i])
+            if (s := here + (unknown if v is None or v == _NONE else v)) > best[i + 1]:
                 best[i + 1], back[i + 1] = s, i
-            for j in range(i + 1, min(i + self.reach, ends) + 1):
-                piece = text[i:j]
-                if piece not in prefixes:
+            if v is None:
+                continue
+            for j in range(i + 2, min(i + self.reach, ends) + 1):
+                v = value(text[i:j])
+                if v is None:
                     break
-                if piece in scores and (s := here + scores[piece]) > best[j]:
+                if (s := here + v) > best[j]:
                     best[j], back[j] = s, i
         return best, back
 
