@@ -48,6 +48,7 @@ def snippet(body: Column, n_bytes: int = SNIPPET_BYTES) -> Column:
 
 def message(code: Column, body: Column) -> Column:
     s = snippet(body)
+    # Message formats by status.
     return (F.when(code.isin(401, 403), F.format_string("credentials expired or invalid (HTTP %d)", code))
              .when(code == 404, F.format_string("endpoint not found (HTTP 404) — check the endpoint: %s", s))
              .when(code == 429, F.format_string("rate limited (HTTP 429): %s", s))

@@ -224,7 +224,7 @@ def mixed_registry() -> Registry:
 def diagnose_mixed_ranges_q(spark: SparkSession, sf: str) -> DataFrame:
     prepare(spark)
     res = dg.diagnose(spark, tv.metric_table(spark, sf, *tv.EVENT_METRICS), mixed_registry(), tv.EVENTS_WINDOW,
-                      step_s=tv.EVENTS_STEP_S, series=tv.series_table(spark, sf)).results
+                      step_s=tv.EVENTS_STEP_S, series=tv.series_table(spark, sf), staged=True).results
     return res.select("component", F.col("ordinal").cast("long").alias("ordinal"), "name", "query", "status",
                       F.col("priority").cast("long").alias("priority"), *_summary_cols())
 
@@ -260,13 +260,13 @@ TIME_FORMS = [
 
 
 def fallback_q(spark: SparkSession, sf: str) -> DataFrame:
-    res = diagnose_run(spark, sf).results
+    res = diagnose_run(spark, sf, staged=True).results
     return res.select("name", F.col("priority").cast("long").alias("priority"), "query", "status",
                       "fallback_used")
 
 
 def query_status_q(spark: SparkSession, sf: str) -> DataFrame:
-    c = diagnose_run(spark, sf, every_candidate=True).candidates
+    c = diagnose_run(spark, sf).candidates
     return c.select(F.col("cand_id").cast("long").alias("cand_id"), "name",
                     F.col("priority").cast("long").alias("priority"), "query", "status", "n_points")
 
@@ -279,7 +279,7 @@ def diagnose_points_q(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _cand_summary(spark, sf):
-    return diagnose_run(spark, sf, every_candidate=True).candidates.withColumn("cand_id", F.col("cand_id").cast("long"))
+    return diagnose_run(spark, sf).candidates.withColumn("cand_id", F.col("cand_id").cast("long"))
 
 
 def query_summary_q(spark, sf):

@@ -16,11 +16,13 @@ Plan of a pass:
    first candidate, in priority order, whose *evaluated* result is
    non-empty — else the primary's empty result.
 
-Fallback is staged in one lazy plan. The first pass evaluates one candidate per
-entry: the first that has a series in reach (without a series table: the primary).
-The second takes the later candidates of the entries that the first left without a
-point. Its samples are filtered by the metrics it needs, a broadcast of at most the
-registry's size; where none is needed, adaptive execution drops the pass unread.
+One pass evaluates all candidates that have a series. ``staged`` makes two of it, in one
+lazy plan. The first evaluates one candidate per entry: the first that has a series in
+reach (without a series table: the primary). The second takes the later candidates of
+the entries that the first left without a point. Its samples are filtered by the metrics
+it needs, a broadcast of at most the registry's size; where none is needed, adaptive
+execution drops the pass unread. Planning twice takes seconds whatever the data, so
+staging pays where the alternatives' samples take longer than that to read.
 """
 
 from __future__ import annotations
@@ -216,14 +218,14 @@ def _staged(samples: DataFrame, series: DataFrame | None, reg: Registry, reg_df:
 def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window: TimeWindow,
              step_s: int = 60, start=None, end=None, component: str = "all",
              bucket_s: int = DEFAULT_BUCKET_S, series: DataFrame | None = None,
-             every_candidate: bool = False) -> DiagnoseResult:
+             staged: bool = False) -> DiagnoseResult:
     """Run a bundle (``component``) or ``"all"`` over ``samples``. Nothing runs until an action.
 
     The requested range is clamped to the window; an inverted range (the
     request lies outside the window) evaluates to empty results. ``series`` is the
-    samples' series table. ``every_candidate`` evaluates all candidates in one pass,
-    also those that no entry falls back to; otherwise these are in ``candidates``
-    without points, as the ones that select nothing.
+    samples' series table. ``staged`` reads the samples of alternatives only for the
+    entries that need one; the others are in ``candidates`` without points, as the
+    ones that select nothing.
     """
     reg = registry.bundle(component)
     s, e = window.clamp(start, end)
@@ -232,15 +234,15 @@ def diagnose(spark: SparkSession, samples: DataFrame, registry: Registry, window
     held: tuple = ()
     if grid.empty:
         points = spark.createDataFrame([], "cand_id INT, series_key STRING, k INT, step_ts TIMESTAMP, value DOUBLE")
-    elif every_candidate:
+    elif staged:
+        points, held = _staged(samples, series, reg, reg_df, grid, bucket_s)
+    else:
         chosen = None if series is None else chosen_series(
             series_in_reach(series, grid, reg.metrics(), reg.reach_s()), reg_df)
         points = kept(evaluate_candidates(samples, reg_df, grid, metrics=reg.metrics(), max_reach_s=reg.reach_s(),
                                           bucket_s=bucket_s, ranges_s=reg.ranges_s(), selection=selected_by(reg),
                                           chosen=chosen))
         held = (points,)
-    else:
-        points, held = _staged(samples, series, reg, reg_df, grid, bucket_s)
     pts = points.withColumn("ts_s", F.unix_micros("step_ts").cast("double") / F.lit(1e6))
     summ = summarize(pts, ["cand_id"], "ts_s", chunks=default_parallelism(spark))
     cand = (reg_df.join(summ, on="cand_id", how="left")

@@ -47,6 +47,7 @@ def rejects(df: DataFrame, col: str = "payload", id_cols: Sequence[str] = (),
             prefix: str = "query failed") -> DataFrame:
     """Rows that are not a successful response, with the reference message."""
     p = _parse(df, col)
+    # The reference's message formats.
     msg = (F.when(F.col("_v").isNull(), F.lit("parsing response: invalid JSON"))
             .when(F.coalesce(F.col("_status"), F.lit("")) != "success",
                   F.format_string(f"{prefix}: %s (%s)",

@@ -34,13 +34,13 @@ def test_building_runs_no_job_and_alternatives_stay_unread(spark, tmp_path):
                     Entry("ruler", "y", "d", (Candidate("rate", "none_total"), Candidate("rate", "one_total"), Candidate("rate", "late_total")))],
                    range_s=300, lookback_s=300)
     s, series = read_samples(spark, path), read_series(spark, path)
-    res, jobs = _jobs(spark, "build", lambda: diagnose(spark, s, reg, WIN, step_s=60, series=series))
+    res, jobs = _jobs(spark, "build", lambda: diagnose(spark, s, reg, WIN, step_s=60, series=series, staged=True))
     assert jobs == 0
     rows = {r["name"]: r for r in res.results.collect()}
     assert rows["x"]["priority"] == 0 and rows["y"]["priority"] == 2
     evaluated = {r.cand_id for r in res.points.select("cand_id").distinct().collect()}
     assert evaluated == {0, 4}   # the alternative of x is not evaluated, that of y is
-    every = diagnose(spark, s, reg, WIN, step_s=60, series=series, every_candidate=True)
+    every = diagnose(spark, s, reg, WIN, step_s=60, series=series)
     assert {r.cand_id for r in every.points.select("cand_id").distinct().collect()} == {0, 1, 4}
     for d in (res, every):
         d.unpersist()
@@ -51,7 +51,7 @@ def test_the_second_pass_is_dropped_where_no_entry_needs_it(spark, tmp_path):
     write_samples(samples_df(spark, _rows("p_total") + _rows("alt_total")), path)
     reg = Registry([Entry("ruler", "x", "d", (Candidate("rate", "p_total"), Candidate("rate", "alt_total")))], 300, 300)
     s, series = read_samples(spark, path), read_series(spark, path)
-    points = diagnose(spark, s, reg, WIN, step_s=60, series=series).points
+    points = diagnose(spark, s, reg, WIN, step_s=60, series=series, staged=True).points
     points.collect()
     final = points._jdf.queryExecution().executedPlan().toString()
     assert "isFinalPlan=true" in final
