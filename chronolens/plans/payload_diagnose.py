@@ -22,18 +22,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.summary import summarize
-from ..session import default_parallelism
+from ..session import default_parallelism, kept
 from ..sources import payloads as pl
 from .diagnose import DiagnoseResult, _fill_empty
 
 
-def evaluate_payloads(spark: SparkSession, responses: DataFrame, reg_df: DataFrame) -> DataFrame:
-    """One row per candidate with ``status``, ``error`` and the summary."""
-    err = pl.rejects(responses, id_cols=["cand_id"]).groupBy("cand_id").agg(F.min("message").alias("error"))
-    st = (pl.query_status(responses, id_cols=["cand_id"]).groupBy("cand_id")
-            .agg(F.max(F.col("status") == "ok").alias("_any_ok")))
-    summ = summarize_payloads(spark, responses, ["cand_id"])
-    cand = (reg_df.join(err, "cand_id", "left").join(st, "cand_id", "left").join(summ, "cand_id", "left")
+def parsed_payloads(responses: DataFrame, group_cols: list[str]) -> tuple[DataFrame, list[str]]:
+    """The payloads' parsed rows and the columns that identify them, ``payload_idx`` where there is one."""
+    cols = [*group_cols, *[c for c in ("payload_idx",) if c in responses.columns]]
+    return pl.tagged(responses, id_cols=cols), cols
+
+
+def evaluate_payloads(spark: SparkSession, parsed: DataFrame, id_cols: list[str], reg_df: DataFrame) -> DataFrame:
+    """One row per candidate with ``status``, ``error`` and the summary, from parsed payloads."""
+    st = parsed.groupBy("cand_id").agg(F.min("message").alias("error"),
+                                       F.max(F.col("status") == "ok").alias("_any_ok"))
+    summ = summarize_parsed(spark, parsed, ["cand_id"], id_cols)
+    cand = (reg_df.join(st, "cand_id", "left").join(summ, "cand_id", "left")
                   .withColumn("status", F.when(F.col("error").isNotNull(), F.lit("error"))
                                          .when(F.coalesce(F.col("_any_ok"), F.lit(False)), F.lit("ok"))
                                          .otherwise(F.lit("empty")))
@@ -43,8 +48,13 @@ def evaluate_payloads(spark: SparkSession, responses: DataFrame, reg_df: DataFra
 
 def summarize_payloads(spark: SparkSession, responses: DataFrame, group_cols: list[str]) -> DataFrame:
     """One summary row per group of payloads that holds a series, pooled in response order."""
-    idx = [c for c in ("payload_idx",) if c in responses.columns]
-    pts = pl.decode_points(responses, id_cols=[*group_cols, *idx])
+    parsed, cols = parsed_payloads(responses, group_cols)
+    return summarize_parsed(spark, parsed, group_cols, cols)
+
+
+def summarize_parsed(spark: SparkSession, parsed: DataFrame, group_cols: list[str], id_cols: list[str]) -> DataFrame:
+    idx = id_cols[len(group_cols):]
+    pts = pl.tagged_points(parsed, id_cols)
     return summarize(pts, group_cols, "ts_s", chunks=default_parallelism(spark),
                      pos_cols=[*idx, "point_idx", "ts_s"], key_cols=["metric", "series_key"],
                      series_order=[*idx, "series_idx"])
@@ -67,5 +77,10 @@ def pick_winners(cand: DataFrame) -> DataFrame:
 
 
 def diagnose_payloads(spark: SparkSession, responses: DataFrame, reg_df: DataFrame) -> DiagnoseResult:
-    cand = evaluate_payloads(spark, responses, reg_df)
-    return DiagnoseResult(pick_winners(cand), cand, pl.decode_points(responses, id_cols=["cand_id"]))
+    """Every payload is parsed once: its parsed row is kept from its first use on, and errors,
+    emptiness, summaries and points branch from there."""
+    parsed, cols = parsed_payloads(responses, ["cand_id"])
+    parsed = kept(parsed)
+    cand = evaluate_payloads(spark, parsed, cols, reg_df)
+    points = pl.tagged_points(parsed, cols).drop(*cols[1:])
+    return DiagnoseResult(pick_winners(cand), cand, points, (parsed,))

@@ -37,37 +37,37 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).withColumnRenamed("value", "payload")
 
 
-def _parse(df: DataFrame, col: str) -> DataFrame:
-    v = F.try_parse_json(F.col(col))
-    return (df.withColumn("_v", v)
-              .withColumn("_status", F.try_variant_get("_v", "$.status", "string")))
-
-
-def rejects(df: DataFrame, col: str = "payload", id_cols: Sequence[str] = (),
-            prefix: str = "query failed") -> DataFrame:
-    """Rows that are not a successful response, with the reference message."""
-    p = _parse(df, col)
+def tagged(df: DataFrame, col: str = "payload", id_cols: Sequence[str] = (),
+           prefix: str = "query failed") -> DataFrame:
+    """One row per payload, parsed once: ``message`` where it is rejected; else ``status`` (``ok`` or
+    ``empty``), ``result_type`` and the document's ``data`` as a variant. The other functions branch
+    on these columns, so a caller that needs several keeps this table and parses nothing again."""
+    p = (df.withColumn("_v", F.try_parse_json(F.col(col)))
+           .withColumn("_ok", F.coalesce(F.try_variant_get("_v", "$.status", "string") == "success", F.lit(False))))
     # The reference's message formats.
     msg = (F.when(F.col("_v").isNull(), F.lit("parsing response: invalid JSON"))
-            .when(F.coalesce(F.col("_status"), F.lit("")) != "success",
+            .when(~F.col("_ok"),
                   F.format_string(f"{prefix}: %s (%s)",
                                   F.coalesce(F.try_variant_get("_v", "$.error", "string"), F.lit("")),
                                   F.coalesce(F.try_variant_get("_v", "$.errorType", "string"), F.lit("")))))
-    return p.select(*id_cols, msg.alias("message")).where(F.col("message").isNotNull())
+    res = F.try_variant_get("_v", "$.data.result", "variant")
+    empty = (_kind(res) == "VOID") | (F.size(F.try_variant_get(res, "$", "array<variant>")) == 0)
+    return p.select(*id_cols, msg.alias("message"),
+                    F.when(F.col("_ok"), F.when(F.coalesce(empty, F.lit(False)), F.lit("empty"))
+                           .otherwise(F.lit("ok"))).alias("status"),
+                    F.when(F.col("_ok"), F.try_variant_get("_v", "$.data.resultType", "string")).alias("result_type"),
+                    F.when(F.col("_ok"), F.try_variant_get("_v", "$.data", "variant")).alias("data"))
 
 
-def _accepted(df: DataFrame, col: str) -> DataFrame:
-    return _parse(df, col).where(F.col("_v").isNotNull() & (F.col("_status") == "success"))
+def rejects(df: DataFrame, col: str = "payload", id_cols: Sequence[str] = (),
+            prefix: str = "query failed") -> DataFrame:
+    """Rows that are not a successful response, with the reference message."""
+    return tagged(df, col, id_cols, prefix).where(F.col("message").isNotNull()).select(*id_cols, "message")
 
 
 def query_status(df: DataFrame, col: str = "payload", id_cols: Sequence[str] = ()) -> DataFrame:
     """``ok`` / ``empty`` per accepted payload (the emptiness predicate)."""
-    a = _accepted(df, col)
-    res = F.try_variant_get("_v", "$.data.result", "variant")
-    empty = (_kind(res) == "VOID") | (F.size(F.try_variant_get(res, "$", "array<variant>")) == 0)
-    return a.select(*id_cols, F.col("_v").alias("_v"),
-                    F.try_variant_get("_v", "$.data.resultType", "string").alias("result_type"),
-                    F.when(F.coalesce(empty, F.lit(False)), F.lit("empty")).otherwise(F.lit("ok")).alias("status")).drop("_v")
+    return tagged(df, col, id_cols).where(F.col("status").isNotNull()).select(*id_cols, "result_type", "status")
 
 
 def _kind(v: Column) -> Column:
@@ -101,8 +101,13 @@ def decode_points(df: DataFrame, col: str = "payload", id_cols: Sequence[str] =
     NULL for a skipped point). A series without points yields one row with
     NULL point, so it still counts as a series.
     """
-    a = _accepted(df, col)
-    result = F.try_variant_get("_v", "$.data.result", "array<variant>")
+    return tagged_points(tagged(df, col, id_cols), id_cols, field)
+
+
+def tagged_points(parsed: DataFrame, id_cols: Sequence[str] = (), field: str = "values") -> DataFrame:
+    """The points of ``tagged`` payloads, as ``decode_points`` gives them."""
+    a = parsed.where(F.col("status") == "ok")
+    result = F.try_variant_get("data", "$.result", "array<variant>")
     # a result that is not a list of series (a scalar ``[ts, "v"]``, a label
     # that is no text) does not decode at all: no series, no points
     as_series = F.when(F.forall(result, _is_series), result)
@@ -130,8 +135,8 @@ def decode_points(df: DataFrame, col: str = "payload", id_cols: Sequence[str] =
 
 def decode_names(df: DataFrame, col: str = "payload", id_cols: Sequence[str] = ()) -> DataFrame:
     """``{status, data: [names]}`` → one row per name."""
-    a = _accepted(df, col)
-    return a.select(*id_cols, F.explode(F.try_variant_get("_v", "$.data", "array<string>")).alias("name"))
+    a = tagged(df, col, id_cols).where(F.col("status").isNotNull())
+    return a.select(*id_cols, F.explode(F.try_variant_get("data", "$", "array<string>")).alias("name"))
 
 
 # ------------------------------------------------------------------ building

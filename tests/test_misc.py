@@ -1,4 +1,6 @@
 """Clamp, discovery limits, outcome categories, payload decoding, report."""
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -237,3 +239,22 @@ def test_anchored_regex_and_signed_nan(spark):
     assert got == [True, False, False, True]
     vals = [r[0] for r in spark.createDataFrame([("NaN",), ("+NaN",), ("-nan",), ("-Inf",), ("+1.5",)], "s string").select(parse_float_text("s")).collect()]
     assert vals[0] != vals[0] and vals[1:] == [None, None, float("-inf"), 1.5]
+
+
+def test_payloads_are_parsed_once(spark):
+    from chronolens.plans.payload_diagnose import diagnose_payloads
+    from chronolens.plans.registry import default_registry
+    rows = [(0, _matrix('[{"metric":{"s":"a"},"values":[[1,"2"],[2,"4"]]}]')), (1, _matrix("[]")), (2, "{")]
+    res = diagnose_payloads(spark, spark.createDataFrame(rows, "cand_id int, payload string"),
+                            default_registry().to_df(spark))
+    # the kept rows alone hold a parse: another one in any plan would have an id of its own
+    parses = set()
+    for df in (*res.held, res.results, res.candidates, res.points):
+        plan = df._jdf.queryExecution().withCachedData().toString()
+        assert "InMemoryRelation" in plan
+        parses |= set(re.findall(r"parseJson\(.*?AS _v#\d+", plan))
+    assert len(parses) == 1
+    assert [tuple(r) for r in res.points.select("cand_id", "ts_s", "value").orderBy("ts_s").collect()] == [(0, 1.0, 2.0), (0, 2.0, 4.0)]
+    status = {r["cand_id"]: (r["status"], r["error"]) for r in res.candidates.select("cand_id", "status", "error").collect()}
+    assert status[0] == ("ok", None) and status[1] == ("empty", None) and status[2] == ("error", "parsing response: invalid JSON")
+    res.unpersist()
