@@ -24,6 +24,9 @@ from pyspark.sql import functions as F
 SAMPLES_DDL = ("metric STRING, labels MAP<STRING,STRING>, series_key STRING, "
                "ts TIMESTAMP, value DOUBLE")
 
+# Column of bucketed samples tables: the number of the time chunk that a sample lies in.
+CHUNK_COL = "ts_chunk"
+
 # Default query parameters of the reference.
 DEFAULT_STEP_S = 60            # range queries of the registry run at a 1m step
 DEFAULT_LOOKBACK_S = 300       # instant-selector lookback (5m)

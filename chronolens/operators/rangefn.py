@@ -39,7 +39,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import MICROS, ceil_div, ieee_div, lt
-from ..model import Grid
+from ..model import CHUNK_COL, Grid
 from .neighbors import DEFAULT_BUCKET_S, with_neighbors
 from .sliding import common_width, window_merge
 
@@ -154,28 +154,48 @@ def interval_table(df: DataFrame, keys: Sequence[str], grid: Grid, width_us: int
     of intervals). The grouping reuses the window's partitioning (no exchange).
     Columns: ``keys``, ``j``, ``n``, first/last sample, ``sum_v``, ``inner_reset``,
     ``cross_reset`` and ``last_next_ts_us`` (first sample after the interval).
+
+    Samples of a bucketed table are grouped by their chunk too, which its buckets already do,
+    so that no raw sample is exchanged; the pieces of an interval that lies in two chunks
+    are then put together like neighbouring intervals.
     """
     keys = list(keys)
+    chunk = [CHUNK_COL] if CHUNK_COL in df.columns else []
     S, P = F.lit(grid.start_us), F.lit(width_us or grid.step_us)
-    by = Window.partitionBy(*keys, "j")
+    by = Window.partitionBy(*keys, *chunk, "j")
     w, w_all = by.orderBy("ts_us"), by.orderBy("ts_us", "value")
     # a repeated sample counts once: the last of equal times, which holds the largest value
-    d = (df.select(*keys, "ts_us", "value").withColumn("j", ceil_div(F.col("ts_us") - S, P))
+    d = (df.select(*keys, *chunk, "ts_us", "value").withColumn("j", ceil_div(F.col("ts_us") - S, P))
            .withColumn("_nt", F.lead("ts_us").over(w_all))
            .where(F.col("_nt").isNull() | (F.col("_nt") != F.col("ts_us")))
            .withColumn("_pv", F.lag("value").over(w)))
     inner = F.when(F.col("_pv").isNotNull() & lt(F.col("value"), F.col("_pv")), F.col("_pv")).otherwise(F.lit(0.0))
-    iv = d.groupBy(*keys, "j").agg(
+    iv = d.groupBy(*keys, *chunk, "j").agg(
         F.count(F.lit(1)).alias("n"),
         F.min("ts_us").alias("first_ts_us"), F.max("ts_us").alias("last_ts_us"),
         F.min_by("value", "ts_us").alias("first_v"), F.max_by("value", "ts_us").alias("last_v"),
         F.sum("value").alias("sum_v"), F.sum(inner).alias("inner_reset"))
-    wi = Window.partitionBy(*keys).orderBy("j")
+    wi = Window.partitionBy(*keys).orderBy("j", *chunk)
     iv = (iv.withColumn("_plv", F.lag("last_v").over(wi))
             .withColumn("last_next_ts_us", F.lead("first_ts_us").over(wi)))
     cross = F.when(F.col("_plv").isNotNull() & lt(F.col("first_v"), F.col("_plv")), F.col("_plv")) \
              .otherwise(F.lit(0.0))
-    return iv.withColumn("cross_reset", cross).drop("_plv")
+    iv = iv.withColumn("cross_reset", cross)
+    if chunk:
+        iv = _whole_intervals(iv.withColumn("_begins", F.coalesce(F.lag("j").over(wi) != F.col("j"), F.lit(True))), keys)
+    return iv.drop("_plv")
+
+
+def _whole_intervals(pieces: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per interval out of the pieces that chunks cut it into; the reset on entering a
+    later piece (not ``_begins``) lies inside the interval. The keys' partitioning is kept."""
+    entered = F.when(F.col("_begins"), F.lit(0.0)).otherwise(F.col("cross_reset"))
+    return pieces.groupBy(*keys, "j").agg(
+        F.sum("n").alias("n"), F.min("first_ts_us").alias("first_ts_us"), F.max("last_ts_us").alias("last_ts_us"),
+        F.min_by("first_v", "first_ts_us").alias("first_v"), F.max_by("last_v", "last_ts_us").alias("last_v"),
+        F.sum("sum_v").alias("sum_v"), F.sum(F.col("inner_reset") + entered).alias("inner_reset"),
+        F.max_by("last_next_ts_us", "last_ts_us").alias("last_next_ts_us"),
+        F.sum(F.col("cross_reset") - entered).alias("cross_reset"))
 
 
 def intervals_apply(grid: Grid, range_us: int) -> bool:

@@ -89,6 +89,13 @@ def rate_repeated_samples_q(spark: SparkSession, sf: str) -> DataFrame:
     return r.select("metric", "series_key", _step_s(), r6("value").alias("value"))
 
 
+def rate_bucketed_q(spark: SparkSession, sf: str) -> DataFrame:
+    """Rate over a table bucketed by series and time chunk: raw samples stay where they are."""
+    s = rangefn.in_reach(tv.bucketed_table(spark, sf), EV_GRID, tv.EVENTS_RANGE_S)
+    r = rangefn.rate(s, KEYS, EV_GRID, tv.EVENTS_RANGE_S)
+    return r.select("metric", "series_key", _step_s(), r6("value").alias("value"))
+
+
 # Requests of the composed queries: name, expression, start (or time), end.
 RUNS = [
     ("gauge", qr.Expr("event_value", "gauge", (("event_type", "=", "click"),)), None, None),
@@ -608,6 +615,7 @@ QUERIES = {
     "rate_odd_range": rate_odd_range_q,
     "increase_long_range": increase_long_range_q,
     "rate_repeated_samples": rate_repeated_samples_q,
+    "rate_bucketed": rate_bucketed_q,
     "diagnose_mixed_ranges": diagnose_mixed_ranges_q,
     "diagnose_default_registry": diagnose_default_registry_q,
     "diagnose_json_verbose": diagnose_json_verbose_q,

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import fdiv, utc_day
-from ..model import SAMPLES_DDL, series_key
+from ..model import CHUNK_COL, SAMPLES_DDL, series_key
 
 
 def make_samples(df: DataFrame, metric, labels, ts_us, value) -> DataFrame:
@@ -72,9 +72,11 @@ def write_samples(df: DataFrame, path: str, mode: str = "overwrite", part: str =
     _write_series(df.sparkSession, path, files_per_part, batch_id)
 
 
-def _once(df: DataFrame, order: list) -> DataFrame:
-    """The first sample, by ``order``, of each (series, time); in series and time order in each task."""
-    w = Window.partitionBy("metric", "tpart", "_spread", "series_key", "ts").orderBy(*order)
+def _once(df: DataFrame, order: list, by: tuple[str, ...] = ("tpart", "_spread")) -> DataFrame:
+    """The first sample, by ``order``, of each (series, time); in series and time order in each task.
+
+    ``by`` are the columns, given by series and time, that the rows are already dealt by."""
+    w = Window.partitionBy("metric", *by, "series_key", "ts").orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
 
 
@@ -132,6 +134,42 @@ def read_samples(spark: SparkSession, path: str, part: str = "day") -> DataFrame
     return df.drop(BATCH_COL).withColumn("ts_us", F.unix_micros("ts"))
 
 
+LAYOUT_DDL = "buckets INT, chunk_s BIGINT"
+
+
+def layout_path(path: str) -> str:
+    return path.rstrip("/") + ".layout"
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, buckets: int, chunk_s: int = 86400, part: str = "month") -> None:
+    """Write ``df`` at ``path`` as the table ``name``: partitioned like any samples table, and
+    bucketed by series and chunks of ``chunk_s`` seconds. Choose ``buckets`` so that one bucket
+    of the partitions that a query reads fits a task.
+
+    The number of buckets and the chunk's width are written beside it, for ``open_bucketed``."""
+    spark = df.sparkSession
+    chunk = fdiv(F.unix_micros("ts"), F.lit(int(chunk_s) * 1_000_000))
+    out = (df.select("metric", "labels", "series_key", "ts", "value", chunk.alias(CHUNK_COL))
+             .withColumn("tpart", F.left(utc_day("ts"), F.lit(PART_LENGTHS[part])))
+             .repartition(int(buckets), "series_key", CHUNK_COL))   # as the buckets are: a task has one
+    (_once(out, [F.col("value").desc()], by=(CHUNK_COL,)).write.mode("overwrite").partitionBy("metric", "tpart")
+     .bucketBy(int(buckets), "series_key", CHUNK_COL).sortBy("series_key", "ts").option("path", path).saveAsTable(name))
+    _write_series(spark, path, 8, None)
+    spark.range(1).select(F.lit(int(buckets)).alias("buckets"), F.lit(int(chunk_s)).cast("long").alias("chunk_s")) \
+         .write.mode("overwrite").parquet(layout_path(path))
+
+
+def open_bucketed(spark: SparkSession, name: str, path: str) -> DataFrame:
+    """The bucketed samples table at ``path`` with ``ts_us``; registered as ``name`` where this session lacks it."""
+    if not spark.catalog.tableExists(name):
+        (layout,) = spark.read.schema(LAYOUT_DDL).parquet(layout_path(path)).collect()
+        spark.sql(f"CREATE TABLE `{name}` ({SAMPLES_DDL}, {CHUNK_COL} BIGINT, tpart STRING) USING parquet "
+                  f"PARTITIONED BY (metric, tpart) CLUSTERED BY (series_key, {CHUNK_COL}) SORTED BY (series_key, ts) "
+                  f"INTO {layout['buckets']} BUCKETS LOCATION '{path}'")
+        spark.sql(f"ALTER TABLE `{name}` RECOVER PARTITIONS")
+    return spark.table(name).withColumn("ts_us", F.unix_micros("ts"))
+
+
 def time_part_filter(df: DataFrame, lo_us: int, hi_us: int):
     """Partition-pruning predicate matching ``lo_us <= ts <= hi_us``.
 

@@ -164,6 +164,18 @@ def series_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_series(spark, _table_path(spark, sf_dir))
 
 
+def bucketed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events' counters of ``samples_table`` as a stored table bucketed by (series, day)."""
+    from ..session import default_parallelism
+    from .samples import layout_path, open_bucketed, path_exists, write_bucketed
+    path = _table_path(spark, sf_dir) + "_bucketed"
+    name = path.rsplit("/", 1)[1]
+    if not path_exists(spark, f"{layout_path(path)}/_SUCCESS"):   # written last
+        write_bucketed(metric_table(spark, sf_dir, "events_total", "event_value_sum_total"), name, path,
+                       buckets=default_parallelism(spark), part=TABLE_PART)
+    return open_bucketed(spark, name, path)
+
+
 def metric_table(spark: SparkSession, sf_dir: str, *metrics: str) -> DataFrame:
     return samples_table(spark, sf_dir).where(F.col("metric").isin(*metrics))
 
