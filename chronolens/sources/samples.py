@@ -17,7 +17,7 @@ batch's sample has replaced an earlier one's.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import fdiv, utc_day
@@ -53,10 +53,11 @@ BATCH_COL = "ingest_batch"
 def write_samples(df: DataFrame, path: str, mode: str = "overwrite", part: str = "day",
                   files_per_part: int = 8, batch_id: int | None = None) -> None:
     """Write partitioned by ``metric`` and a time bucket (``day`` or
-    ``month``). Inside a partition, series are spread over
-    ``files_per_part`` files by hash (a hot metric is not one file, so not
-    one scan task), and each file is sorted by (series, time) so row-group
-    statistics on ``ts`` and ``series_key`` skip data too.
+    ``month``). Inside a partition, series and shorter spans of time (hours of
+    a day, days of a month) are spread over ``files_per_part`` files by hash, so
+    neither a hot metric nor a hot series is one file or one task, and each file
+    is sorted by (series, time) so row-group statistics on ``series_key`` and
+    ``ts`` skip data too.
 
     The series table is brought up to date from the files on disk: those of
     the batch, or the whole table's.
@@ -64,14 +65,19 @@ def write_samples(df: DataFrame, path: str, mode: str = "overwrite", part: str =
     With ``batch_id`` the rows go to partitions of their own batch, whose
     earlier content they replace: writing a batch again adds nothing."""
     n = PART_LENGTHS[part]
-    spread = F.pmod(F.xxhash64("series_key"), F.lit(int(files_per_part)))
     out = (df.select("metric", "labels", "series_key", "ts", "value")
-             .withColumn("tpart", F.left(utc_day("ts"), F.lit(n))).withColumn("_spread", spread)
+             .withColumn("tpart", F.left(utc_day("ts"), F.lit(n))).withColumn("_spread", _spread(files_per_part))
              .repartition("metric", "tpart", "_spread"))
     _write(_once(out, [F.col("value").desc()]).drop("_spread"), path, mode, batch_id)
     _write_series(df.sparkSession, path, files_per_part, batch_id)
 
 
+def _spread(files: int) -> Column:
+    """The file of a sample in its partition: by series, and by day in a month or hour in a day."""
+    unit = F.when(F.length("tpart") == PART_LENGTHS["month"], F.lit(DAY_US)).otherwise(F.lit(DAY_US // 24))
+    return F.pmod(F.xxhash64("series_key", fdiv(F.unix_micros("ts"), unit)), F.lit(int(files)))
+
+
 def _once(df: DataFrame, order: list, by: tuple[str, ...] = ("tpart", "_spread")) -> DataFrame:
     """The first sample, by ``order``, of each (series, time); in series and time order in each task.
 
@@ -119,8 +125,7 @@ def merge_batches(spark: SparkSession, path: str, to: str, files_per_part: int =
     """Write the samples of all batches at ``path`` as a table without batches at ``to``: of the
     samples of one (series, time) the latest batch's stays."""
     df = spark.read.schema(SAMPLES_DDL + ", tpart STRING").parquet(path)
-    spread = F.pmod(F.xxhash64("series_key"), F.lit(int(files_per_part)))
-    out = df.withColumn("_spread", spread).repartition("metric", "tpart", "_spread")
+    out = df.withColumn("_spread", _spread(files_per_part)).repartition("metric", "tpart", "_spread")
     latest = [F.col(BATCH_COL).desc()] if BATCH_COL in df.columns else []
     kept = _once(out, [*latest, F.col("value").desc()]).select("metric", "labels", "series_key", "ts", "value", "tpart")
     _write(kept, to, "overwrite", None)

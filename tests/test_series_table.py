@@ -74,3 +74,18 @@ def test_repeated_samples_and_batches(spark, tmp_path):
     got = [(r.metric, r.ts_us // 10**6 - T0, r.value) for r in read_samples(spark, merged).orderBy("metric", "ts").collect()]
     assert got == [("a", 0, 0.5), ("a", 60, 6.0), ("b", DAY, 7.0)]
     assert read_series(spark, merged).agg(F.sum("n_samples")).first()[0] == 3
+
+
+def test_a_hot_series_is_dealt_over_the_files_of_its_partition(spark, tmp_path):
+    from chronolens.sources.samples import _spread, read_samples, write_samples
+    from conftest import samples_df
+    df = samples_df(spark, [("m", {"s": "hot"}, 3600 * h, h) for h in range(24 * 20)] * 2)
+    for part, files in (("month", 4), ("day", 3)):
+        # the small files themselves may be written together
+        path = f"file://{tmp_path}/{part}"
+        write_samples(df, path, part=part, files_per_part=files)
+        got = read_samples(spark, path)
+        assert got.count() == 24 * 20
+        held = [r["count"] for r in got.groupBy("tpart", _spread(files).alias("file")).count().collect()]
+        per = got.select("tpart").distinct().count()
+        assert len(held) == files * per and max(held) < 24 * 20 / per * 0.75
