@@ -177,7 +177,7 @@ def test_nearest(spark):
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(401, None), (402, [0.0] * 8), (403, [float("nan")] * 8), (404, [None] * 8)]
     v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = {}
-    for r in ann.nearest(v, v.where("vec_id % 20 = 0"), k=5, factor=1.0, shard=100, block=7, leaf=8).collect():
+    for r in ann.nearest(v, v.where("vec_id % 20 = 0"), k=5, factor=1.0, shard=50, asked=7, leaf=8).collect():
         got.setdefault(r.query_id, {})[r["rank"]] = r.vec_id
     for q in range(0, 400, 20):
         s = np.cumsum(x * x[q], axis=1)[:, -1]
