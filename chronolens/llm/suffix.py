@@ -10,8 +10,9 @@ removed. The work follows difference-cover blockwise suffix sorting:
    time: all that matters of a rank here is whether a sample has an equal in another
    document.
 2. Only suffixes whose reach of v positions holds such a sample can have a long tie.
-   They are dealt into buckets by a hash of their first 8 bytes, and one bucket at a
-   time is sorted; ties of ``LENGTH`` bytes are told by a 64-bit key of the string.
+   They are dealt into buckets, ranges of a 64-bit key of the string, and one bucket at
+   a time is sorted; ties of ``LENGTH`` bytes are told by that key. As the key is of all
+   ``LENGTH`` bytes, a start that very many strings share does not fill one bucket.
    (Shipping the cover ranks of all residues with each suffix, to compare bytes and
    ranks pairwise, would cost 41 bytes a suffix in place of 8.)
 3. Each tied class's smallest doc_id decides its members, and each document's
@@ -139,20 +140,26 @@ def _candidates(block: CoverBlock, length: int, bits: int, buckets: int, answer:
 
 
 class Suffixes:
-    """The candidate suffixes of a block: bucket by bucket, sorted by their string's key.
-
-    Of ``passes`` equal shares of the buckets, only share ``turn`` is sorted, or all."""
+    """The candidate suffixes of a block, sorted by their string's key; ``place`` are those of the buckets
+    of share ``turn`` of ``passes``, or all. A bucket is a range of the keys."""
 
     def __init__(self, block: CoverBlock, at: np.ndarray, length: int, buckets: int, passes: int = 1, turn: int = 0) -> None:
-        bucket = ((window_keys(block.raw, at, min(8, length)) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
-        mine = np.flatnonzero(bucket % passes == turn)
-        keys, docs = window_keys(block.raw, at[mine], length), block.doc_of(at[mine])
-        by = np.argsort(bucket[mine].astype(np.uint16 if buckets <= 1 << 16 else np.uint32), kind="stable")
-        cuts = np.searchsorted(bucket[mine][by], np.arange(buckets + 1))
-        self.buckets = {}
-        for b in np.flatnonzero(np.diff(cuts)).tolist():
-            own = by[cuts[b]:cuts[b + 1]]
-            self.buckets[b] = mine[own], Keys(keys[own], docs[own])
+        keys = window_keys(block.raw, at, length)
+        if passes > 1:
+            self.place = np.flatnonzero(((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) % np.uint64(passes) == np.uint64(turn))
+            keys = keys[self.place]
+        else:
+            self.place = np.arange(len(at))
+        self.keys = Keys(keys, block.doc_of(at[self.place]))
+        self.cuts = _range_cuts(self.keys.distinct, buckets, 64)
+        self.buckets = np.flatnonzero(np.diff(self.cuts)).tolist()
+
+
+def _named(first: np.ndarray, docs: np.ndarray) -> tuple[bytes, bytes]:
+    """Ranks of documents as places among the ids that they name, and those ids."""
+    named = np.zeros(len(docs), bool)
+    named[first] = True
+    return planes((np.cumsum(named) - 1)[first], 4), planes(np.diff(docs[named], prepend=np.int64(0)).view(np.uint64), 8)
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int = BUCKET, passes: int = PASSES) -> DataFrame:
@@ -212,11 +219,13 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row, own in blocks_of(batch, CoverBlock):
-                    some = Suffixes(own, unascending(row["at"]).astype(np.int64), length, buckets, passes, turn).buckets
-                    ids = planes(np.diff(own.docs, prepend=np.int64(0)).view(np.uint64), 8)
+                    own_keys = Suffixes(own, unascending(row["at"]).astype(np.int64), length, buckets, passes, turn)
+                    some, keys = own_keys.buckets, own_keys.keys
+                    parts = [slice(own_keys.cuts[b], own_keys.cuts[b + 1]) for b in some]
+                    named = [_named(keys.first[x], own.docs) for x in parts]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(list(some), pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(k.distinct) for _, k in some.values()], pa.binary()),
-                         pa.array([planes(k.first, 4) for _, k in some.values()], pa.binary()), pa.array([ids] * len(some), pa.binary())],
+                        [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(keys.distinct[x]) for x in parts], pa.binary()),
+                         *[pa.array([n[i] for n in named], pa.binary()) for i in (0, 1)]],
                         names=["bucket", "block", "keys", "first", "docs"])
 
         return run
@@ -252,11 +261,14 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         for batch in batches:
             for row, own in blocks_of(batch, CoverBlock):
                 at, said = unascending(row["at"]).astype(np.int64), row["answer"]
-                sorted_ = Suffixes(own, at, length, buckets)
+                found_in = Suffixes(own, at, length, buckets)
+                keys = found_in.keys
+                later = np.zeros(len(keys.distinct), bool)
+                for b in found_in.buckets:
+                    lo, hi = found_in.cuts[b], found_in.cuts[b + 1]
+                    later[lo:hi] = np.unpackbits(np.frombuffer(said[b], np.uint8), count=hi - lo)
                 gone = np.zeros(len(at), bool)
-                for b, (place, keys) in sorted_.buckets.items():
-                    elsewhere = np.unpackbits(np.frombuffer(said[b], np.uint8), count=len(keys.distinct)).astype(bool)
-                    gone[place[keys.order]] = elsewhere[keys.of] | (keys.docs > keys.first[keys.of])
+                gone[keys.order] = later[keys.of] | (keys.docs > keys.first[keys.of])
                 rest = pa.ipc.open_stream(zstandard.decompress(row["rest"])).read_all().combine_chunks()
                 others = [rest.column(c).combine_chunks() for c in order]
                 for lo in range(0, len(rest), 2000):
