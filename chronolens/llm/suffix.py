@@ -11,10 +11,11 @@ removed. The work follows difference-cover blockwise suffix sorting:
    document.
 2. Only suffixes whose reach of v positions holds such a sample can have a long tie.
    They are dealt into buckets, ranges of a 64-bit key of the string, and one bucket at
-   a time is sorted; ties of ``LENGTH`` bytes are told by that key. As the key is of all
+   a time is sorted; ties of ``LENGTH`` bytes are told by that key and a second hash of
+   four bytes or more, as the input's size asks (``check_bytes``). As the key is of all
    ``LENGTH`` bytes, a start that very many strings share does not fill one bucket.
    (Shipping the cover ranks of all residues with each suffix, to compare bytes and
-   ranks pairwise, would cost 41 bytes a suffix in place of 8.)
+   ranks pairwise, would cost 41 bytes a suffix in place of 12.)
 3. Each tied class's smallest doc_id decides its members, and each document's
    removed bytes are the union of its removed strings.
 
@@ -51,6 +52,9 @@ BUCKET = 8 << 20  # bytes of text for each bucket of keys
 PASSES = 2  # shares of the buckets that are sorted one after the other, which divides the keys on disk at a time
 _SEGMENT = 1 << 20  # positions hashed at a time
 
+_PLAIN = np.arange(1, 257, dtype=np.uint64)
+_OTHER = mixed(_PLAIN)  # of the second hash
+
 _back = np.ones(1, np.uint64)
 
 
@@ -64,8 +68,8 @@ def _backwards(n: int) -> np.ndarray:
     return _back[:n]
 
 
-def window_keys(raw: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
-    """A 64-bit key of the ``length`` bytes from each position of ``at``, which ascends."""
+def window_keys(raw: np.ndarray, at: np.ndarray, length: int, values: np.ndarray = _PLAIN) -> np.ndarray:
+    """A 64-bit key of the ``length`` bytes from each position of ``at``, which ascends; ``values`` stand for the bytes."""
     out = np.zeros(len(at), np.uint64)
     for lo in range(0, len(raw), _SEGMENT):
         a, b = np.searchsorted(at, [lo, lo + _SEGMENT])
@@ -73,7 +77,7 @@ def window_keys(raw: np.ndarray, at: np.ndarray, length: int) -> np.ndarray:
             continue
         part = raw[lo:lo + _SEGMENT + length]
         total = np.zeros(len(part) + 1, np.uint64)
-        np.add.accumulate((part.astype(np.uint64) + np.uint64(1)) * powers(len(part)), out=total[1:])
+        np.add.accumulate(values[part] * powers(len(part)), out=total[1:])
         own = at[a:b] - lo
         out[a:b] = mixed((total[own + length] - total[own]) * _backwards(len(part))[own])
     return out
@@ -94,16 +98,30 @@ class CoverBlock(Block):
         return pattern[np.arange(counts.sum()) - np.repeat(start, counts)] + np.repeat(self.offsets[:-1], counts)
 
 
+def check_bytes(size: int) -> int:
+    """Bytes of the second hash, so that ``size`` strings hold two unlike ones with equal keys with odds below 2**-32."""
+    return min(8, max(4, -(-(2 * size.bit_length() - 32) // 8)))
+
+
+def sort_keys(keys: np.ndarray, checks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """The order of the keys, by their checks where they are equal, and which of the sorted ones differ from the one before."""
+    order = np.argsort(keys)
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[order[1:]] != keys[order[:-1]]
+    if checks is not None and (~new[1:] & (checks[order[1:]] != checks[order[:-1]])).any():
+        order = np.lexsort((checks, keys))
+        new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
+    return order, new
+
+
 class Keys:
     """Distinct keys of some positions, sorted; ``first`` has the smallest document rank of each."""
 
-    def __init__(self, keys: np.ndarray, docs: np.ndarray) -> None:
-        self.order = np.argsort(keys)
-        ordered = keys[self.order]
-        new = np.ones(len(keys), bool)
-        new[1:] = ordered[1:] != ordered[:-1]
+    def __init__(self, keys: np.ndarray, docs: np.ndarray, checks: np.ndarray | None = None) -> None:
+        self.order, new = sort_keys(keys, checks)
         begin = np.flatnonzero(new)
-        self.distinct = ordered[begin]
+        self.distinct = keys[self.order[begin]]
+        self.checks = None if checks is None else checks[self.order[begin]]
         self.of = np.cumsum(new) - 1  # which distinct key, by sorted position
         docs = docs[self.order]
         self.docs = docs
@@ -143,14 +161,15 @@ class Suffixes:
     """The candidate suffixes of a block, sorted by their string's key; ``place`` are those of the buckets
     of share ``turn`` of ``passes``, or all. A bucket is a range of the keys."""
 
-    def __init__(self, block: CoverBlock, at: np.ndarray, length: int, buckets: int, passes: int = 1, turn: int = 0) -> None:
+    def __init__(self, block: CoverBlock, at: np.ndarray, length: int, buckets: int, check: int, passes: int = 1, turn: int = 0) -> None:
         keys = window_keys(block.raw, at, length)
         if passes > 1:
             self.place = np.flatnonzero(((keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)) % np.uint64(passes) == np.uint64(turn))
             keys = keys[self.place]
         else:
             self.place = np.arange(len(at))
-        self.keys = Keys(keys, block.doc_of(at[self.place]))
+        own = at[self.place]
+        self.keys = Keys(keys, block.doc_of(own), window_keys(block.raw, own, length, _OTHER) >> np.uint64(64 - 8 * check))
         self.cuts = _range_cuts(self.keys.distinct, buckets, 64)
         self.buckets = np.flatnonzero(np.diff(self.cuts)).tolist()
 
@@ -174,6 +193,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
     size = blocks.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     total = 3 * size  # about what the compressed texts hold
     buckets = max(4, -(-total // bucket))
+    check = check_bytes(total)
     bits = min(64, max(32, (total // 4).bit_length() + 9))  # of a sample's key: few unequal ones share it, and then only cost work
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,14 +239,14 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row, own in blocks_of(batch, CoverBlock):
-                    own_keys = Suffixes(own, unascending(row["at"]).astype(np.int64), length, buckets, passes, turn)
+                    own_keys = Suffixes(own, unascending(row["at"]).astype(np.int64), length, buckets, check, passes, turn)
                     some, keys = own_keys.buckets, own_keys.keys
                     parts = [slice(own_keys.cuts[b], own_keys.cuts[b + 1]) for b in some]
                     named = [_named(keys.first[x], own.docs) for x in parts]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(keys.distinct[x]) for x in parts], pa.binary()),
-                         *[pa.array([n[i] for n in named], pa.binary()) for i in (0, 1)]],
-                        names=["bucket", "block", "keys", "first", "docs"])
+                         pa.array([planes(keys.checks[x], check) for x in parts], pa.binary()), *[pa.array([n[i] for n in named], pa.binary()) for i in (0, 1)]],
+                        names=["bucket", "block", "keys", "checks", "first", "docs"])
 
         return run
 
@@ -234,10 +254,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         parts = [unascending(x) for x in table.column("keys").to_pylist()]
         docs_of = [np.cumsum(unplaned(d, 8).view(np.int64))[unplaned(f, 4).astype(np.int64)] for f, d in zip(table.column("first").to_pylist(), table.column("docs").to_pylist())]
         keys, ids = np.concatenate(parts), np.concatenate(docs_of)
-        order = np.argsort(keys)
-        ordered = keys[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = ordered[1:] != ordered[:-1]
+        order, new = sort_keys(keys, np.concatenate([unplaned(x, check) for x in table.column("checks").to_pylist()]))
         least = np.minimum.reduceat(ids[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         later = np.zeros(len(keys), bool)
         later[order] = least < ids[order]
@@ -246,7 +263,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
 
     tied = None
     for turn in range(passes):  # a share of the buckets at a time, whose keys are gone before the next
-        asked = arrow(marked.select(*lean, "at"), send(turn), "bucket int, block long, keys binary, first binary, docs binary")
+        asked = arrow(marked.select(*lean, "at"), send(turn), "bucket int, block long, keys binary, checks binary, first binary, docs binary")
         share, _ = written(asked.groupBy("bucket").applyInArrow(tie, "block long, bucket int, bits binary"), "suffix-ties")
         tied = share if tied is None else tied.unionAll(share)
         release(spark)
@@ -261,7 +278,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         for batch in batches:
             for row, own in blocks_of(batch, CoverBlock):
                 at, said = unascending(row["at"]).astype(np.int64), row["answer"]
-                found_in = Suffixes(own, at, length, buckets)
+                found_in = Suffixes(own, at, length, buckets, check)
                 keys = found_in.keys
                 later = np.zeros(len(keys.distinct), bool)
                 for b in found_in.buckets:

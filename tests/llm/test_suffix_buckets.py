@@ -31,9 +31,9 @@ def test_a_common_start_does_not_fill_a_bucket():
     text = b"".join(b"        " + rng.integers(97, 123, 60, dtype=np.uint8).tobytes() for _ in range(3000))
     block = suffix.CoverBlock(np.array([1], "<i8").tobytes(), np.array([0, len(text)], "<i8").tobytes(), zstandard.compress(text))
     at = np.arange(3000) * 68  # all begin with the same eight bytes
-    found = suffix.Suffixes(block, at[at + 50 <= len(text)], 50, 64)
+    found = suffix.Suffixes(block, at[at + 50 <= len(text)], 50, 64, 4)
     assert np.diff(found.cuts).max() < 2.5 * 3000 / 64
-    shares = [suffix.Suffixes(block, at, 50, 64, 2, turn) for turn in (0, 1)]
+    shares = [suffix.Suffixes(block, at, 50, 64, 4, 2, turn) for turn in (0, 1)]
     assert sorted(np.concatenate([s.place for s in shares]).tolist()) == list(range(len(at)))
     assert not set(shares[0].buckets) & set(shares[1].buckets)
 
@@ -51,3 +51,24 @@ def test_far_apart_ids_and_common_starts(spark):
     for block in (400, 1 << 20):
         got = {r.doc_id: (r.dedup.n_removed, r.dedup.n_spans, r.dedup.kept_sha256) for r in suffix.dedup(docs, block=block, bucket=300).collect()}
         assert got == expected
+
+
+def test_equal_keys_of_unlike_strings_do_not_tie():
+    keys, docs, checks = np.array([7, 5, 7, 7, 5], np.uint64), np.array([0, 1, 2, 3, 4]), np.array([1, 9, 2, 1, 9], np.uint64)
+    found = suffix.Keys(keys, docs, checks)
+    assert list(zip(found.distinct.tolist(), found.checks.tolist(), found.first.tolist(), found.last.tolist())) == [(5, 9, 1, 4), (7, 1, 0, 3), (7, 2, 2, 2)]
+
+
+def test_the_second_hash_decides_where_keys_are_equal(monkeypatch):
+    real = suffix.window_keys
+    monkeypatch.setattr(suffix, "window_keys", lambda raw, at, length, values=suffix._PLAIN: real(raw, at, length, values) if values is suffix._OTHER else np.zeros(len(at), np.uint64))
+    text = b"x" * 50 + b"y" * 50 + b"x" * 50
+    block = suffix.CoverBlock(np.array([1, 2, 3], "<i8").tobytes(), np.array([0, 50, 100, 150], "<i8").tobytes(), zstandard.compress(text))
+    found = suffix.Suffixes(block, np.array([0, 50, 100]), 50, 4, 4).keys
+    assert sorted(zip(found.first.tolist(), found.last.tolist())) == [(0, 2), (1, 1)]
+
+
+def test_the_second_hash_grows_with_the_input():
+    for size in (10**6, 10**9, 3 * 10**10, 10**14):
+        assert size * size / 2 < 2.0 ** (64 + 8 * suffix.check_bytes(size) - 32)
+    assert suffix.check_bytes(10**14) == 8
