@@ -68,9 +68,9 @@ def _backwards(n: int) -> np.ndarray:
     return _back[:n]
 
 
-def window_keys(raw: np.ndarray, at: np.ndarray, length: int, values: np.ndarray = _PLAIN) -> np.ndarray:
+def window_keys(raw: np.ndarray, at: np.ndarray, length: int, values: np.ndarray = _PLAIN, kind: type = np.uint64, shift: int = 0) -> np.ndarray:
     """A 64-bit key of the ``length`` bytes from each position of ``at``, which ascends; ``values`` stand for the bytes."""
-    out = np.zeros(len(at), np.uint64)
+    out = np.zeros(len(at), kind)
     for lo in range(0, len(raw), _SEGMENT):
         a, b = np.searchsorted(at, [lo, lo + _SEGMENT])
         if a == b:
@@ -79,7 +79,7 @@ def window_keys(raw: np.ndarray, at: np.ndarray, length: int, values: np.ndarray
         total = np.zeros(len(part) + 1, np.uint64)
         np.add.accumulate(values[part] * powers(len(part)), out=total[1:])
         own = at[a:b] - lo
-        out[a:b] = mixed((total[own + length] - total[own]) * _backwards(len(part))[own])
+        out[a:b] = mixed((total[own + length] - total[own]) * _backwards(len(part))[own]) >> np.uint64(shift)
     return out
 
 
@@ -106,11 +106,14 @@ def check_bytes(size: int) -> int:
 def sort_keys(keys: np.ndarray, checks: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     """The order of the keys, by their checks where they are equal, and which of the sorted ones differ from the one before."""
     order = np.argsort(keys)
+    ordered = keys[order]
     new = np.ones(len(keys), bool)
-    new[1:] = keys[order[1:]] != keys[order[:-1]]
-    if checks is not None and (~new[1:] & (checks[order[1:]] != checks[order[:-1]])).any():
-        order = np.lexsort((checks, keys))
-        new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
+    new[1:] = ordered[1:] != ordered[:-1]
+    if checks is not None:
+        again = np.flatnonzero(~new)
+        if (checks[order[again]] != checks[order[again - 1]]).any():
+            order = np.lexsort((checks, keys))
+            new[1:] = (keys[order[1:]] != keys[order[:-1]]) | (checks[order[1:]] != checks[order[:-1]])
     return order, new
 
 
@@ -169,7 +172,7 @@ class Suffixes:
         else:
             self.place = np.arange(len(at))
         own = at[self.place]
-        self.keys = Keys(keys, block.doc_of(own), window_keys(block.raw, own, length, _OTHER) >> np.uint64(64 - 8 * check))
+        self.keys = Keys(keys, block.doc_of(own), window_keys(block.raw, own, length, _OTHER, np.uint32 if check <= 4 else np.uint64, 64 - 8 * check))
         self.cuts = _range_cuts(self.keys.distinct, buckets, 64)
         self.buckets = np.flatnonzero(np.diff(self.cuts)).tolist()
 
@@ -254,7 +257,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         parts = [unascending(x) for x in table.column("keys").to_pylist()]
         docs_of = [np.cumsum(unplaned(d, 8).view(np.int64))[unplaned(f, 4).astype(np.int64)] for f, d in zip(table.column("first").to_pylist(), table.column("docs").to_pylist())]
         keys, ids = np.concatenate(parts), np.concatenate(docs_of)
-        order, new = sort_keys(keys, np.concatenate([unplaned(x, check) for x in table.column("checks").to_pylist()]))
+        order, new = sort_keys(keys, np.concatenate([unplaned(x, check).astype(np.uint32 if check <= 4 else np.uint64) for x in table.column("checks").to_pylist()]))
         least = np.minimum.reduceat(ids[order], np.flatnonzero(new))[np.cumsum(new) - 1]
         later = np.zeros(len(keys), bool)
         later[order] = least < ids[order]

@@ -61,7 +61,7 @@ def test_equal_keys_of_unlike_strings_do_not_tie():
 
 def test_the_second_hash_decides_where_keys_are_equal(monkeypatch):
     real = suffix.window_keys
-    monkeypatch.setattr(suffix, "window_keys", lambda raw, at, length, values=suffix._PLAIN: real(raw, at, length, values) if values is suffix._OTHER else np.zeros(len(at), np.uint64))
+    monkeypatch.setattr(suffix, "window_keys", lambda raw, at, length, values=suffix._PLAIN, *more: real(raw, at, length, values, *more) if values is suffix._OTHER else np.zeros(len(at), np.uint64))
     text = b"x" * 50 + b"y" * 50 + b"x" * 50
     block = suffix.CoverBlock(np.array([1, 2, 3], "<i8").tobytes(), np.array([0, 50, 100, 150], "<i8").tobytes(), zstandard.compress(text))
     found = suffix.Suffixes(block, np.array([0, 50, 100]), 50, 4, 4).keys
