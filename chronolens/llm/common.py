@@ -83,7 +83,7 @@ def ship(spark: SparkSession) -> None:
                     z.write(os.path.join(folder, name), os.path.relpath(os.path.join(folder, name), os.path.dirname(package)))
     context.addPyFile(path)
     # texts differ in length by far: batches to the workers are bounded by bytes, not by rows alone
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
     _shipped.add(context.applicationId)
 
 

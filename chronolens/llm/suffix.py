@@ -92,7 +92,7 @@ class CoverBlock(Block):
         on = np.zeros(MODULUS, bool)
         on[list(COVER)] = True
         reach = int(self.lengths.max(initial=0))
-        pattern = np.flatnonzero(on[np.arange(reach) % MODULUS])
+        pattern = np.flatnonzero(np.resize(on, reach))
         counts = np.searchsorted(pattern, np.maximum(self.lengths - size + 1, 0))
         start = np.cumsum(counts) - counts
         return pattern[np.arange(counts.sum()) - np.repeat(start, counts)] + np.repeat(self.offsets[:-1], counts)
