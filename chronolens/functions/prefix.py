@@ -42,8 +42,9 @@ def ordered_cross_sum(df: DataFrame, group_cols: Sequence[str], order_col: str,
 
 
 def running_sum(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequence[str],
-                value_col: str, sub_bucket: str, out: str) -> DataFrame:
-    """Running ``Σ value`` per partition in order, split by a time sub-bucket.
+                sub_bucket: str, sums: dict[str, str]) -> DataFrame:
+    """Running ``Σ value`` per partition in order, split by a time sub-bucket; ``sums``
+    names the column of each value's sum. All values take the same sort and exchange.
 
     ``sub_bucket`` must be monotone in the order (e.g. the hour of the
     timestamp). Local running sums are taken per (partition, sub-bucket) and
@@ -53,10 +54,11 @@ def running_sum(df: DataFrame, partition_cols: Sequence[str], order_cols: Sequen
     p = list(partition_cols)
     w = (Window.partitionBy(*p, sub_bucket).orderBy(*order_cols)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = df.withColumn("_local", F.sum(value_col).over(w))
-    totals = df.groupBy(*p, sub_bucket).agg(F.sum(value_col).alias("_tot"))
+    local = df.select("*", *[F.sum(v).over(w).alias(f"_local_{out}") for v, out in sums.items()])
+    totals = df.groupBy(*p, sub_bucket).agg(*[F.sum(v).alias(f"_tot_{out}") for v, out in sums.items()])
     w2 = Window.partitionBy(*p).orderBy(sub_bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_off", F.sum("_tot").over(w2)).drop("_tot")
+    offsets = totals.select(*p, sub_bucket, *[F.sum(f"_tot_{out}").over(w2).alias(f"_off_{out}") for out in sums.values()])
     joined = local.join(offsets, on=[*p, sub_bucket], how="left")
-    zero = F.lit(0).cast(local.schema["_local"].dataType)
-    return joined.withColumn(out, F.col("_local") + F.coalesce(F.col("_off"), zero)).drop("_local", "_off")
+    zero = {out: F.lit(0).cast(local.schema[f"_local_{out}"].dataType) for out in sums.values()}
+    return joined.select(*df.columns, *[(F.col(f"_local_{out}") + F.coalesce(F.col(f"_off_{out}"), zero[out])).alias(out)
+                                        for out in sums.values()])

@@ -81,8 +81,9 @@ def _spread(files: int) -> Column:
 def _once(df: DataFrame, order: list, by: tuple[str, ...] = ("tpart", "_spread")) -> DataFrame:
     """The first sample, by ``order``, of each (series, time); in series and time order in each task.
 
-    ``by`` are the columns, given by series and time, that the rows are already dealt by."""
-    w = Window.partitionBy("metric", *by, "series_key", "ts").orderBy(*order)
+    ``by`` are the columns, given by series and time, that the rows are already dealt by. The
+    order of a partition of the table is that of its files, so that the write sorts nothing again."""
+    w = Window.partitionBy("metric", *[c for c in by if c == "tpart"], "series_key", "ts", *[c for c in by if c != "tpart"]).orderBy(*order)
     return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
 
 
@@ -90,7 +91,7 @@ def _write(out: DataFrame, path: str, mode: str, batch_id: int | None, sort: str
     parts = ["metric", "tpart"]
     if batch_id is not None:
         out, parts = out.withColumn(BATCH_COL, F.lit(int(batch_id))), [*parts, BATCH_COL]
-    writer = out.sortWithinPartitions("series_key", sort).write
+    writer = out.sortWithinPartitions("metric", "tpart", "series_key", sort).write
     if batch_id is not None:
         mode, writer = "overwrite", writer.option("partitionOverwriteMode", "dynamic")
     writer.mode(mode).partitionBy(*parts).parquet(path)

@@ -69,7 +69,7 @@ def events_total(spark: SparkSession, sf_dir: str) -> DataFrame:
          .withColumn("_day", fdiv(F.col("ts_us"), F.lit(DAY_US)))
          .withColumn("_hour", fdiv(F.col("ts_us"), F.lit(HOUR_US)))
          .withColumn("_one", F.lit(1).cast("long")))
-    r = running_sum(e, ["event_type", "_day"], ["ts_us", "event_id"], "_one", "_hour", "_count")
+    r = running_sum(e, ["event_type", "_day"], ["ts_us", "event_id"], "_hour", {"_one": "_count"})
     return make_samples(r, "events_total", F.create_map(F.lit("event_type"), F.col("event_type")),
                         F.col("ts_us"), F.col("_count"))
 
@@ -79,20 +79,20 @@ def event_value_sum_total(spark: SparkSession, sf_dir: str) -> DataFrame:
          .withColumn("shard", F.pmod(F.col("user_id"), F.lit(4)).cast("string"))
          .withColumn("_hour", fdiv(F.col("ts_us"), F.lit(HOUR_US)))
          .withColumn("_v", F.col("value").cast("decimal(18,2)")))
-    r = running_sum(e, ["event_type", "shard"], ["ts_us", "event_id"], "_v", "_hour", "_sum")
+    r = running_sum(e, ["event_type", "shard"], ["ts_us", "event_id"], "_hour", {"_v": "_sum"})
     labels = F.create_map(F.lit("event_type"), F.col("event_type"), F.lit("shard"), F.col("shard"))
     return make_samples(r, "event_value_sum_total", labels, F.col("ts_us"), F.col("_sum"))
 
 
 def event_value_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bounds = F.array(*[F.lit(b) for b in BUCKET_BOUNDS])
-    e = (_events(spark, sf_dir)
-         .withColumn("le", F.explode(bounds))
-         .withColumn("_hit", (F.col("value") <= F.col("le").cast("double")).cast("long"))
-         .withColumn("_hour", fdiv(F.col("ts_us"), F.lit(HOUR_US))))
-    r = running_sum(e, ["event_type", "le"], ["ts_us", "event_id"], "_hit", "_hour", "_cnt")
-    labels = F.create_map(F.lit("event_type"), F.col("event_type"), F.lit("le"), F.col("le"))
-    return make_samples(r, "event_value_bucket", labels, F.col("ts_us"), F.col("_cnt"))
+    hits = {f"_hit_{i}": (F.col("value") <= F.lit(b).cast("double")).cast("long") for i, b in enumerate(BUCKET_BOUNDS)}
+    e = _events(spark, sf_dir).withColumns({**hits, "_hour": fdiv(F.col("ts_us"), F.lit(HOUR_US))})
+    # a column for each bound: events are dealt and sorted once, and are rows for each bound after that
+    r = running_sum(e, ["event_type"], ["ts_us", "event_id"], "_hour", {h: f"_cnt{h}" for h in hits})
+    r = r.withColumn("_at", F.explode(F.array(*[F.struct(F.lit(b).alias("le"), F.col(f"_cnt{h}").alias("cnt"))
+                                                for h, b in zip(hits, BUCKET_BOUNDS)])))
+    labels = F.create_map(F.lit("event_type"), F.col("event_type"), F.lit("le"), F.col("_at.le"))
+    return make_samples(r, "event_value_bucket", labels, F.col("ts_us"), F.col("_at.cnt"))
 
 
 def order_price(spark: SparkSession, sf_dir: str) -> DataFrame:
