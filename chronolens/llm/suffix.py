@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import Block, answered, ascending, blocks_of, planes, release, unascending, unplaned, written_blocks
-from .common import _BASE, arrow, drop, mixed, powers, ship, written
+from .common import _BASE, arrow, drop, grouped, mixed, powers, ship, written
 
 LENGTH = 50
 #: Fixed value: a perfect difference set modulo 21; every nonzero residue is a difference exactly once.
@@ -50,7 +50,7 @@ COVER, MODULUS = (3, 6, 7, 12, 14), 21
 BLOCK = 2 << 20  # bytes of text in a block
 BUCKET = 8 << 20  # bytes of text for each bucket of keys
 PASSES = 2  # shares of the buckets that are sorted one after the other, which divides the keys on disk at a time
-_SEGMENT = 1 << 20  # positions hashed at a time
+_SEGMENT = 1 << 16  # positions hashed at a time
 
 _PLAIN = np.arange(1, 257, dtype=np.uint64)
 _OTHER = mixed(_PLAIN)  # of the second hash
@@ -199,31 +199,36 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
     check = check_bytes(total)
     bits = min(64, max(32, (total // 4).bit_length() + 9))  # of a sample's key: few unequal ones share it, and then only cost work
 
+    # a block's arrays are local to a call, so that they are gone when the next block's are made
+    def asked_of(row: dict, own: CoverBlock) -> pa.RecordBatch:
+        _, keys = _sample_keys(own, length, bits)
+        cuts = _range_cuts(keys.distinct, buckets, bits)
+        some = np.flatnonzero(np.diff(cuts)).tolist()
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(keys.distinct[cuts[b]:cuts[b + 1]]) for b in some], pa.binary())],
+            names=["bucket", "block", "keys"])
+
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, own in blocks_of(batch, CoverBlock):
-                _, keys = _sample_keys(own, length, bits)
-                cuts = _range_cuts(keys.distinct, buckets, bits)
-                some = np.flatnonzero(np.diff(cuts)).tolist()
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(keys.distinct[cuts[b]:cuts[b + 1]]) for b in some], pa.binary())],
-                    names=["bucket", "block", "keys"])
+                yield asked_of(row, own)
 
     def rank_samples(table: pa.Table) -> pa.Table:
-        parts = [unascending(x) for x in table.column("keys").to_pylist()]
+        parts = [unascending(x.as_py()) for x in table.column("keys")]
         keys = np.concatenate(parts)
+        cuts = np.cumsum([len(p) for p in parts])[:-1]
+        del parts
         order = np.argsort(keys)
         ordered = keys[order]
         same = ordered[1:] == ordered[:-1]  # keys are distinct within a block
         tied = np.zeros(len(keys), bool)
         tied[order[1:][same]] = True
         tied[order[:-1][same]] = True
-        cuts = np.cumsum([len(p) for p in parts])[:-1]
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array([np.packbits(x).tobytes() for x in np.split(tied, cuts)], pa.binary())})
 
     lean = ["block", "docs", "offsets", "text"]
     asked = arrow(blocks.select(*lean), ask, "bucket int, block long, keys binary")
-    ranked, rank_path = answered(asked, rank_samples, spark, "cover-ranks")
+    ranked, rank_path = answered(asked, rank_samples, "cover-ranks")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -238,36 +243,41 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
     drop(spark, block_path, rank_path)
     release(spark)
 
+    def sent_of(row: dict, own: CoverBlock, turn: int) -> pa.RecordBatch:
+        own_keys = Suffixes(own, unascending(row["at"]).astype(np.int64), length, buckets, check, passes, turn)
+        some, keys = own_keys.buckets, own_keys.keys
+        parts = [slice(own_keys.cuts[b], own_keys.cuts[b + 1]) for b in some]
+        named = [_named(keys.first[x], own.docs) for x in parts]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(keys.distinct[x]) for x in parts], pa.binary()),
+             pa.array([planes(keys.checks[x], check) for x in parts], pa.binary()), *[pa.array([n[i] for n in named], pa.binary()) for i in (0, 1)]],
+            names=["bucket", "block", "keys", "checks", "first", "docs"])
+
     def send(turn: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row, own in blocks_of(batch, CoverBlock):
-                    own_keys = Suffixes(own, unascending(row["at"]).astype(np.int64), length, buckets, check, passes, turn)
-                    some, keys = own_keys.buckets, own_keys.keys
-                    parts = [slice(own_keys.cuts[b], own_keys.cuts[b + 1]) for b in some]
-                    named = [_named(keys.first[x], own.docs) for x in parts]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(some, pa.int32()), pa.array([row["block"]] * len(some), pa.int64()), pa.array([ascending(keys.distinct[x]) for x in parts], pa.binary()),
-                         pa.array([planes(keys.checks[x], check) for x in parts], pa.binary()), *[pa.array([n[i] for n in named], pa.binary()) for i in (0, 1)]],
-                        names=["bucket", "block", "keys", "checks", "first", "docs"])
+                    yield sent_of(row, own, turn)
 
         return run
 
     def tie(table: pa.Table) -> pa.Table:
-        parts = [unascending(x) for x in table.column("keys").to_pylist()]
-        docs_of = [np.cumsum(unplaned(d, 8).view(np.int64))[unplaned(f, 4).astype(np.int64)] for f, d in zip(table.column("first").to_pylist(), table.column("docs").to_pylist())]
-        keys, ids = np.concatenate(parts), np.concatenate(docs_of)
-        order, new = sort_keys(keys, np.concatenate([unplaned(x, check).astype(np.uint32 if check <= 4 else np.uint64) for x in table.column("checks").to_pylist()]))
-        least = np.minimum.reduceat(ids[order], np.flatnonzero(new))[np.cumsum(new) - 1]
-        later = np.zeros(len(keys), bool)
-        later[order] = least < ids[order]
+        parts = [unascending(x.as_py()) for x in table.column("keys")]
         cuts = np.cumsum([len(p) for p in parts])[:-1]
+        keys = np.concatenate(parts)
+        del parts
+        order, new = sort_keys(keys, np.concatenate([unplaned(x.as_py(), check).astype(np.uint32 if check <= 4 else np.uint64) for x in table.column("checks")]))
+        del keys
+        ids = np.concatenate([np.cumsum(unplaned(d.as_py(), 8).view(np.int64))[unplaned(f.as_py(), 4).astype(np.int64)] for f, d in zip(table.column("first"), table.column("docs"))])[order]
+        begin = np.flatnonzero(new)
+        later = np.zeros(len(ids), bool)
+        later[order] = np.repeat(np.minimum.reduceat(ids, begin), np.diff(begin, append=len(ids))) < ids
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "bits": pa.array([np.packbits(x).tobytes() for x in np.split(later, cuts)], pa.binary())})
 
     tied = None
     for turn in range(passes):  # a share of the buckets at a time, whose keys are gone before the next
         asked = arrow(marked.select(*lean, "at"), send(turn), "bucket int, block long, keys binary, checks binary, first binary, docs binary")
-        share, _ = written(asked.groupBy("bucket").applyInArrow(tie, "block long, bucket int, bits binary"), "suffix-ties")
+        share, _ = written(grouped(asked, "bucket", tie, "block long, bucket int, bits binary"), "suffix-ties")
         tied = share if tied is None else tied.unionAll(share)
         release(spark)
     tied = tied.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("answer"))
@@ -277,22 +287,28 @@ def dedup(docs: DataFrame, length: int = LENGTH, block: int = BLOCK, bucket: int
         T.StructField("spans", T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))), T.StructField("text", T.StringType())])
     order = [c for c in docs.columns if c != "text"]
 
+    def removed(block: CoverBlock, at: np.ndarray, said: dict[int, bytes]) -> np.ndarray:
+        """Positions of the removed strings; a share of the buckets at a time, as they were sent."""
+        gone = np.zeros(len(at), bool)
+        for turn in range(passes):
+            own = Suffixes(block, at, length, buckets, check, passes, turn)
+            keys = own.keys
+            later = np.zeros(len(keys.distinct), bool)
+            for b in own.buckets:
+                lo, hi = own.cuts[b], own.cuts[b + 1]
+                later[lo:hi] = np.unpackbits(np.frombuffer(said[b], np.uint8), count=hi - lo)
+            gone[own.place[keys.order]] = later[keys.of] | (keys.docs > keys.first[keys.of])
+            del own, keys, later
+        return at[gone]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row, own in blocks_of(batch, CoverBlock):
-                at, said = unascending(row["at"]).astype(np.int64), row["answer"]
-                found_in = Suffixes(own, at, length, buckets, check)
-                keys = found_in.keys
-                later = np.zeros(len(keys.distinct), bool)
-                for b in found_in.buckets:
-                    lo, hi = found_in.cuts[b], found_in.cuts[b + 1]
-                    later[lo:hi] = np.unpackbits(np.frombuffer(said[b], np.uint8), count=hi - lo)
-                gone = np.zeros(len(at), bool)
-                gone[keys.order] = later[keys.of] | (keys.docs > keys.first[keys.of])
+                starts = removed(own, unascending(row["at"]).astype(np.int64), row["answer"])
                 rest = pa.ipc.open_stream(zstandard.decompress(row["rest"])).read_all().combine_chunks()
                 others = [rest.column(c).combine_chunks() for c in order]
                 for lo in range(0, len(rest), 2000):
-                    some = _results(own, at[gone], length, lo, min(lo + 2000, len(rest)))
+                    some = _results(own, starts, length, lo, min(lo + 2000, len(rest)))
                     yield pa.RecordBatch.from_arrays([*[c.slice(lo, 2000) for c in others], some], names=[*order, "dedup"])
 
     schema = T.StructType([*[docs.schema[c] for c in order], T.StructField("dedup", found)])

@@ -1,6 +1,7 @@
 """Buckets of suffixes: a common start is spread, and ids that are far apart come back."""
 
 import hashlib
+import tracemalloc
 
 import numpy as np
 import zstandard
@@ -72,3 +73,27 @@ def test_the_second_hash_grows_with_the_input():
     for size in (10**6, 10**9, 3 * 10**10, 10**14):
         assert size * size / 2 < 2.0 ** (64 + 8 * suffix.check_bytes(size) - 32)
     assert suffix.check_bytes(10**14) == 8
+
+
+def test_hashing_a_block_takes_little_beside_its_keys():
+    raw = np.random.default_rng(5).integers(0, 256, 2 << 20, dtype=np.uint8)
+    at = np.arange(len(raw) - 50)
+    suffix.window_keys(raw, at, 50)  # the powers are kept from one call to the next
+    tracemalloc.start()
+    keys = suffix.window_keys(raw, at, 50)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most - keys.nbytes < 8 << 20
+    some = [0, 65_486, 65_535, 65_536, 1 << 20, len(at) - 1]
+    assert suffix.window_keys(raw, np.array(some), 50).tolist() == keys[some].tolist()
+
+
+def test_shares_of_the_buckets_remove_the_same(spark):
+    rng = np.random.default_rng(6)
+    word = lambda n: rng.integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    passages = [word(90) for _ in range(4)]
+    rows = [(i, word(30) + passages[i % 4] + word(30) + passages[i * 7 % 3]) for i in range(24)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    for passes in (1, 3):
+        got = {r.doc_id: (r.dedup.n_removed, r.dedup.n_spans, r.dedup.kept_sha256) for r in suffix.dedup(docs, block=600, bucket=300, passes=passes).collect()}
+        assert got == plain(rows)
